@@ -91,16 +91,18 @@ def parse_events(
         raise ValueError("coercion must be 'null' or 'zero'")
     names = mapping.as_dict()
     value = F.col(value_col).cast("string")
-
-    def field(canonical: str) -> Column:
-        return F.get_json_object(value, f"$.{names[canonical]}")
-
-    id_c = field(ID)
-    type_c = field(EVENT_TYPE)
-    date_c = _number(field(DATE_EVENT), "bigint")
-    lat_c = _number(field(LAT), "double")
-    lng_c = _number(field(LNG), "double")
-    loc_c = field(LOCATION)
+    extra = [F.col(c) for c in (keep or [])]
+    # One JSON parse per message: json_tuple returns every field as text (numbers
+    # as their literal, objects as JSON text, JSON null as NULL).
+    raw_names = [f"_raw_{c}" for c in FLAT_COLUMNS]
+    raw = messages.select(*extra, F.json_tuple(value, *[names[c] for c in FLAT_COLUMNS]).alias(*raw_names))
+    field = dict(zip(FLAT_COLUMNS, (F.col(n) for n in raw_names)))
+    id_c = field[ID]
+    type_c = field[EVENT_TYPE]
+    date_c = _number(field[DATE_EVENT], "bigint")
+    lat_c = _number(field[LAT], "double")
+    lng_c = _number(field[LNG], "double")
+    loc_c = field[LOCATION]
     if coercion == "zero":
         id_c, type_c, loc_c = (F.coalesce(c, F.lit("")) for c in (id_c, type_c, loc_c))
         date_c = F.coalesce(date_c, F.lit(0).cast("bigint"))
@@ -113,8 +115,7 @@ def parse_events(
         lng_c.alias(LNG),
         loc_c.alias(LOCATION),
     ]
-    extra = [F.col(c) for c in (keep or [])]
-    parsed = messages.select(*out, *extra)
+    parsed = raw.select(*out, *[F.col(c) for c in (keep or [])])
     valid = F.col(ID).isNotNull() & F.col(EVENT_TYPE).isNotNull() & F.col(DATE_EVENT).isNotNull()
     return parsed.withColumn("valid", valid)
 
