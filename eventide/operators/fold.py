@@ -97,6 +97,55 @@ def _fold_sorted(types, dates, state):
     return dec, prev_t, prev_d, created, (types[n - 1], int(dates[k]), False)
 
 
+def fold_runs_sorted(keys, types, dates, first_state: tuple, first_counter: int, init_state: tuple):
+    """Vectorised fold of a batch holding many keys (consecutive runs of equal
+    ``keys``), each run's dates non-decreasing.  The first run starts from
+    ``first_state`` / ``first_counter``; every other run from ``init_state``.
+
+    Returns ``(decision, prev_type, prev_date, created, change_no, last_state,
+    last_counter)``."""
+    n = len(keys)
+    idx = np.arange(n)
+    new_run = np.empty(n, bool)
+    new_run[0] = True
+    new_run[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new_run)
+    run = np.cumsum(new_run) - 1
+    n_runs = len(starts)
+    t0 = np.full(n_runs, init_state[0], dtype=object)
+    d0 = np.full(n_runs, init_state[1], dtype=np.int64)
+    i0 = np.full(n_runs, init_state[2], dtype=bool)
+    t0[0], d0[0], i0[0] = first_state[0], first_state[1], first_state[2]
+    rt0, rd0, ri0 = t0[run], d0[run], i0[run]
+    entry = (dates >= rd0) & (types != rt0)
+    first = np.minimum.reduceat(np.where(entry, idx, n), starts)[run]
+    after = idx > first
+    acc = (idx == first) | (after & np.concatenate([[False], types[1:] != types[:-1]]))
+    before = idx < first
+    dec = np.where(acc, ACCEPTED, np.where(before & (types != rt0), LATE, REPEAT)).astype(np.int8)
+    prev_types = np.empty(n, dtype=object)
+    prev_types[0] = None
+    prev_types[1:] = types[:-1]
+    prev_t = np.where(after, prev_types, rt0)
+    last_acc = np.maximum.accumulate(np.where(acc, idx, -1))
+    prev_acc = np.concatenate([[0], np.maximum(last_acc[:-1], 0)])
+    prev_d = np.where(after, dates[prev_acc], rd0)
+    created = np.where(after, False, ri0)
+    a = acc.astype(np.int64)
+    cum = np.cumsum(a)
+    base = np.concatenate([[0], cum[starts[1:] - 1]]) if n_runs > 1 else np.zeros(1, np.int64)
+    change_no = cum - a - base[run]
+    change_no[run == 0] += first_counter
+    last_start = starts[-1]
+    in_last = acc[last_start:]
+    counter = int(in_last.sum()) + (first_counter if n_runs == 1 else 0)
+    if in_last.any():
+        state = (types[n - 1], int(dates[last_acc[n - 1]]), False)
+    else:
+        state = (t0[-1], int(d0[-1]), bool(i0[-1]))
+    return dec, prev_t, prev_d, created, change_no, state, counter
+
+
 def _next_pointers(types, dates) -> np.ndarray:
     """next[i] = first j > i with type[j] != type[i] and date[j] >= date[i], else -1.
 
@@ -140,6 +189,15 @@ def run_pieces(types: np.ndarray, dates: np.ndarray):
     n = len(types)
     if n == 0:
         return [], [], [], [], [], [], []
+    if n == 1 or bool(np.all(dates[1:] >= dates[:-1])):
+        return _sorted_pieces(types, dates)
+    return _general_pieces(types, dates)
+
+
+def _general_pieces(types, dates):
+    """:func:`run_pieces` for any date order: next pointers, chain ends, then a
+    sweep over the distinct dates in descending order."""
+    n = len(types)
     nxt = _next_pointers(types, dates)
     end = np.arange(n)
     for i in range(n - 1, -1, -1):
@@ -187,6 +245,39 @@ def run_pieces(types: np.ndarray, dates: np.ndarray):
     return thr, kind, t1s, x1t, x1d, x2t, x2d
 
 
+def _sorted_pieces(types, dates):
+    """:func:`run_pieces` for non-decreasing dates, vectorised.
+
+    Let ``L`` start the last run of equal types.  Entering before ``L`` always
+    ends at ``L`` (one constant piece); entering at ``s >= L`` accepts ``s`` and
+    nothing after it (one piece per distinct date from ``L`` on)."""
+    n = len(types)
+    change = np.flatnonzero(types[1:] != types[:-1]) + 1
+    last = int(change[-1]) if len(change) else 0
+    type_l = types[last]
+    uniq, first = np.unique(dates, return_index=True)  # ascending dates, first positions
+    thr, kind, t1s, x1t, x1d, x2t, x2d = [], [], [], [], [], [], []
+    before = first < last
+    if before.any():
+        thr.append(int(uniq[before][-1]))
+        kind.append(PIECE_CONST)
+        t1s.append(None)
+        x1t.append(type_l)
+        x1d.append(int(dates[last]))
+        x2t.append(None)
+        x2d.append(None)
+    tail = uniq[~before]
+    k = len(tail)
+    thr.extend(int(d) for d in tail)
+    kind.extend([PIECE_ONE] * k)
+    t1s.extend([type_l] * k)
+    x1t.extend([type_l] * k)
+    x1d.extend(int(d) for d in tail)
+    x2t.extend([None] * k)
+    x2d.extend([None] * k)
+    return thr, kind, t1s, x1t, x1d, x2t, x2d
+
+
 def apply_pieces(thr, kind, t1s, x1t, x1d, x2t, x2d, state: tuple) -> tuple:
     """Leaving state of a summarised slice for a given entering state."""
     t0, d0, _ = state

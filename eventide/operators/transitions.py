@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, INITIAL_DATE, INITIAL_TYPE, SEQ
-from ..session import ensure_checkpoint_dir, ship_package, shuffle_partitions
+from ..session import ensure_checkpoint_dir, ship_package
 from . import fold
 
 PID = "_pid"
@@ -139,32 +139,45 @@ def _fold_partitions(key: str, type_col: str, date_col: str, enter_cols: list[st
             keys = pdf[key].to_numpy(dtype=object)
             types = pdf[type_col].to_numpy(dtype=object)
             dates = pdf[date_col].to_numpy(dtype=np.int64)
-            dec = np.empty(n, np.int8)
-            prev_t = np.empty(n, object)
-            prev_d = np.empty(n, np.int64)
-            created = np.empty(n, bool)
-            change_no = np.empty(n, np.int64)
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            starts = np.concatenate([[0], cuts])
-            ends = np.concatenate([cuts, [n]])
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                k = keys[s]
-                if k != cur_key:
-                    if first and enter[0] is not None and enter[0] == k and not pd.isna(enter[2]):
-                        state = (enter[1], int(enter[2]), bool(enter[3]))
-                    else:
-                        state = _INIT
-                    first = False
-                    cur_key = k
-                    counter = 0
-                d, pt, pdt, cr, state = fold.fold_segment(types[s:e], dates[s:e], state)
-                dec[s:e] = d
-                prev_t[s:e] = pt
-                prev_d[s:e] = pdt
-                created[s:e] = cr
-                acc = (d == fold.ACCEPTED).astype(np.int64)
-                change_no[s:e] = counter + np.cumsum(acc) - acc
-                counter += int(acc.sum())
+            k0 = keys[0]
+            if k0 != cur_key:
+                if first and enter[0] is not None and enter[0] == k0 and not pd.isna(enter[2]):
+                    state = (enter[1], int(enter[2]), bool(enter[3]))
+                else:
+                    state = _INIT
+                counter = 0
+            first = False
+            same = keys[1:] == keys[:-1]
+            if not bool(np.any(same & (dates[1:] < dates[:-1]))):
+                # every key's dates are non-decreasing in this batch: one vectorised pass
+                dec, prev_t, prev_d, created, change_no, state, counter = fold.fold_runs_sorted(
+                    keys, types, dates, state, counter, _INIT
+                )
+                cur_key = keys[-1]
+            else:
+                dec = np.empty(n, np.int8)
+                prev_t = np.empty(n, object)
+                prev_d = np.empty(n, np.int64)
+                created = np.empty(n, bool)
+                change_no = np.empty(n, np.int64)
+                cuts = np.flatnonzero(~same) + 1
+                starts = np.concatenate([[0], cuts])
+                ends = np.concatenate([cuts, [n]])
+                for s, e in zip(starts.tolist(), ends.tolist()):
+                    k = keys[s]
+                    if k != cur_key:
+                        if s > 0:
+                            state = _INIT
+                            counter = 0
+                        cur_key = k
+                    d, pt, pdt, cr, state = fold.fold_segment(types[s:e], dates[s:e], state)
+                    dec[s:e] = d
+                    prev_t[s:e] = pt
+                    prev_d[s:e] = pdt
+                    created[s:e] = cr
+                    acc = (d == fold.ACCEPTED).astype(np.int64)
+                    change_no[s:e] = counter + np.cumsum(acc) - acc
+                    counter += int(acc.sum())
             out = pdf.drop(columns=enter_cols)
             out["accepted"] = dec == fold.ACCEPTED
             out["late"] = dec == fold.LATE
@@ -199,12 +212,13 @@ def annotate_transitions(
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    n_parts = num_partitions or shuffle_partitions(spark)
     base = events.where(F.col(key).isNotNull() & F.col(type_col).isNotNull() & F.col(date_col).isNotNull())
     base = base.withColumn(key, F.col(key).cast("string")).withColumn(date_col, F.col(date_col).cast("long"))
+    # Without an explicit count the range exchange uses spark.sql.shuffle.partitions
+    # and AQE merges small neighbouring ranges; ranges stay contiguous either way.
+    ranged = base.repartitionByRange(num_partitions, key, order) if num_partitions else base.repartitionByRange(key, order)
     part = (
-        base.repartitionByRange(n_parts, key, order)
-        .sortWithinPartitions(key, order)
+        ranged.sortWithinPartitions(key, order)
         .withColumn(PID, F.spark_partition_id())
         .checkpoint(eager=True)
     )

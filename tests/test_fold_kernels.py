@@ -108,3 +108,51 @@ def test_hand_cases_kernel():
         dec, *_ = fold.fold_segment(types, dates, INIT)
         got = [e for e, k in zip(evs, dec) if k == fold.ACCEPTED]
         assert got == parse_case(accepted), arrivals
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 30)), max_size=40).map(
+    lambda xs: sorted(xs, key=lambda e: e[1])
+))
+def test_sorted_pieces_equal_general_pieces(evs):
+    types, dates = _arrays(evs)
+    if len(evs) == 0:
+        return
+    assert fold._sorted_pieces(types, dates) == fold._general_pieces(types, dates)
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.sampled_from(["A", "B", "-"]), st.integers(-2, 20)),
+        min_size=1,
+        max_size=40,
+    ),
+    st.sampled_from([INIT, ("A", 3, False), ("-", 0, True)]),
+    st.integers(0, 5),
+)
+def test_fold_runs_sorted_matches_per_run(rows, first_state, first_counter):
+    rows = sorted(rows, key=lambda r: (r[0], r[2]))
+    keys = np.array([r[0] for r in rows], dtype=object)
+    types, dates = _arrays([(r[1], r[2]) for r in rows])
+    got = fold.fold_runs_sorted(keys, types, dates, first_state, first_counter, INIT)
+    # per-run reference
+    dec, pt, pd_, cr, cn = [], [], [], [], []
+    state, counter = first_state, first_counter
+    start = 0
+    for i in range(1, len(rows) + 1):
+        if i == len(rows) or keys[i] != keys[start]:
+            if start > 0:
+                state, counter = INIT, 0
+            d, a, b, c, state = fold.fold_segment(types[start:i], dates[start:i], state)
+            acc = (d == fold.ACCEPTED).astype(np.int64)
+            cn.extend(counter + np.cumsum(acc) - acc)
+            counter += int(acc.sum())
+            dec.extend(d), pt.extend(a), pd_.extend(b), cr.extend(c)
+            start = i
+    assert list(got[0]) == dec
+    assert list(got[1]) == pt
+    assert list(got[2]) == pd_
+    assert list(got[3]) == cr
+    assert list(got[4]) == cn
+    assert got[5] == state and got[6] == counter
