@@ -49,6 +49,14 @@ _HISTORY_STATE = (
 )
 
 
+def _concat(frames) -> pd.DataFrame:
+    frames = list(frames)
+    full = [f for f in frames if len(f)]
+    if not full:
+        return frames[0]
+    return full[0] if len(full) == 1 else pd.concat(full, ignore_index=True)
+
+
 def _accept(key, pdf: pd.DataFrame, state: tuple):
     """Fold one key's rows of a micro-batch (sorted by seq) from ``state``."""
     pdf = pdf.sort_values(SEQ, kind="stable")
@@ -76,7 +84,7 @@ def _history_rows(key, acc: pd.DataFrame, dates: list, types: list, coords: list
 
 def _flat_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     (k,) = key
-    pdf = pd.concat(list(pdfs), ignore_index=True)
+    pdf = _concat(pdfs)
     if state.exists:
         t, d = state.get
         st = (t, int(d), False)
@@ -90,7 +98,7 @@ def _flat_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.Data
 
 def _history_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     (k,) = key
-    pdf = pd.concat(list(pdfs), ignore_index=True)
+    pdf = _concat(pdfs)
     if state.exists:
         t, d, dates, types, coords, locs = state.get
         st = (t, int(d), False)
@@ -134,7 +142,7 @@ class TransitionProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         (k,) = key
-        pdf = pd.concat(list(rows), ignore_index=True)
+        pdf = _concat(rows)
         if self.rule.exists():
             t, d = self.rule.get()
             st = (t, int(d), False)
