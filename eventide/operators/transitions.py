@@ -74,6 +74,9 @@ _ENTER = T.StructType(
     ]
 )
 _INIT = (INITIAL_TYPE, INITIAL_DATE, True)
+# Entering states are one small row per range partition; beyond this many
+# partitions the driver-side table would stop being small.
+MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def _summarise(key: str, type_col: str, date_col: str):
@@ -122,20 +125,32 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=[PID, "_enter_key", "_enter_type", "_enter_date", "_enter_initial"])
 
 
-def _fold_partitions(key: str, type_col: str, date_col: str, enter_cols: list[str]):
+def _check_order(keys, seqs, last_pos) -> None:
+    """The fold needs rows in (key, seq) order; fail rather than fold wrongly."""
+    ok = bool(np.all((keys[1:] > keys[:-1]) | ((keys[1:] == keys[:-1]) & (seqs[1:] > seqs[:-1]))))
+    if last_pos is not None:
+        k, q = last_pos
+        ok = ok and (keys[0] > k or (keys[0] == k and seqs[0] > q))
+    if not ok:
+        raise RuntimeError("rows reached the fold out of (key, seq) order, or seq repeats within a key")
+
+
+def _fold_partitions(key: str, order: str, type_col: str, date_col: str, enter_bc):
     def run(batches):
         cur_key = None
         state = _INIT
         counter = 0
         enter = None
         first = True
+        last_pos = None
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 continue
             if enter is None:
-                ek = pdf["_enter_key"].iat[0]
-                enter = (ek, pdf["_enter_type"].iat[0], pdf["_enter_date"].iat[0], pdf["_enter_initial"].iat[0])
+                enter = enter_bc.value.get(int(pdf[PID].iat[0]), (None, None, None, None))
+            _check_order(pdf[key].to_numpy(dtype=object), pdf[order].to_numpy(dtype=np.int64), last_pos)
+            last_pos = (pdf[key].iat[-1], int(pdf[order].iat[-1]))
             keys = pdf[key].to_numpy(dtype=object)
             types = pdf[type_col].to_numpy(dtype=object)
             dates = pdf[date_col].to_numpy(dtype=np.int64)
@@ -178,7 +193,7 @@ def _fold_partitions(key: str, type_col: str, date_col: str, enter_cols: list[st
                     acc = (d == fold.ACCEPTED).astype(np.int64)
                     change_no[s:e] = counter + np.cumsum(acc) - acc
                     counter += int(acc.sum())
-            out = pdf.drop(columns=enter_cols)
+            out = pdf
             out["accepted"] = dec == fold.ACCEPTED
             out["late"] = dec == fold.LATE
             out["prev_type"] = prev_t
@@ -226,11 +241,18 @@ def annotate_transitions(
         _summarise(key, type_col, date_col), _SUMMARY
     )
     enter = summaries.groupBy("_k").applyInPandas(_compose, _ENTER)
-    enter_cols = [f.name for f in _ENTER.fields if f.name != PID]
-    # ``enter`` has at most one row per partition (P rows): a bounded broadcast.
-    joined = part.join(F.broadcast(enter), on=PID, how="left").sortWithinPartitions(key, order)
+    # At most one row per partition of ``part``: a size bound fixed by the layout,
+    # so it is shipped to every task as a broadcast variable.  Folding the stored
+    # partitions directly keeps their order without a re-sort.
+    n_parts = part.rdd.getNumPartitions()
+    if n_parts > MAX_BROADCAST_PARTITIONS:
+        raise ValueError(f"{n_parts} range partitions exceed the entering-state broadcast bound")
+    states = {
+        int(r[PID]): (r["_enter_key"], r["_enter_type"], r["_enter_date"], r["_enter_initial"]) for r in enter.collect()
+    }
+    enter_bc = spark.sparkContext.broadcast(states)
     schema = T.StructType([f for f in part.schema.fields] + ANNOTATIONS)
-    return joined.mapInPandas(_fold_partitions(key, type_col, date_col, enter_cols), schema)
+    return part.mapInPandas(_fold_partitions(key, order, type_col, date_col, enter_bc), schema)
 
 
 def transitions(events: DataFrame, **kw) -> DataFrame:

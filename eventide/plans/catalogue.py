@@ -139,7 +139,18 @@ def q_replay_after(spark, sf_dir):
 
 def q_replay_after_ids(spark, sf_dir):
     ids = timefmt.parse_ids(REPLAY_IDS)
-    return timetravel.replay_after_rows(_changes(spark, sf_dir), T, ids=ids)
+    changes = transitions.transitions(src.events_from_table(spark, sf_dir, ids=ids))
+    return timetravel.replay_after_rows(changes, T, ids=ids)
+
+
+def q_replay_from_log(spark, sf_dir):
+    """Replay read from the stored change log: date-ranged Parquet files, so the
+    ``date_event > T`` filter is pushed to the scan and skips earlier files."""
+    from ..sources.files import read_change_log, write_change_log
+
+    path = shared_path(spark, "changelog", unique=True)
+    write_change_log(_changes(spark, sf_dir), path)
+    return timetravel.replay_after_rows(read_change_log(spark, path), T)
 
 
 def q_array_ops(spark, sf_dir):
@@ -216,6 +227,7 @@ def catalogue() -> dict[str, Query]:
         "asof_snapshot_rows": q_asof_snapshot_rows,
         "replay_after": q_replay_after,
         "replay_after_ids": q_replay_after_ids,
+        "replay_from_log": q_replay_from_log,
         "array_ops": q_array_ops,
         "parse_event_time": q_parse_event_time,
         "encode_event_json": q_encode_event_json,

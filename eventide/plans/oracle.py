@@ -88,6 +88,7 @@ join (select o_custkey c, max(o_orderdate) m from orders group by 1) g
         "asof_snapshot_rows": ASOF,
         "replay_after": REPLAY,
         "replay_after_ids": f"{REPLAY} and id in ({IDS})",
+        "replay_from_log": REPLAY,
         "array_ops": f"""{TR}select id, count(*) n_changes,
   count(*) filter (where date_event<={T}) n_before,
   min(date_event) filter (where date_event>{T}) first_after,

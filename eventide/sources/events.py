@@ -33,12 +33,21 @@ def epoch_millis(ts: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
-def events_from_table(spark: SparkSession, sf_dir: str, arrival: str = "event_id") -> DataFrame:
+def events_from_table(
+    spark: SparkSession, sf_dir: str, arrival: str = "event_id", ids: list[str] | None = None
+) -> DataFrame:
     """Canonical events from the driver's ``events`` table.
 
     ``arrival="event_id"`` keeps the recorded arrival order (which is also time
-    order); ``arrival="shuffled"`` uses the fixed permutation ``ooo``."""
+    order); ``arrival="shuffled"`` uses the fixed permutation ``ooo``.  ``ids``
+    keeps only those keys, filtered on the raw column so Parquet skips the rest
+    (the transition rule is per key, so selecting keys first is exact)."""
     ev = read_table(spark, sf_dir, "events")
+    if ids is not None:
+        if all(i.lstrip("-").isdigit() for i in ids):
+            ev = ev.where(F.col("user_id").isin([int(i) for i in ids]))
+        else:
+            ev = ev.where(F.col("user_id").cast("string").isin(list(ids)))
     k = F.get_json_object("props", "$.k").try_cast("int")
     if arrival == "event_id":
         seq = F.col("event_id")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schema import DATE_EVENT, ID, SNAPSHOT_COLUMNS
+from ..schema import CHANGE_LOG, DATE_EVENT, ID, SEQ, SNAPSHOT_COLUMNS
 
 REPLAY_SCHEMA = "id string, date_event bigint, event_type string, location string, lat double, lng double"
 
@@ -27,3 +27,17 @@ def write_replay_json(replay: DataFrame, path: str, single_file: bool = False, p
 
 def read_replay_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPLAY_SCHEMA).json(path)
+
+
+def write_change_log(changes: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Store the flat change log range-partitioned and sorted by date: each file
+    covers a date range, so Parquet min/max statistics let ``date_event``
+    filters of the time-travel queries skip whole files and row groups."""
+    cols = [f.name for f in CHANGE_LOG.fields]
+    rows = changes.select(*cols)
+    ranged = rows.repartitionByRange(partitions, DATE_EVENT, ID) if partitions else rows.repartitionByRange(DATE_EVENT, ID)
+    ranged.sortWithinPartitions(DATE_EVENT, ID, SEQ).write.mode("overwrite").parquet(path)
+
+
+def read_change_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CHANGE_LOG).parquet(path)
