@@ -1,8 +1,8 @@
 """Time and argument helpers of the batch reader.
 
 ``event_time_millis`` turns a ``dd/MM/yyyy`` date text and a ``HH:mm:ss`` time
-text into epoch milliseconds in the session time zone; invalid dates give NULL
-(no lenient roll-over).  ``parse_ids`` reads the id-list argument.
+text into epoch milliseconds, the wall clock read as UTC whatever the session
+time zone; invalid dates give NULL (no lenient roll-over).  ``parse_ids`` reads the id-list argument.
 """
 
 from __future__ import annotations
@@ -14,14 +14,34 @@ from pyspark.sql import functions as F
 # id-list argument that means "all ids".
 DATE_FORMAT = "dd/MM/yyyy"
 TIME_FORMAT = "HH:mm:ss"
+TEXT_PATTERN = r"^(\d{2})/(\d{2})/(\d{4}) (\d{2}):(\d{2}):(\d{2})$"
 ALL_IDS = "no-id"
 
 
+def wall_clock_millis(ts: Column) -> Column:
+    """Epoch milliseconds (floor) of a TIMESTAMP_NTZ read as UTC wall-clock time.
+
+    Built from the date and time-of-day fields, which carry no zone, so the
+    result does not depend on ``spark.sql.session.timeZone``."""
+    day_ms = F.unix_date(ts.cast("date")).cast("long") * F.lit(86_400_000)
+    secs = F.date_part(F.lit("SECOND"), ts)  # seconds with microsecond fraction
+    tod = F.hour(ts).cast("long") * 3_600_000 + F.minute(ts).cast("long") * 60_000 + F.floor(secs * 1000)
+    return (day_ms + tod).cast("long")
+
+
 def event_time_millis(date_text: Column | str, time_text: Column | str) -> Column:
+    """Epoch ms of ``dd/MM/yyyy`` + ``HH:mm:ss`` texts, the wall clock read as UTC.
+
+    The texts must match the layout exactly; impossible dates or times give NULL.
+    The value is built without a session-zone timestamp, so no zone (and no DST
+    gap) shifts it."""
     d = F.col(date_text) if isinstance(date_text, str) else date_text
     t = F.col(time_text) if isinstance(time_text, str) else time_text
-    ts = F.try_to_timestamp(F.concat_ws(" ", d, t), F.lit(f"{DATE_FORMAT} {TIME_FORMAT}"))
-    return F.unix_millis(ts)
+    text = F.concat_ws(" ", d, t)
+    part = [F.regexp_extract(text, TEXT_PATTERN, i).try_cast("int") for i in range(1, 7)]
+    day, month, year, hour, minute, second = part
+    ts = F.try_make_timestamp_ntz(year, month, day, hour, minute, second)
+    return wall_clock_millis(ts)
 
 
 def event_time_literal(spark, date_text: str, time_text: str) -> int | None:

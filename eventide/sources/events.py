@@ -30,7 +30,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def epoch_millis(ts: Column) -> Column:
     """Epoch milliseconds (floor) of a TIMESTAMP_NTZ taken as UTC, independent of
     the session time zone."""
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    from ..functions.timefmt import wall_clock_millis
+
+    return wall_clock_millis(ts)
 
 
 def events_from_table(

@@ -75,3 +75,21 @@ def test_parse_ids(spark):
 
     r = spark.range(1).select(timefmt.split_ids(F.lit("x,y")).alias("a"), timefmt.split_ids(F.lit("no-id")).alias("b")).first()
     assert r.a == ["x", "y"] and r.b is None
+
+
+def test_times_do_not_depend_on_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from eventide.sources.events import epoch_millis
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([("2024-07-01 12:34:56.789999",)], "s string")
+            ms = df.select(epoch_millis(F.col("s").cast("timestamp_ntz"))).first()[0]
+            gap = timefmt.event_time_literal(spark, "10/03/2024", "02:30:00")
+            assert (ms, gap) == (1719837296789, 1710037800000)
+            assert timefmt.event_time_literal(spark, "1/01/2017", "12:31:00") is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
