@@ -49,14 +49,15 @@ def history_table(changes: DataFrame, key: str = ID, order: str = SEQ, segment_s
     """One row per key (per segment of ``segment_size`` changes for longer
     histories) with the current values and the four history arrays.
 
-    With annotated input (``_pid``, ``change_no`` from ``annotate_transitions``)
+    With annotated input (``_chunk``, ``change_no`` from ``annotate_transitions``)
     a segment is a run of at most ``segment_size`` consecutive changes inside one
-    partition; otherwise the whole key is one row.  Arrays are in arrival order.
+    fold chunk; otherwise the whole key is one row.  Arrays are in arrival order.
     """
-    segmented = "_pid" in changes.columns and "change_no" in changes.columns
+    segmented = "_chunk" in changes.columns and "change_no" in changes.columns
     keys = [F.col(key).alias(ID)]
     if segmented:
-        keys.append(F.struct(F.col("_pid"), F.floor(F.col("change_no") / F.lit(segment_size)).alias("block")).alias("segment"))
+        block = F.floor(F.col("change_no") / F.lit(segment_size)).alias("block")
+        keys.append(F.struct(F.col("_chunk"), block).alias("segment"))
     entry = F.struct(
         F.col(order).alias("seq"),
         F.col(DATE_EVENT).alias("d"),

@@ -3,20 +3,22 @@
 :func:`annotate_transitions` is the exact form for any arrival order and any key
 skew:
 
-1. ``repartitionByRange(P, key, seq)`` + ``sortWithinPartitions``: the range
+1. ``repartitionByRange(key, seq)`` + ``sortWithinPartitions``: the range
    partitioner samples ``(key, seq)``, so a key holding a third of all rows is
    spread over about a third of the partitions instead of landing in one task.
-   The layout is checkpointed (shared ``spark.checkpoint.dir``) so both passes
-   below see the same partitions, and a lost executor only re-reads files.
-2. Each partition summarises the slice of its *last* key as a piecewise function
-   entering state -> leaving state (``fold.run_pieces``).  Only the first key of
-   a partition can continue from earlier partitions, so there is one summary and
-   one request per partition: at most ``2 P`` small rows.
-3. Summaries are composed per key in partition order (``applyInPandas`` over the
-   summary rows only), giving the entering state of every partition's first key.
-   That table has at most ``P`` rows and is broadcast.
-4. Every partition folds its rows from those entering states (``mapInPandas``,
-   vectorised when a slice's dates are non-decreasing).
+   The sorted layout is written once as Parquet into the shared checkpoint
+   folder (one file per range; lineage cut, columnar re-reads).
+2. Each task of a re-read holds contiguous *chunks* of that order (a file or a
+   split of one; a ``_pid`` change marks a chunk boundary).  Per chunk, a JVM
+   aggregate finds its first row (a request for the entering state of its first
+   key) and its last key; only that last key's slice goes to Python, to be
+   summarised as a piecewise function entering state -> leaving state
+   (``fold.run_pieces``).
+3. Requests and summaries are composed per key in sequence order
+   (``applyInPandas`` over those rows only), giving the entering state of every
+   chunk.  That table has one row per chunk and is broadcast.
+4. Every task folds its chunks from those entering states (``mapInPandas``,
+   vectorised across keys when dates are non-decreasing).
 
 :func:`transitions_lag` is the plain built-in window form.  It equals the fold
 only when each key's dates are non-decreasing in arrival order, and its
@@ -33,26 +35,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, INITIAL_DATE, INITIAL_TYPE, SEQ
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import ensure_checkpoint_dir, shared_path, ship_package
 from . import fold
 
 PID = "_pid"
+CHUNK = "_chunk"
 ANNOTATIONS = [
     T.StructField("accepted", T.BooleanType()),
     T.StructField("late", T.BooleanType()),
     T.StructField("prev_type", T.StringType()),
     T.StructField("prev_date", T.LongType()),
     T.StructField("created", T.BooleanType()),
-    # accepted changes of this key before this row, counted within the partition
+    # first seq of the chunk this row was folded in, and the accepted changes of
+    # this key before this row within that chunk
+    T.StructField(CHUNK, T.LongType()),
     T.StructField("change_no", T.LongType()),
 ]
 
-# One pass writes two rows per partition: a request for the entering state of
-# its first key (role 0) and the summary of its last key's slice (role 1).
+# Two rows per chunk: a request for the entering state of its first key (role 0,
+# at the chunk's first seq) and the summary of its last key's slice (role 1, at
+# that slice's first seq).
 _SUMMARY = T.StructType(
     [
-        T.StructField(PID, T.IntegerType()),
         T.StructField("_k", T.StringType()),
+        T.StructField("_pos", T.LongType()),
         T.StructField("_role", T.IntegerType()),
         T.StructField("thr", T.ArrayType(T.LongType())),
         T.StructField("kind", T.ArrayType(T.IntegerType())),
@@ -66,139 +72,131 @@ _SUMMARY = T.StructType(
 _PIECES = ["thr", "kind", "t1", "x1t", "x1d", "x2t", "x2d"]
 _ENTER = T.StructType(
     [
-        T.StructField(PID, T.IntegerType()),
-        T.StructField("_enter_key", T.StringType()),
+        T.StructField("_k", T.StringType()),
+        T.StructField("_pos", T.LongType()),
         T.StructField("_enter_type", T.StringType()),
         T.StructField("_enter_date", T.LongType()),
         T.StructField("_enter_initial", T.BooleanType()),
     ]
 )
 _INIT = (INITIAL_TYPE, INITIAL_DATE, True)
-# Entering states are one small row per range partition; beyond this many
-# partitions the driver-side table would stop being small.
-MAX_BROADCAST_PARTITIONS = 1_000_000
+# Entering states are one small row per chunk (about one per range partition);
+# beyond this many the driver-side table would stop being small.
+MAX_BROADCAST_CHUNKS = 2_000_000
 
 
-def _summarise(key: str, type_col: str, date_col: str):
+def _check_order(keys, seqs, last_pos) -> None:
+    """The fold needs rows in (key, seq) order; fail rather than fold wrongly."""
+    ok = bool(np.all((keys[1:] > keys[:-1]) | ((keys[1:] == keys[:-1]) & (seqs[1:] > seqs[:-1]))))
+    if last_pos is not None:
+        k, q = last_pos
+        ok = ok and (keys[0] > k or (keys[0] == k and seqs[0] > q))
+    if not ok:
+        raise RuntimeError("rows reached the fold out of (key, seq) order, or seq repeats within a key")
+
+
+def _chunks(pids):
+    """(start, end) of the runs of equal ``_pid`` in a batch."""
+    cuts = np.flatnonzero(pids[1:] != pids[:-1]) + 1
+    starts = np.concatenate([[0], cuts]).tolist()
+    ends = np.concatenate([cuts, [len(pids)]]).tolist()
+    return zip(starts, ends)
+
+
+def _summarise(order: str, type_col: str, date_col: str):
+    """Pieces of each chunk's last-key slice; only those rows reach this function
+    (several chunks may share a task, told apart by ``_pid``)."""
+
     def run(batches):
-        pid = None
-        first_key = None
-        cur_key = None
-        cur_types: list = []
-        cur_dates: list = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pid is None:
-                pid = int(pdf[PID].iat[0])
-                first_key = pdf[key].iat[0]
-            keys = pdf[key].to_numpy(dtype=object)
-            last = keys[-1]
-            start = int(np.flatnonzero(keys != last)[-1]) + 1 if (keys != last).any() else 0
-            if start > 0 or last != cur_key:
-                cur_types, cur_dates = [], []
-            cur_key = last
-            cur_types.append(pdf[type_col].to_numpy(dtype=object)[start:])
-            cur_dates.append(pdf[date_col].to_numpy(dtype=np.int64)[start:])
-        if pid is None:
+        frames = [pdf for pdf in batches if len(pdf)]
+        if not frames:
             return
-        pieces = fold.run_pieces(np.concatenate(cur_types), np.concatenate(cur_dates))
-        rows = {PID: [pid, pid], "_k": [first_key, cur_key], "_role": [0, 1]}
-        for name, values in zip(_PIECES, pieces):
-            rows[name] = [None, list(values)]
-        yield pd.DataFrame(rows)
+        pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        rows = []
+        for pid, part in pdf.groupby(PID, sort=False):
+            part = part.sort_values(order, kind="stable")
+            pieces = fold.run_pieces(part[type_col].to_numpy(dtype=object), part[date_col].to_numpy(dtype=np.int64))
+            rows.append((part["_k"].iat[0], int(part[order].iat[0]), 1, *[list(v) for v in pieces]))
+        yield pd.DataFrame(rows, columns=[f.name for f in _SUMMARY.fields])
 
     return run
 
 
 def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one key: requests (kind 0) and summaries (kind 1), by partition."""
-    pdf = pdf.sort_values([PID, "_role"], kind="stable")
+    """Rows of one key in sequence order: answer requests, apply summaries."""
+    pdf = pdf.sort_values(["_pos", "_role"], kind="stable")
     state = _INIT
     out = []
     pieces = [pdf[c].to_numpy(dtype=object) for c in _PIECES]
-    for i, (pid, k, role) in enumerate(zip(pdf[PID].tolist(), pdf["_k"].tolist(), pdf["_role"].tolist())):
+    for i, (k, pos, role) in enumerate(zip(pdf["_k"].tolist(), pdf["_pos"].tolist(), pdf["_role"].tolist())):
         if role == 0:
-            out.append((pid, k, state[0], state[1], state[2]))
+            out.append((k, pos, state[0], state[1], state[2]))
         else:
             state = fold.apply_pieces(*(p[i] for p in pieces), state)
-    return pd.DataFrame(out, columns=[PID, "_enter_key", "_enter_type", "_enter_date", "_enter_initial"])
-
-
-def _check_order(keys, seqs, last_pos) -> None:
-    """The fold needs rows in (key, seq) order; fail rather than fold wrongly."""
-    ok = bool(np.all((keys[1:] > keys[:-1]) | ((keys[1:] == keys[:-1]) & (seqs[1:] > seqs[:-1]))))
-    if last_pos is not None:
-        k, q = last_pos
-        ok = ok and (keys[0] > k or (keys[0] == k and seqs[0] > q))
-    if not ok:
-        raise RuntimeError("rows reached the fold out of (key, seq) order, or seq repeats within a key")
+    return pd.DataFrame(out, columns=[f.name for f in _ENTER.fields])
 
 
-def _fold_partitions(key: str, order: str, type_col: str, date_col: str, enter_bc):
+def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc):
     def run(batches):
+        enter = enter_bc.value
+        cur_pid = None
         cur_key = None
+        chunk = None
         state = _INIT
         counter = 0
-        enter = None
-        first = True
         last_pos = None
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 continue
-            if enter is None:
-                enter = enter_bc.value.get(int(pdf[PID].iat[0]), (None, None, None, None))
-            _check_order(pdf[key].to_numpy(dtype=object), pdf[order].to_numpy(dtype=np.int64), last_pos)
-            last_pos = (pdf[key].iat[-1], int(pdf[order].iat[-1]))
+            pids = pdf[PID].to_numpy()
             keys = pdf[key].to_numpy(dtype=object)
+            seqs = pdf[order].to_numpy(dtype=np.int64)
             types = pdf[type_col].to_numpy(dtype=object)
             dates = pdf[date_col].to_numpy(dtype=np.int64)
-            k0 = keys[0]
-            if k0 != cur_key:
-                if first and enter[0] is not None and enter[0] == k0 and not pd.isna(enter[2]):
-                    state = (enter[1], int(enter[2]), bool(enter[3]))
+            dec = np.empty(n, np.int8)
+            prev_t = np.empty(n, object)
+            prev_d = np.empty(n, np.int64)
+            created = np.empty(n, bool)
+            change_no = np.empty(n, np.int64)
+            chunk_col = np.empty(n, np.int64)
+            for s, e in _chunks(pids):
+                if pids[s] != cur_pid:
+                    start = (keys[s], int(seqs[s]))
+                    if start not in enter:
+                        raise RuntimeError(f"no entering state for the chunk starting at {start}")
+                    cur_pid, cur_key, chunk, last_pos = pids[s], keys[s], start[1], None
+                    state, counter = enter[start], 0
+                _check_order(keys[s:e], seqs[s:e], last_pos)
+                last_pos = (keys[e - 1], int(seqs[e - 1]))
+                if keys[s] != cur_key:
+                    state, counter = _INIT, 0
+                chunk_col[s:e] = chunk
+                k, t, d = keys[s:e], types[s:e], dates[s:e]
+                same = k[1:] == k[:-1]
+                if not bool(np.any(same & (d[1:] < d[:-1]))):
+                    # every key's dates are non-decreasing here: one vectorised pass
+                    res = fold.fold_runs_sorted(k, t, d, state, counter, _INIT)
+                    dec[s:e], prev_t[s:e], prev_d[s:e], created[s:e], change_no[s:e], state, counter = res
                 else:
-                    state = _INIT
-                counter = 0
-            first = False
-            same = keys[1:] == keys[:-1]
-            if not bool(np.any(same & (dates[1:] < dates[:-1]))):
-                # every key's dates are non-decreasing in this batch: one vectorised pass
-                dec, prev_t, prev_d, created, change_no, state, counter = fold.fold_runs_sorted(
-                    keys, types, dates, state, counter, _INIT
-                )
-                cur_key = keys[-1]
-            else:
-                dec = np.empty(n, np.int8)
-                prev_t = np.empty(n, object)
-                prev_d = np.empty(n, np.int64)
-                created = np.empty(n, bool)
-                change_no = np.empty(n, np.int64)
-                cuts = np.flatnonzero(~same) + 1
-                starts = np.concatenate([[0], cuts])
-                ends = np.concatenate([cuts, [n]])
-                for s, e in zip(starts.tolist(), ends.tolist()):
-                    k = keys[s]
-                    if k != cur_key:
-                        if s > 0:
-                            state = _INIT
-                            counter = 0
-                        cur_key = k
-                    d, pt, pdt, cr, state = fold.fold_segment(types[s:e], dates[s:e], state)
-                    dec[s:e] = d
-                    prev_t[s:e] = pt
-                    prev_d[s:e] = pdt
-                    created[s:e] = cr
-                    acc = (d == fold.ACCEPTED).astype(np.int64)
-                    change_no[s:e] = counter + np.cumsum(acc) - acc
-                    counter += int(acc.sum())
+                    cuts = np.flatnonzero(~same) + 1
+                    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), e - s]):
+                        if a > 0:
+                            state, counter = _INIT, 0
+                        r = fold.fold_segment(t[a:b], d[a:b], state)
+                        dec[s + a : s + b], prev_t[s + a : s + b], prev_d[s + a : s + b], created[s + a : s + b] = r[:4]
+                        state = r[4]
+                        acc = (r[0] == fold.ACCEPTED).astype(np.int64)
+                        change_no[s + a : s + b] = counter + np.cumsum(acc) - acc
+                        counter += int(acc.sum())
+                cur_key = keys[e - 1]
             out = pdf
             out["accepted"] = dec == fold.ACCEPTED
             out["late"] = dec == fold.LATE
             out["prev_type"] = prev_t
             out["prev_date"] = prev_d
             out["created"] = created
+            out[CHUNK] = chunk_col
             out["change_no"] = change_no
             yield out
 
@@ -218,11 +216,12 @@ def annotate_transitions(
 
     Adds ``accepted``, ``late`` (type differs but older than the state),
     ``prev_type`` / ``prev_date`` (the state it was compared with), ``created``
-    (the key had no accepted change before) and ``change_no``, plus ``_pid``.
-    Events with a NULL key, type or date are left out.  ``order`` must be unique
-    within a key (an arrival position such as a topic offset).
+    (the key had no accepted change before), ``_pid``, ``_chunk`` and
+    ``change_no``.  Events with a NULL key, type or date are left out.  ``order``
+    must be unique within a key (an arrival position such as a topic offset).
 
-    Runs one eager checkpoint job; the returned frame is lazy.
+    Writes the range-sorted layout and runs the small summary job eagerly; the
+    returned frame (the fold itself) is lazy.
     """
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
@@ -232,27 +231,38 @@ def annotate_transitions(
     # Without an explicit count the range exchange uses spark.sql.shuffle.partitions
     # and AQE merges small neighbouring ranges; ranges stay contiguous either way.
     ranged = base.repartitionByRange(num_partitions, key, order) if num_partitions else base.repartitionByRange(key, order)
-    part = (
-        ranged.sortWithinPartitions(key, order)
-        .withColumn(PID, F.spark_partition_id())
-        .checkpoint(eager=True)
+    layout = ranged.sortWithinPartitions(key, order).withColumn(PID, F.spark_partition_id())
+    path = shared_path(spark, "fold", unique=True)
+    # One file per range (no record cap), rows in (key, seq) order.
+    layout.write.option("maxRecordsPerFile", 0).mode("overwrite").parquet(path)
+    stored = spark.read.schema(layout.schema).parquet(path)
+
+    # Chunks: runs of one range file inside one read task.  Their first row and
+    # last key come from a JVM aggregate (one row per chunk); only the last key's
+    # slice of each chunk goes through Python, picked by a broadcast semi-join on
+    # that bounded table, so the scan partitions stay where they are.
+    tasked = stored.withColumn("_task", F.spark_partition_id())
+    bounds = tasked.groupBy("_task", PID).agg(
+        F.min(F.struct(F.col(key).alias("k"), F.col(order).alias("q"))).alias("_first"),
+        F.max(key).alias("_last"),
+    )
+    slices = tasked.select("_task", PID, F.col(key).alias("_k"), order, type_col, date_col).join(
+        F.broadcast(bounds.select("_task", PID, F.col("_last").alias("_k"))), on=["_task", PID, "_k"], how="left_semi"
     )
-    summaries = part.select(PID, key, type_col, date_col).mapInPandas(
-        _summarise(key, type_col, date_col), _SUMMARY
+    summaries = slices.mapInPandas(_summarise(order, type_col, date_col), _SUMMARY)
+    no_pieces = [F.lit(None).cast(f.dataType).alias(f.name) for f in _SUMMARY.fields if f.name in _PIECES]
+    requests = bounds.select(
+        F.col("_first.k").alias("_k"), F.col("_first.q").alias("_pos"), F.lit(0).alias("_role"), *no_pieces
     )
-    enter = summaries.groupBy("_k").applyInPandas(_compose, _ENTER)
-    # At most one row per partition of ``part``: a size bound fixed by the layout,
-    # so it is shipped to every task as a broadcast variable.  Folding the stored
-    # partitions directly keeps their order without a re-sort.
-    n_parts = part.rdd.getNumPartitions()
-    if n_parts > MAX_BROADCAST_PARTITIONS:
-        raise ValueError(f"{n_parts} range partitions exceed the entering-state broadcast bound")
-    states = {
-        int(r[PID]): (r["_enter_key"], r["_enter_type"], r["_enter_date"], r["_enter_initial"]) for r in enter.collect()
-    }
+    enter = requests.unionByName(summaries).groupBy("_k").applyInPandas(_compose, _ENTER)
+    # One row per chunk: bounded by the layout, shipped as a broadcast variable.
+    states = {(r["_k"], int(r["_pos"])): (r["_enter_type"], int(r["_enter_date"]), bool(r["_enter_initial"]))
+              for r in enter.collect()}
+    if len(states) > MAX_BROADCAST_CHUNKS:
+        raise ValueError(f"{len(states)} chunks exceed the entering-state broadcast bound")
     enter_bc = spark.sparkContext.broadcast(states)
-    schema = T.StructType([f for f in part.schema.fields] + ANNOTATIONS)
-    return part.mapInPandas(_fold_partitions(key, order, type_col, date_col, enter_bc), schema)
+    schema = T.StructType(list(stored.schema.fields) + ANNOTATIONS)
+    return stored.mapInPandas(_fold_chunks(key, order, type_col, date_col, enter_bc), schema)
 
 
 def transitions(events: DataFrame, **kw) -> DataFrame:

@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Larger Arrow batches for the pandas passes (fewer JVM<->Python round trips).
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         # Python workers talk to the JVM over a unix socket: no TCP port for state.

@@ -27,7 +27,7 @@ def _expected(rows):
 
 def _got(spark, rows, parts):
     ann = tr.annotate_transitions(make_events(spark, rows), num_partitions=parts)
-    res = ann.select("id", "seq", "accepted", "late", "_pid").collect()
+    res = ann.select("id", "seq", "accepted", "late", "_pid", "_chunk").collect()
     acc = {(r.id, r.seq) for r in res if r.accepted}
     late = {(r.id, r.seq) for r in res if r.late}
     return acc, late, res
@@ -103,3 +103,35 @@ def test_driver_table_counts(spark):
     shuffled = tr.annotate_transitions(events_from_table(spark, SF01, "shuffled"))
     assert shuffled.where("accepted").count() == 713
     assert shuffled.where("late").count() == 7342
+
+
+def test_file_splits_become_chunks(spark):
+    """Tiny row groups and read splits cut one range file into several chunks
+    (tasks); entering states are composed across them and the result is exact."""
+    rnd = random.Random(9)
+    rows = []
+    for seq in range(3000):
+        k = "hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 20)}"
+        rows.append((k, rnd.choice("ABC"), rnd.randint(0, 200), seq))
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    old_block = hconf.get("parquet.block.size")
+    old_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        hconf.set("parquet.block.size", "2048")
+        hconf.set("parquet.page.size", "512")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        acc, late, res = _got(spark, rows, 3)
+    finally:
+        if old_block is None:
+            hconf.unset("parquet.block.size")
+        else:
+            hconf.set("parquet.block.size", old_block)
+        hconf.unset("parquet.page.size")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old_split)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want_acc, want_late = _expected(rows)
+    assert acc == want_acc
+    assert late == want_late
+    # some range file was read as more than one chunk
+    assert len({r._chunk for r in res}) > len({r._pid for r in res})
