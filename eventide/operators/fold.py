@@ -191,7 +191,7 @@ def run_pieces(types: np.ndarray, dates: np.ndarray):
         return [], [], [], [], [], [], []
     if n == 1 or bool(np.all(dates[1:] >= dates[:-1])):
         return _sorted_pieces(types, dates)
-    return _general_pieces(types, dates)
+    return _vector_pieces(types, dates)
 
 
 def _general_pieces(types, dates):
@@ -245,6 +245,105 @@ def _general_pieces(types, dates):
     return thr, kind, t1s, x1t, x1d, x2t, x2d
 
 
+def _first_at_least(pos_dates: np.ndarray, starts: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """For each query, the first position ``p >= start`` with ``pos_dates[p] >=
+    need`` (``len(pos_dates)`` if none): binary lifting over a sparse table of
+    block maxima, all queries at once."""
+    m = len(pos_dates)
+    pos = starts.copy()
+    if m == 0 or len(pos) == 0:
+        return np.full(len(starts), m, np.int64)
+    table = [pos_dates]
+    k = 1
+    while (1 << k) <= m:
+        prev = table[-1]
+        half = 1 << (k - 1)
+        table.append(np.maximum(prev[: len(prev) - half], prev[half:]))
+        k += 1
+    for level in range(len(table) - 1, -1, -1):
+        width = 1 << level
+        block = table[level]
+        ok = pos + width <= m
+        idx = np.where(ok, pos, 0)
+        skip = ok & (block[np.minimum(idx, len(block) - 1)] < need)
+        pos = np.where(skip, pos + width, pos)
+    return pos
+
+
+def _vector_pieces(types, dates):
+    """:func:`run_pieces` for any date order, vectorised (numpy, O(n K log n)).
+
+    next pointers: per type, the first later element of that type with a date
+    at least as large (binary lifting); chain ends by pointer doubling; the
+    sweep over descending dates keeps, per type, the smallest index seen, and
+    the two smallest across types give the entry candidates."""
+    n = len(types)
+    idx = np.arange(n, dtype=np.int64)
+    uniq_types, tcode = np.unique(types.astype(str), return_inverse=True)
+    type_of = np.asarray(types, dtype=object)
+    nxt = np.full(n, n, np.int64)
+    for u in range(len(uniq_types)):
+        where_u = np.flatnonzero(tcode == u)
+        q = np.flatnonzero(tcode != u)
+        if len(q) == 0 or len(where_u) == 0:
+            continue
+        starts = np.searchsorted(where_u, q, side="right")
+        found = _first_at_least(dates[where_u], starts, dates[q])
+        cand = np.where(found < len(where_u), where_u[np.minimum(found, len(where_u) - 1)], n)
+        nxt[q] = np.minimum(nxt[q], cand)
+    end = np.where(nxt < n, nxt, idx)
+    while True:
+        nxt_end = end[end]
+        if np.array_equal(nxt_end, end):
+            break
+        end = nxt_end
+    # sweep: distinct dates descending; per type the running minimum index
+    order = np.argsort(dates, kind="stable")[::-1]  # ties in any order: whole groups are taken
+    d_sorted = dates[order]
+    last_of_group = np.flatnonzero(np.concatenate([d_sorted[1:] != d_sorted[:-1], [True]]))
+    k_types = len(uniq_types)
+    runmin = np.full((k_types, len(last_of_group)), n, np.int64)
+    for u in range(k_types):
+        vals = np.where(tcode[order] == u, order, n)
+        runmin[u] = np.minimum.accumulate(vals)[last_of_group]
+    two = np.sort(runmin, axis=0)[:2] if k_types > 1 else np.vstack([runmin[0], np.full(runmin.shape[1], n)])
+    i1, i2 = two[0], two[1]
+    thr_desc = d_sorted[last_of_group]
+    e1 = end[i1]
+    has2 = i2 < n
+    e2 = np.where(has2, end[np.minimum(i2, n - 1)], -1)
+    x1t = type_of[e1]
+    x1d = dates[e1]
+    x2t = np.where(has2, type_of[np.maximum(e2, 0)], None)
+    x2d = np.where(has2, dates[np.maximum(e2, 0)], 0)
+    same_exit = has2 & (tcode[e1] == tcode[np.maximum(e2, 0)]) & (x1d == x2d)
+    kind = np.where(~has2, PIECE_ONE, np.where(same_exit, PIECE_CONST, PIECE_TWO))
+    t1 = np.where(kind == PIECE_CONST, None, type_of[i1])
+    x2t = np.where(kind == PIECE_TWO, x2t, None)
+    x2d_keep = kind == PIECE_TWO
+    # merge consecutive equal values (descending order keeps the larger threshold)
+    t1c = np.where(kind == PIECE_CONST, -1, tcode[i1])
+    x2tc = np.where(x2d_keep, tcode[np.maximum(e2, 0)], -1)
+    x2dc = np.where(x2d_keep, x2d, 0)
+    sig = [kind, t1c, tcode[e1], x1d, x2tc, x2dc]
+    change = np.ones(len(kind), bool)
+    if len(kind) > 1:
+        diff = np.zeros(len(kind) - 1, bool)
+        for a in sig:
+            diff |= a[1:] != a[:-1]
+        change[1:] = diff
+    keep = np.flatnonzero(change)[::-1]
+    return (
+        [int(v) for v in thr_desc[keep]],
+        [int(v) for v in kind[keep]],
+        [t1[i] for i in keep],
+        [x1t[i] for i in keep],
+        [int(x1d[i]) for i in keep],
+        [x2t[i] for i in keep],
+        [int(x2d[i]) if x2d_keep[i] else None for i in keep],
+    )
+
+
 def _sorted_pieces(types, dates):
     """:func:`run_pieces` for non-decreasing dates, vectorised.
 

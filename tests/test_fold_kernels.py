@@ -156,3 +156,12 @@ def test_fold_runs_sorted_matches_per_run(rows, first_state, first_counter):
     assert list(got[3]) == cr
     assert list(got[4]) == cn
     assert got[5] == state and got[6] == counter
+
+
+@settings(max_examples=500, deadline=None)
+@given(events)
+def test_vector_pieces_equal_general_pieces(evs):
+    if not evs:
+        return
+    types, dates = _arrays(evs)
+    assert fold._vector_pieces(types, dates) == fold._general_pieces(types, dates)
