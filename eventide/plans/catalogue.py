@@ -94,10 +94,13 @@ def _two_batch_table(spark, sf_dir) -> str:
     the rest), each reduced to its latest row per key before the MERGE."""
     path = shared_path(spark, "tables", "history", unique=True)
     tbl.ensure_table(spark, path, hist.TABLE_ROW)
-    rows = hist.history_rows(_changes(spark, sf_dir)).withColumnRenamed(SEQ, "last_seq")
-    for version, cond in ((1, F.col(DATE_EVENT) <= T), (2, F.col(DATE_EVENT) > T)):
-        one = latest.latest_per_key(rows.where(cond), ID, [DATE_EVENT, F.size("date_event_memory"), "last_seq"])
-        tbl.upsert(spark, path, one, ID, version=version, guard=DATE_EVENT)
+    rows = hist.history_rows(_changes(spark, sf_dir)).withColumnRenamed(SEQ, "last_seq").persist()
+    try:
+        for version, cond in ((1, F.col(DATE_EVENT) <= T), (2, F.col(DATE_EVENT) > T)):
+            one = latest.latest_per_key(rows.where(cond), ID, [DATE_EVENT, F.size("date_event_memory"), "last_seq"])
+            tbl.upsert(spark, path, one, ID, version=version, guard=DATE_EVENT)
+    finally:
+        rows.unpersist()
     return path
 
 

@@ -54,7 +54,9 @@ def events_from_table(
     if arrival == "event_id":
         seq = F.col("event_id")
     elif arrival == "shuffled":
-        seq = (F.col("event_id") * OOO_MULTIPLIER) % OOO_MODULUS
+        # ties (only beyond OOO_MODULUS events) broken by event_id: seq stays unique
+        ooo = (F.col("event_id") * OOO_MULTIPLIER) % OOO_MODULUS
+        seq = ooo * F.lit(1 << 32) + F.col("event_id")
     else:
         raise ValueError(f"unknown arrival order {arrival!r}")
     return ev.select(
