@@ -147,17 +147,22 @@ def kafka_messages(
     topic: str,
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = True,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Kafka topic as a stream of ``value`` text plus an arrival position
-    ``seq`` (partition, offset).  Needs the spark-sql-kafka package."""
-    raw = (
+    ``seq`` (partition, offset).  ``max_offsets_per_trigger`` caps a micro-batch
+    (and so what one key's group holds in a stateful task).  Needs the
+    spark-sql-kafka package."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("failOnDataLoss", str(fail_on_data_loss).lower())
-        .load()
     )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    raw = reader.load()
     # One id must stay in one topic partition for arrival order to be defined;
     # seq orders by offset within the partition.
     seq = F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")

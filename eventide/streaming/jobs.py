@@ -28,6 +28,9 @@ from .processor import keyed_transitions
 
 # Fixed split of the test stream into two arrival windows (2024-01-15 UTC).
 WINDOW_SPLIT = 1705276800000
+# Default cap on records per micro-batch from Kafka: it bounds what one key's
+# group (and so one stateful task) holds in a batch.
+MAX_OFFSETS_PER_TRIGGER = 20_000_000
 
 
 def to_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str):
@@ -62,7 +65,13 @@ def run_available(df: DataFrame, out: str, checkpoint: str, fmt: str = "parquet"
     q.awaitTermination()
 
 
-def upsert_stream(history_messages: DataFrame, table_path: str, checkpoint: str, guard: str | None = DATE_EVENT):
+def upsert_stream(
+    history_messages: DataFrame,
+    table_path: str,
+    checkpoint: str,
+    guard: str | None = DATE_EVENT,
+    available_now: bool = True,
+):
     """Second hop: decode history rows, keep the latest per key in each
     micro-batch, MERGE into the table.  Version = batch id + 1, so a replayed
     batch rewrites its own snapshot."""
@@ -75,19 +84,17 @@ def upsert_stream(history_messages: DataFrame, table_path: str, checkpoint: str,
                                     [DATE_EVENT, F.size("date_event_memory"), "last_seq"])
         tbl.upsert(spark, table_path, one, ID, version=batch_id + 1, guard=guard)
 
-    return (
-        rows.writeStream.foreachBatch(merge_batch)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.foreachBatch(merge_batch).outputMode("update").option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 # --- registered queries -------------------------------------------------------------------
 
 
-_WINDOWS = (F.col(DATE_EVENT) <= WINDOW_SPLIT, F.col(DATE_EVENT) > WINDOW_SPLIT)
+def _windows():
+    return (F.col(DATE_EVENT) <= WINDOW_SPLIT, F.col(DATE_EVENT) > WINDOW_SPLIT)
 
 
 def _prepare(spark: SparkSession) -> str:
@@ -100,7 +107,7 @@ def _run_two_windows(spark: SparkSession, sf_dir: str, history: bool, parse_only
     base = _prepare(spark)
     events = src.events_from_table(spark, sf_dir)
     out, ckpt = f"{base}/out", f"{base}/checkpoint"
-    for i, window in enumerate(_WINDOWS):
+    for i, window in enumerate(_windows()):
         # The source folder grows by one window per run; the restarted query
         # resumes from its checkpoint (file offsets and keyed state).
         src.to_input_json(events.where(window)).write.mode("overwrite").json(f"{base}/in/w{i}")
@@ -130,7 +137,7 @@ def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = transitions.transitions(src.events_from_table(spark, sf_dir))
     rows = hist.history_rows(changes).withColumnRenamed(SEQ, "last_seq")
     table_path = f"{base}/table"
-    for i, window in enumerate(_WINDOWS):
+    for i, window in enumerate(_windows()):
         jsonio.encode(rows.where(window)).write.mode("overwrite").json(f"{base}/in/w{i}")
         stream = spark.readStream.schema("value string").json(f"{base}/in/*")
         upsert_stream(stream, table_path, f"{base}/checkpoint").awaitTermination()

@@ -112,3 +112,22 @@ def test_history_stream_with_list_state(spark):
     got = sorted(tuple(r) for r in hist.history_text(spark.read.parquet(out)).collect())
     want = sorted(tuple(r) for r in hist.history_text(hist.history_rows(tr.transitions(events, num_partitions=2))).collect())
     assert got == want
+
+
+def test_cli_reader_job(spark, capsys):
+    """reader: table -> snapshot shown, replay for selected ids written as JSON."""
+    from eventide import cli
+    from eventide.operators import timetravel
+    from eventide.operators import transitions as tr
+    from eventide.plans import catalogue
+    from eventide.sources.events import events_from_table
+    from eventide.sources.files import read_replay_json
+
+    path = catalogue._two_batch_table(spark, SF001)
+    out = shared_path(spark, "test-cli-out", unique=True)
+    cli.main(["reader", "--table", path, "--date", "15/01/2024", "--time", "00:00:00", "--ids", "3,7", "--out", out])
+    assert "state as of 1705276800000" in capsys.readouterr().out
+    got = sorted(tuple(r) for r in read_replay_json(spark, f"{out}/1705276800000").collect())
+    changes = tr.transitions(events_from_table(spark, SF001))
+    want = sorted(tuple(r) for r in timetravel.replay_after_rows(changes, 1705276800000, ids=["3", "7"]).collect())
+    assert got == want and len(got) > 0
