@@ -6,16 +6,20 @@ differs from the state type and its date is not older than the state date.
 Accepted events replace the state; other events leave it untouched (a repeated
 type does not advance the date).
 
-Two kernels:
+Kernels:
 
 * :func:`fold_segment` folds a slice of one key from a known state.  When the
   slice's dates are non-decreasing the result is a shifted comparison
-  (vectorised); otherwise a plain loop.
+  (vectorised); otherwise a plain loop.  :func:`fold_runs_sorted` does the
+  vectorised form for a whole batch of keys at once.
 * :func:`run_pieces` summarises a slice as a function *entering state ->
   leaving state* without knowing the entering state.  It lets the slices of one
-  key, held by different partitions, be folded in parallel: the summaries are
-  composed in order (cheap) and every partition then re-folds its slice from the
-  exact entering state.
+  key, held by different tasks, be folded in parallel: the summaries are
+  composed in order (cheap) and every task then re-folds its slice from the
+  exact entering state.  Time-ordered slices have a closed form
+  (:func:`_sorted_pieces`); any order is handled by :func:`_vector_pieces`.
+  :func:`_general_pieces` is the same computation as a plain loop, kept as the
+  reference the tests compare against.
 
 Entry function: from state ``(t0, d0)`` the first accepted event of a slice is
 the first ``i`` with ``type[i] != t0`` and ``date[i] >= d0``; after it the path

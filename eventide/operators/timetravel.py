@@ -32,6 +32,18 @@ def _t(at: int | Column) -> Column:
     return at if isinstance(at, Column) else F.lit(int(at)).cast("long")
 
 
+def select_ids(df: DataFrame, ids) -> DataFrame:
+    """Keep the rows of the given keys: a literal list becomes ``IN`` (pushed to
+    Parquet); a DataFrame of keys (first column) becomes a ``left_semi`` join, which
+    Catalyst broadcasts only when its size statistics allow it."""
+    if ids is None:
+        return df
+    if isinstance(ids, DataFrame):
+        keys = ids.select(F.col(ids.columns[0]).cast("string").alias(ID)).distinct()
+        return df.join(keys, ID, "left_semi")
+    return df.where(F.col(ID).isin(list(ids)))
+
+
 def asof_snapshot(table: DataFrame, at: int | Column) -> DataFrame:
     """Array form: per key, the last change dated ``<= at``; keys without one are
     absent.  Steps of the reference: filter dates, count them, keep rows with a
@@ -81,7 +93,7 @@ def asof_snapshot(table: DataFrame, at: int | Column) -> DataFrame:
     return best.select(ID, *[F.col("_b")[c].alias(c) for c in SNAPSHOT_COLUMNS[1:]])
 
 
-def replay_after(table: DataFrame, at: int | Column, ids: Iterable[str] | None = None, sort: bool = True) -> DataFrame:
+def replay_after(table: DataFrame, at: int | Column, ids: Iterable[str] | DataFrame | None = None, sort: bool = True) -> DataFrame:
     """Array form: every change dated ``> at``, one row each, ascending by date.
     Steps of the reference: filter dates, start index = size - count + 1, slice
     each array to the end, keep non-empty rows, zip, explode, split the pair."""
@@ -95,8 +107,7 @@ def replay_after(table: DataFrame, at: int | Column, ids: Iterable[str] | None =
         F.slice("coordinates_memory", start, F.lit(TO_END)).alias("coordinates_from"),
         F.slice("location_memory", start, F.lit(TO_END)).alias("locations_from"),
     ).where(F.size("dates_from") > 0)
-    if ids is not None:
-        step = step.where(F.col(ID).isin(list(ids)))
+    step = select_ids(step, ids)
     zipped = step.select(
         ID, F.explode(F.arrays_zip("dates_from", "events_from", "coordinates_from", "locations_from")).alias("z")
     )
@@ -123,14 +134,12 @@ def asof_snapshot_rows(changes: DataFrame, at: int | Column, order: str = SEQ) -
 
 
 def replay_after_rows(
-    changes: DataFrame, at: int | Column, ids: Iterable[str] | None = None, order: str = SEQ, sort: bool = True
+    changes: DataFrame, at: int | Column, ids: Iterable[str] | DataFrame | None = None, order: str = SEQ, sort: bool = True
 ) -> DataFrame:
     """Row form of :func:`replay_after`; ties on date are ordered by key, then
     arrival, for a deterministic output."""
     t = _t(at)
-    rows = changes.where(F.col(DATE_EVENT) > t)
-    if ids is not None:
-        rows = rows.where(F.col(ID).isin(list(ids)))
+    rows = select_ids(changes.where(F.col(DATE_EVENT) > t), ids)
     if sort:
         rows = rows.orderBy(DATE_EVENT, ID, order)
     return rows.select(*SNAPSHOT_COLUMNS)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonio, timefmt
 from ..operators import history as hist
 from ..operators import latest, timetravel, transitions
-from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, LAT, LNG, LOCATION, SEQ, SNAPSHOT_COLUMNS
+from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, SEQ
 from ..session import shared_path
 from ..sources import events as src
 from ..sources import table as tbl
@@ -243,5 +243,3 @@ def catalogue() -> dict[str, Query]:
         "stream_upsert_latest": jobs.q_stream_upsert_latest,
     }
 
-
-__all__ = ["catalogue", "T", "REPLAY_IDS", "LAT", "LNG", "LOCATION", "SNAPSHOT_COLUMNS"]

@@ -77,3 +77,13 @@ def test_latest_ties_and_last(spark):
     assert ties == [("a", 2, "y"), ("a", 2, "z")]
     last = sorted(tuple(r) for r in latest.latest_per_key(df.where("k is not null and d is not null"), "k", ["d", "v"]).collect())
     assert last == [("a", 2, "z")]
+
+
+def test_replay_ids_as_frame(spark):
+    rows = [("a", "A", 5, 0), ("b", "A", 3, 1), ("a", "B", 7, 2), ("c", "A", 9, 3)]
+    changes = _changes(spark, rows)
+    ids = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")
+    got = [(r.id, r.date_event) for r in timetravel.replay_after_rows(changes, 2, ids=ids).collect()]
+    assert got == [("b", 3), ("a", 5), ("a", 7)]
+    table = hist.history_table(changes)
+    assert sorted((r.id, r.date_event) for r in timetravel.replay_after(table, 2, ids=ids).collect()) == sorted(got)
