@@ -19,11 +19,11 @@ from pyspark.sql import SparkSession
 
 from .functions import timefmt
 from .operators import timetravel
-from .schema import FLAT_COLUMNS, SEQ, ColumnMapping
+from .schema import ColumnMapping
 from .session import ensure_checkpoint_dir, ship_package
 from .sources import events as src
 from .sources import files, table
-from .streaming import jobs, processor
+from .streaming import jobs
 
 
 def _mapping(text: str | None) -> ColumnMapping:
@@ -36,15 +36,17 @@ def _mapping(text: str | None) -> ColumnMapping:
 
 
 def first_hop(spark: SparkSession, a) -> None:
+    """One keyed state; history rows and flat changes go to their topics from
+    the same micro-batch."""
     messages = src.kafka_messages(spark, a.brokers, a.topic_in, max_offsets_per_trigger=a.max_offsets)
-    good, _ = src.split_valid(src.parse_events(messages, _mapping(a.fields), keep=[SEQ]))
-    history = processor.keyed_transitions(good, history=True)
-    flat = processor.keyed_transitions(good)
-    # the arrival position travels as ``last_seq``: the second hop breaks date ties with it
-    q1 = jobs.to_kafka(history.withColumnRenamed(SEQ, "last_seq"), a.brokers, a.topic_out, f"{a.checkpoint}/history")
-    q2 = jobs.to_kafka(flat.select(*FLAT_COLUMNS), a.brokers, a.topic_flat, f"{a.checkpoint}/flat")
-    for q in (q1, q2):
-        q.awaitTermination()
+    query = jobs.first_hop_both(
+        messages,
+        jobs.kafka_writer(a.brokers, a.topic_out),
+        jobs.kafka_writer(a.brokers, a.topic_flat),
+        a.checkpoint,
+        mapping=_mapping(a.fields),
+    )
+    query.awaitTermination()
 
 
 def second_hop(spark: SparkSession, a) -> None:

@@ -136,7 +136,7 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=[f.name for f in _ENTER.fields])
 
 
-def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc):
+def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, keep: str):
     def run(batches):
         enter = enter_bc.value
         cur_pid = None
@@ -198,6 +198,9 @@ def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc):
             out["created"] = created
             out[CHUNK] = chunk_col
             out["change_no"] = change_no
+            if keep != "all":
+                # rows the caller drops anyway never travel back to the JVM
+                out = out[out[keep].to_numpy()]
             yield out
 
     return run
@@ -211,6 +214,7 @@ def annotate_transitions(
     type_col: str = EVENT_TYPE,
     date_col: str = DATE_EVENT,
     num_partitions: int | None = None,
+    keep: str = "all",
 ) -> DataFrame:
     """Every event with its decision under the transition rule.
 
@@ -219,10 +223,14 @@ def annotate_transitions(
     (the key had no accepted change before), ``_pid``, ``_chunk`` and
     ``change_no``.  Events with a NULL key, type or date are left out.  ``order``
     must be unique within a key (an arrival position such as a topic offset).
+    ``keep="accepted"`` / ``"late"`` returns only those rows (filtered in the
+    task, before the rows go back to the JVM).
 
     Writes the range-sorted layout and runs the small summary job eagerly; the
     returned frame (the fold itself) is lazy.
     """
+    if keep not in ("all", "accepted", "late"):
+        raise ValueError("keep must be 'all', 'accepted' or 'late'")
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
@@ -262,17 +270,17 @@ def annotate_transitions(
         raise ValueError(f"{len(states)} chunks exceed the entering-state broadcast bound")
     enter_bc = spark.sparkContext.broadcast(states)
     schema = T.StructType(list(stored.schema.fields) + ANNOTATIONS)
-    return stored.mapInPandas(_fold_chunks(key, order, type_col, date_col, enter_bc), schema)
+    return stored.mapInPandas(_fold_chunks(key, order, type_col, date_col, enter_bc, keep), schema)
 
 
 def transitions(events: DataFrame, **kw) -> DataFrame:
     """Accepted changes: the flat change stream (plus ``seq`` and annotations)."""
-    return annotate_transitions(events, **kw).where("accepted")
+    return annotate_transitions(events, keep="accepted", **kw)
 
 
 def late_rejected(events: DataFrame, **kw) -> DataFrame:
     """Events whose type differs from the state but whose date is older."""
-    return annotate_transitions(events, **kw).where("late")
+    return annotate_transitions(events, keep="late", **kw)
 
 
 def with_change_kind(changes: DataFrame) -> DataFrame:

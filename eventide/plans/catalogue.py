@@ -32,12 +32,8 @@ def _events(spark: SparkSession, sf_dir: str, arrival: str = "event_id") -> Data
     return src.events_from_table(spark, sf_dir, arrival)
 
 
-def _annotated(spark: SparkSession, sf_dir: str, arrival: str = "event_id") -> DataFrame:
-    return transitions.annotate_transitions(_events(spark, sf_dir, arrival))
-
-
 def _changes(spark: SparkSession, sf_dir: str, arrival: str = "event_id") -> DataFrame:
-    return _annotated(spark, sf_dir, arrival).where("accepted")
+    return transitions.transitions(_events(spark, sf_dir, arrival))
 
 
 def _history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +58,7 @@ def q_transitions_out_of_order(spark, sf_dir):
 
 
 def q_late_rejected(spark, sf_dir):
-    ann = _annotated(spark, sf_dir, "shuffled")
-    return ann.where("late").select(*FLAT_COLUMNS)
+    return transitions.late_rejected(_events(spark, sf_dir, "shuffled")).select(*FLAT_COLUMNS)
 
 
 def q_change_kind(spark, sf_dir):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonio
 from ..operators import history as hist
 from ..operators import latest, timetravel, transitions
-from ..schema import DATE_EVENT, FLAT_COLUMNS, ID, SEQ
+from ..schema import DATE_EVENT, FLAT_COLUMNS, ID, SEQ, ColumnMapping
 from ..session import ensure_checkpoint_dir, shared_path, ship_package
 from ..sources import events as src
 from ..sources import table as tbl
@@ -45,13 +45,58 @@ def to_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str)
     )
 
 
-def first_hop(messages: DataFrame, history: bool = False) -> DataFrame:
+def first_hop(messages: DataFrame, history: bool = False, mapping: ColumnMapping = ColumnMapping()) -> DataFrame:
     """Messages (``value``, ``seq``) -> parsed events -> keyed transition filter."""
-    parsed = src.parse_events(messages, keep=[SEQ])
+    parsed = src.parse_events(messages, mapping, keep=[SEQ])
     good, _ = src.split_valid(parsed)
     return keyed_transitions(good, history=history)
 
 
+def flat_from_history(rows: DataFrame) -> DataFrame:
+    """The flat change of each history row (both outputs come from one operator)."""
+    return rows.select(
+        ID, "event_type", DATE_EVENT, F.get("coordinates", 0).alias("lat"), F.get("coordinates", 1).alias("lng"),
+        "location",
+    )
+
+
+def first_hop_both(
+    messages: DataFrame,
+    write_history,
+    write_flat,
+    checkpoint: str,
+    available_now: bool = False,
+    mapping: ColumnMapping = ColumnMapping(),
+):
+    """First hop with ONE keyed state for both outputs: every micro-batch's
+    history rows (with ``last_seq``) go to ``write_history(df, batch_id)`` and
+    their flat projection to ``write_flat(df, batch_id)`` (one shuffle, one
+    state, instead of two keyed operators over the same stream)."""
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write_history(batch.withColumnRenamed(SEQ, "last_seq"), batch_id)
+            write_flat(flat_from_history(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = first_hop(messages, history=True, mapping=mapping).writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def kafka_writer(bootstrap_servers: str, topic: str):
+    """``(df, batch_id)`` callback writing JSON rows to a Kafka topic."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        (jsonio.encode(df).write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("topic", topic).save())
+
+    return write
+
+
 def run_available(df: DataFrame, out: str, checkpoint: str, fmt: str = "parquet") -> None:
     """Process everything available now into a file sink, then stop."""
     q = (

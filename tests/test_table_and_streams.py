@@ -131,3 +131,29 @@ def test_cli_reader_job(spark, capsys):
     changes = tr.transitions(events_from_table(spark, SF001))
     want = sorted(tuple(r) for r in timetravel.replay_after_rows(changes, 1705276800000, ids=["3", "7"]).collect())
     assert got == want and len(got) > 0
+
+
+def test_first_hop_one_state_two_outputs(spark):
+    """History rows and flat changes come from one keyed state per micro-batch
+    and equal the batch forms, across a restart."""
+    from eventide.operators import history as hist
+    from eventide.operators import transitions as tr
+    from eventide.sources.events import events_from_table, to_input_json
+    from eventide.streaming import jobs
+
+    events = events_from_table(spark, SF001)
+    base = shared_path(spark, "test-first-hop", unique=True)
+
+    def parquet_writer(path):
+        return lambda df, batch_id: df.write.mode("append").parquet(path)
+
+    for i, window in enumerate((F.col("date_event") <= 1705276800000, F.col("date_event") > 1705276800000)):
+        to_input_json(events.where(window)).write.json(f"{base}/in/w{i}")
+        stream = spark.readStream.schema("value string, seq long").json(f"{base}/in/*")
+        jobs.first_hop_both(stream, parquet_writer(f"{base}/hist"), parquet_writer(f"{base}/flat"),
+                            f"{base}/ckpt", available_now=True).awaitTermination()
+    changes = tr.transitions(events)
+    flat = sorted(tuple(r) for r in spark.read.parquet(f"{base}/flat").collect())
+    assert flat == sorted(tuple(r) for r in changes.select("id", "event_type", "date_event", "lat", "lng", "location").collect())
+    got = sorted(tuple(r) for r in hist.history_text(spark.read.parquet(f"{base}/hist")).collect())
+    assert got == sorted(tuple(r) for r in hist.history_text(hist.history_rows(changes)).collect())
