@@ -3,7 +3,7 @@
 :func:`annotate_transitions` is the exact form for any arrival order and any key
 skew:
 
-1. ``repartitionByRange(key, seq)`` + ``sortWithinPartitions``: the range
+1. ``repartitionByRange(P, key, seq)`` + ``sortWithinPartitions``: the range
    partitioner samples ``(key, seq)``, so a key holding a third of all rows is
    spread over about a third of the partitions instead of landing in one task.
    The sorted layout is written once as Parquet into the shared checkpoint
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, INITIAL_DATE, INITIAL_TYPE, SEQ
-from ..session import ensure_checkpoint_dir, shared_path, ship_package
+from ..session import ensure_checkpoint_dir, shared_path, ship_package, shuffle_partitions
 from . import fold
 
 PID = "_pid"
@@ -236,9 +236,10 @@ def annotate_transitions(
     ship_package(spark)
     base = events.where(F.col(key).isNotNull() & F.col(type_col).isNotNull() & F.col(date_col).isNotNull())
     base = base.withColumn(key, F.col(key).cast("string")).withColumn(date_col, F.col(date_col).cast("long"))
-    # Without an explicit count the range exchange uses spark.sql.shuffle.partitions
-    # and AQE merges small neighbouring ranges; ranges stay contiguous either way.
-    ranged = base.repartitionByRange(num_partitions, key, order) if num_partitions else base.repartitionByRange(key, order)
+    # An explicit range count (default spark.sql.shuffle.partitions, sized by the
+    # cluster for its data) keeps every range its own task: AQE does not merge it.
+    n_ranges = num_partitions or shuffle_partitions(spark)
+    ranged = base.repartitionByRange(n_ranges, key, order)
     layout = ranged.sortWithinPartitions(key, order).withColumn(PID, F.spark_partition_id())
     path = shared_path(spark, "fold", unique=True)
     # One file per range (no record cap), rows in (key, seq) order.
