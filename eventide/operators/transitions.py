@@ -221,7 +221,7 @@ def annotate_transitions(
     Adds ``accepted``, ``late`` (type differs but older than the state),
     ``prev_type`` / ``prev_date`` (the state it was compared with), ``created``
     (the key had no accepted change before), ``_pid``, ``_chunk`` and
-    ``change_no``.  Events with a NULL key, type or date are left out.  ``order``
+    ``change_no``.  Events with a NULL key, type, date or order are left out.  ``order``
     must be unique within a key (an arrival position such as a topic offset).
     ``keep="accepted"`` / ``"late"`` returns only those rows (filtered in the
     task, before the rows go back to the JVM).
@@ -234,7 +234,9 @@ def annotate_transitions(
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    base = events.where(F.col(key).isNotNull() & F.col(type_col).isNotNull() & F.col(date_col).isNotNull())
+    base = events.where(
+        F.col(key).isNotNull() & F.col(type_col).isNotNull() & F.col(date_col).isNotNull() & F.col(order).isNotNull()
+    )
     base = base.withColumn(key, F.col(key).cast("string")).withColumn(date_col, F.col(date_col).cast("long"))
     # An explicit range count (default spark.sql.shuffle.partitions, sized by the
     # cluster for its data) keeps every range its own task: AQE does not merge it.

@@ -135,3 +135,19 @@ def test_file_splits_become_chunks(spark):
     assert late == want_late
     # some range file was read as more than one chunk
     assert len({r._chunk for r in res}) > len({r._pid for r in res})
+
+
+def test_unicode_and_mixed_case_keys(spark):
+    """Spark's string sort and the fold's order check agree on any keys."""
+    rnd = random.Random(12)
+    keys = ["é", "e", "E", "zz", "Z", "k10", "k9", "日本", "ü-1", ""]
+    rows = [(rnd.choice(keys), rnd.choice("AB"), rnd.randint(0, 30), s) for s in range(500)]
+    acc, late, _ = _got(spark, rows, 4)
+    want_acc, want_late = _expected(rows)
+    assert acc == want_acc and late == want_late
+
+
+def test_null_order_is_left_out(spark):
+    df = spark.createDataFrame([("a", "A", 1, 0), ("a", "B", 2, None), ("a", "B", 3, 2)],
+                               "id string, event_type string, date_event long, seq long")
+    assert sorted(r.seq for r in tr.transitions(df, num_partitions=2).collect()) == [0, 2]
