@@ -24,6 +24,9 @@ from ..sources import table as tbl
 # id list of the filtered replay and the reader's sample date/time texts.
 T = 1705276800000
 REPLAY_IDS = "3,7,11"
+# Skew case: every HOT_EVERY-th event (by arrival) belongs to one key.
+HOT_KEY = "hot"
+HOT_EVERY = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +56,15 @@ def q_transitions(spark, sf_dir):
     return _changes(spark, sf_dir).select(*FLAT_COLUMNS)
 
 
+def q_transitions_hot_key(spark, sf_dir):
+    """Every third event moved to one key: a third of all rows share a key, which
+    the range layout spreads over several tasks (all rows kept)."""
+    events = _events(spark, sf_dir).withColumn(
+        ID, F.when(F.col(SEQ) % HOT_EVERY == 0, F.lit(HOT_KEY)).otherwise(F.col(ID))
+    )
+    return transitions.transitions(events).select(*FLAT_COLUMNS)
+
+
 def q_transitions_out_of_order(spark, sf_dir):
     return _changes(spark, sf_dir, "shuffled").select(*FLAT_COLUMNS)
 
@@ -211,6 +223,7 @@ def catalogue() -> dict[str, Query]:
     return {
         "parse_events": q_parse_events,
         "transitions": q_transitions,
+        "transitions_hot_key": q_transitions_hot_key,
         "transitions_out_of_order": q_transitions_out_of_order,
         "late_rejected": q_late_rejected,
         "change_kind": q_change_kind,

@@ -8,7 +8,7 @@ out-of-order oracles fold with a recursive CTE in shuffled arrival order.
 
 from __future__ import annotations
 
-from .catalogue import REPLAY_IDS, T
+from .catalogue import HOT_EVERY, HOT_KEY, REPLAY_IDS, T
 
 SRC = """src as (
   select cast(user_id as varchar) id, event_type, epoch_us(ts)//1000 date_event, value lat,
@@ -57,11 +57,18 @@ TRANSITIONS = f"{TR}select {FLAT} from a"
 
 PARSE = f"with {SRC} select {FLAT}, seq from src"
 
+HOT = f"""with {SRC},
+ h as (select case when seq % {HOT_EVERY} = 0 then '{HOT_KEY}' else id end id,
+         event_type, date_event, lat, lng, location, seq from src),
+ t as (select *, lag(event_type) over (partition by id order by seq) p from h)
+select {FLAT} from t where p is null or p<>event_type"""
+
 
 def oracles() -> dict[str, str]:
     return {
         "parse_events": PARSE,
         "transitions": TRANSITIONS,
+        "transitions_hot_key": HOT,
         "transitions_out_of_order": f"""{FOLD}select r.id, r.event_type, r.date_event, r.lat, r.lng, r.location
 from r join f on r.id=f.id and r.rn=f.rn where f.ok""",
         "late_rejected": f"""{FOLD}select r.id, r.event_type, r.date_event, r.lat, r.lng, r.location
