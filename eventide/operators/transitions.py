@@ -3,7 +3,8 @@
 :func:`annotate_transitions` is the exact form for any arrival order and any key
 skew:
 
-1. ``repartitionByRange(P, key, seq)`` + ``sortWithinPartitions``: the range
+1. ``repartitionByRange(P, key, seq)`` + ``sortWithinPartitions`` (P from the
+   size estimate over the advisory partition size): the range
    partitioner samples ``(key, seq)``, so a key holding a third of all rows is
    spread over about a third of the partitions instead of landing in one task.
    The sorted layout is written once as Parquet into the shared checkpoint
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, INITIAL_DATE, INITIAL_TYPE, SEQ
-from ..session import ensure_checkpoint_dir, shared_path, ship_package, shuffle_partitions
+from ..session import ensure_checkpoint_dir, partitions_for, shared_path, ship_package
 from . import fold
 
 PID = "_pid"
@@ -238,9 +239,9 @@ def annotate_transitions(
         F.col(key).isNotNull() & F.col(type_col).isNotNull() & F.col(date_col).isNotNull() & F.col(order).isNotNull()
     )
     base = base.withColumn(key, F.col(key).cast("string")).withColumn(date_col, F.col(date_col).cast("long"))
-    # An explicit range count (default spark.sql.shuffle.partitions, sized by the
-    # cluster for its data) keeps every range its own task: AQE does not merge it.
-    n_ranges = num_partitions or shuffle_partitions(spark)
+    # An explicit range count keeps every range its own task (AQE does not merge
+    # it); by default it is sized like AQE would: estimated bytes / advisory size.
+    n_ranges = num_partitions or partitions_for(base, MAX_BROADCAST_CHUNKS // 2)
     ranged = base.repartitionByRange(n_ranges, key, order)
     layout = ranged.sortWithinPartitions(key, order).withColumn(PID, F.spark_partition_id())
     path = shared_path(spark, "fold", unique=True)

@@ -103,3 +103,38 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(token)
+
+
+def estimated_bytes(df) -> int | None:
+    """Optimizer size estimate of a frame (None when unknown)."""
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw) if isinstance(raw, int) else int(raw.toString())
+    except Exception:  # noqa: BLE001 - statistics are a hint only
+        return None
+    return None if size >= (1 << 62) else size
+
+
+def partitions_for(df, most: int) -> int:
+    """Partition count for an explicit shuffle of ``df``: its estimated size over
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the size AQE aims for), at
+    least ``defaultParallelism`` and at most ``most``; ``spark.sql.shuffle.partitions``
+    when the size is unknown."""
+    spark = df.sparkSession
+    size = estimated_bytes(df)
+    if size is None:
+        return shuffle_partitions(spark)
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target = _bytes(advisory)
+    wanted = -(-size // max(target, 1))
+    return int(max(spark.sparkContext.defaultParallelism, min(wanted, most)))
+
+
+def _bytes(text: str) -> int:
+    text = str(text).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+             "t": 1 << 40, "tb": 1 << 40}
+    for suffix in sorted(units, key=len, reverse=True):
+        if text.endswith(suffix):
+            return int(float(text[: -len(suffix)]) * units[suffix])
+    return int(text)

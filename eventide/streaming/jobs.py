@@ -14,6 +14,8 @@ and the output folder is read back.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,6 +144,19 @@ def _windows():
     return (F.col(DATE_EVENT) <= WINDOW_SPLIT, F.col(DATE_EVENT) > WINDOW_SPLIT)
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession):
+    """Start the test streams with one state partition per core (a stateful
+    query keeps the count it started with in its checkpoint)."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _prepare(spark: SparkSession) -> str:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
@@ -158,7 +173,8 @@ def _run_two_windows(spark: SparkSession, sf_dir: str, history: bool, parse_only
         src.to_input_json(events.where(window)).write.mode("overwrite").json(f"{base}/in/w{i}")
         stream = spark.readStream.schema("value string, seq long").json(f"{base}/in/*")
         result = src.parse_events(stream, keep=[SEQ]) if parse_only else first_hop(stream, history=history)
-        run_available(result, out, ckpt)
+        with _state_partitions(spark):
+            run_available(result, out, ckpt)
     return spark.read.parquet(out)
 
 
@@ -185,5 +201,7 @@ def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, window in enumerate(_windows()):
         jsonio.encode(rows.where(window)).write.mode("overwrite").json(f"{base}/in/w{i}")
         stream = spark.readStream.schema("value string").json(f"{base}/in/*")
-        upsert_stream(stream, table_path, f"{base}/checkpoint").awaitTermination()
+        with _state_partitions(spark):
+            query = upsert_stream(stream, table_path, f"{base}/checkpoint")
+        query.awaitTermination()
     return timetravel.current_state(tbl.read_table(spark, table_path))
