@@ -151,3 +151,15 @@ def test_null_order_is_left_out(spark):
     df = spark.createDataFrame([("a", "A", 1, 0), ("a", "B", 2, None), ("a", "B", 3, 2)],
                                "id string, event_type string, date_event long, seq long")
     assert sorted(r.seq for r in tr.transitions(df, num_partitions=2).collect()) == [0, 2]
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_initial_state_edges_across_many_ranges(spark, seed):
+    """'-' types and negative dates (never accepted from the initial state) with
+    keys cut into many small ranges: a key's early chunks may hold only rejected
+    events, so the initial state has to travel across chunks intact."""
+    rnd = random.Random(seed)
+    rows = [(f"k{rnd.randint(0, 3)}", rnd.choice(["A", "B", "-", "-"]), rnd.randint(-6, 12), s) for s in range(700)]
+    acc, late, _ = _got(spark, rows, 11)
+    want_acc, want_late = _expected(rows)
+    assert acc == want_acc and late == want_late
