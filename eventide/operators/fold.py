@@ -53,7 +53,7 @@ def fold_segment(types: np.ndarray, dates: np.ndarray, state: tuple):
 def _fold_loop(types, dates, state):
     n = len(types)
     dec = np.empty(n, np.int8)
-    prev_t = np.empty(n, object)
+    prev_t = np.empty(n, types.dtype)
     prev_d = np.empty(n, np.int64)
     created = np.empty(n, bool)
     t, d, init = state
@@ -80,7 +80,7 @@ def _fold_sorted(types, dates, state):
     n = len(types)
     t0, d0, init0 = state
     dec = np.where(types == t0, REPEAT, LATE).astype(np.int8)
-    prev_t = np.full(n, t0, dtype=object)
+    prev_t = np.full(n, t0, dtype=types.dtype)
     prev_d = np.full(n, d0, dtype=np.int64)
     created = np.full(n, init0, dtype=bool)
     entry = (dates >= d0) & (types != t0)
@@ -116,7 +116,8 @@ def fold_runs_sorted(keys, types, dates, first_state: tuple, first_counter: int,
     starts = np.flatnonzero(new_run)
     run = np.cumsum(new_run) - 1
     n_runs = len(starts)
-    t0 = np.full(n_runs, init_state[0], dtype=object)
+    tdtype = types.dtype
+    t0 = np.full(n_runs, init_state[0], dtype=tdtype)
     d0 = np.full(n_runs, init_state[1], dtype=np.int64)
     i0 = np.full(n_runs, init_state[2], dtype=bool)
     t0[0], d0[0], i0[0] = first_state[0], first_state[1], first_state[2]
@@ -127,8 +128,8 @@ def fold_runs_sorted(keys, types, dates, first_state: tuple, first_counter: int,
     acc = (idx == first) | (after & np.concatenate([[False], types[1:] != types[:-1]]))
     before = idx < first
     dec = np.where(acc, ACCEPTED, np.where(before & (types != rt0), LATE, REPEAT)).astype(np.int8)
-    prev_types = np.empty(n, dtype=object)
-    prev_types[0] = None
+    prev_types = np.empty(n, dtype=tdtype)
+    prev_types[0] = types[0]  # placeholder: row 0 is never after its run's first acceptance
     prev_types[1:] = types[:-1]
     prev_t = np.where(after, prev_types, rt0)
     last_acc = np.maximum.accumulate(np.where(acc, idx, -1))

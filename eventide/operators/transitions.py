@@ -18,7 +18,8 @@ skew:
 3. Requests and summaries are composed per key in sequence order
    (``applyInPandas`` over those rows only), giving the entering state of every
    chunk.  That table has one row per chunk and is broadcast.
-4. Every task folds its chunks from those entering states (``mapInPandas``,
+4. Every task folds its chunks from those entering states (``mapInArrow``:
+   payload columns pass through as Arrow, types fold as dictionary codes,
    vectorised across keys when dates are non-decreasing).
 
 :func:`transitions_lag` is the plain built-in window form.  It equals the fold
@@ -86,16 +87,6 @@ _INIT = (INITIAL_TYPE, INITIAL_DATE, True)
 MAX_BROADCAST_CHUNKS = 2_000_000
 
 
-def _check_order(keys, seqs, last_pos) -> None:
-    """The fold needs rows in (key, seq) order; fail rather than fold wrongly."""
-    ok = bool(np.all((keys[1:] > keys[:-1]) | ((keys[1:] == keys[:-1]) & (seqs[1:] > seqs[:-1]))))
-    if last_pos is not None:
-        k, q = last_pos
-        ok = ok and (keys[0] > k or (keys[0] == k and seqs[0] > q))
-    if not ok:
-        raise RuntimeError("rows reached the fold out of (key, seq) order, or seq repeats within a key")
-
-
 def _chunks(pids):
     """(start, end) of the runs of equal ``_pid`` in a batch."""
     cuts = np.flatnonzero(pids[1:] != pids[:-1]) + 1
@@ -137,71 +128,105 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=[f.name for f in _ENTER.fields])
 
 
-def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, keep: str):
+def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, keep: str, out_names: list[str]):
+    """Fold pass over Arrow batches (``mapInArrow``): payload columns pass
+    through untouched; types are folded as dictionary codes, keys compared in
+    Arrow's C++ kernels."""
+
     def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         enter = enter_bc.value
         cur_pid = None
         cur_key = None
         chunk = None
-        state = _INIT
+        state = _INIT  # (type text, date, initial)
         counter = 0
         last_pos = None
-        for pdf in batches:
-            n = len(pdf)
+        for b in batches:
+            n = b.num_rows
             if n == 0:
                 continue
-            pids = pdf[PID].to_numpy()
-            keys = pdf[key].to_numpy(dtype=object)
-            seqs = pdf[order].to_numpy(dtype=np.int64)
-            types = pdf[type_col].to_numpy(dtype=object)
-            dates = pdf[date_col].to_numpy(dtype=np.int64)
+            pids = b.column(PID).to_numpy(zero_copy_only=False)
+            keys_a = b.column(key)
+            seqs = b.column(order).to_numpy(zero_copy_only=False)
+            dates = b.column(date_col).to_numpy(zero_copy_only=False)
+            types_a = b.column(type_col)
+            enc = pc.dictionary_encode(types_a)
+            names = enc.dictionary.to_pylist()
+            code_of = {t: i for i, t in enumerate(names)}
+
+            def code(text):
+                if text not in code_of:
+                    code_of[text] = len(names)
+                    names.append(text)
+                return code_of[text]
+
+            types = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            kenc = pc.dictionary_encode(keys_a).indices.to_numpy(zero_copy_only=False)
+            same_all = kenc[1:] == kenc[:-1]
+            later = pc.greater(keys_a.slice(1), keys_a.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            init_c = (code(INITIAL_TYPE), INITIAL_DATE, True)
             dec = np.empty(n, np.int8)
-            prev_t = np.empty(n, object)
+            prev_t = np.empty(n, np.int64)
             prev_d = np.empty(n, np.int64)
             created = np.empty(n, bool)
             change_no = np.empty(n, np.int64)
             chunk_col = np.empty(n, np.int64)
             for s, e in _chunks(pids):
+                k_first = keys_a[s].as_py()
                 if pids[s] != cur_pid:
-                    start = (keys[s], int(seqs[s]))
+                    start = (k_first, int(seqs[s]))
                     if start not in enter:
                         raise RuntimeError(f"no entering state for the chunk starting at {start}")
-                    cur_pid, cur_key, chunk, last_pos = pids[s], keys[s], start[1], None
+                    cur_pid, cur_key, chunk, last_pos = pids[s], k_first, start[1], None
                     state, counter = enter[start], 0
-                _check_order(keys[s:e], seqs[s:e], last_pos)
-                last_pos = (keys[e - 1], int(seqs[e - 1]))
-                if keys[s] != cur_key:
+                # order: keys strictly increasing, or equal with increasing seq
+                ok = bool(np.all(later[s : e - 1] | (same_all[s : e - 1] & (seqs[s + 1 : e] > seqs[s : e - 1]))))
+                if last_pos is not None:
+                    ok = ok and (k_first > last_pos[0] or (k_first == last_pos[0] and int(seqs[s]) > last_pos[1]))
+                if not ok:
+                    raise RuntimeError("rows reached the fold out of (key, seq) order, or seq repeats within a key")
+                k_last = keys_a[e - 1].as_py()
+                last_pos = (k_last, int(seqs[e - 1]))
+                if k_first != cur_key:
                     state, counter = _INIT, 0
                 chunk_col[s:e] = chunk
-                k, t, d = keys[s:e], types[s:e], dates[s:e]
-                same = k[1:] == k[:-1]
+                st = (code(state[0]), state[1], state[2])
+                k, t, d = kenc[s:e], types[s:e], dates[s:e]
+                same = same_all[s : e - 1]
                 if not bool(np.any(same & (d[1:] < d[:-1]))):
                     # every key's dates are non-decreasing here: one vectorised pass
-                    res = fold.fold_runs_sorted(k, t, d, state, counter, _INIT)
-                    dec[s:e], prev_t[s:e], prev_d[s:e], created[s:e], change_no[s:e], state, counter = res
+                    res = fold.fold_runs_sorted(k, t, d, st, counter, init_c)
+                    dec[s:e], prev_t[s:e], prev_d[s:e], created[s:e], change_no[s:e], st, counter = res
                 else:
                     cuts = np.flatnonzero(~same) + 1
-                    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), e - s]):
+                    for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), e - s]):
                         if a > 0:
-                            state, counter = _INIT, 0
-                        r = fold.fold_segment(t[a:b], d[a:b], state)
-                        dec[s + a : s + b], prev_t[s + a : s + b], prev_d[s + a : s + b], created[s + a : s + b] = r[:4]
-                        state = r[4]
+                            st, counter = init_c, 0
+                        r = fold.fold_segment(t[a:z], d[a:z], st)
+                        dec[s + a : s + z], prev_t[s + a : s + z], prev_d[s + a : s + z], created[s + a : s + z] = r[:4]
+                        st = r[4]
                         acc = (r[0] == fold.ACCEPTED).astype(np.int64)
-                        change_no[s + a : s + b] = counter + np.cumsum(acc) - acc
+                        change_no[s + a : s + z] = counter + np.cumsum(acc) - acc
                         counter += int(acc.sum())
-                cur_key = keys[e - 1]
-            out = pdf
-            out["accepted"] = dec == fold.ACCEPTED
-            out["late"] = dec == fold.LATE
-            out["prev_type"] = prev_t
-            out["prev_date"] = prev_d
-            out["created"] = created
-            out[CHUNK] = chunk_col
-            out["change_no"] = change_no
+                state = (names[int(st[0])], int(st[1]), bool(st[2]))
+                cur_key = k_last
+            type_text = pa.array(names, type=types_a.type)
+            cols = list(b.columns) + [
+                pa.array(dec == fold.ACCEPTED),
+                pa.array(dec == fold.LATE),
+                pc.take(type_text, pa.array(prev_t)),
+                pa.array(prev_d, pa.int64()),
+                pa.array(created),
+                pa.array(chunk_col, pa.int64()),
+                pa.array(change_no, pa.int64()),
+            ]
+            out = pa.RecordBatch.from_arrays(cols, names=out_names)
             if keep != "all":
                 # rows the caller drops anyway never travel back to the JVM
-                out = out[out[keep].to_numpy()]
+                out = out.filter(pa.array(dec == (fold.ACCEPTED if keep == "accepted" else fold.LATE)))
             yield out
 
     return run
@@ -274,7 +299,8 @@ def annotate_transitions(
         raise ValueError(f"{len(states)} chunks exceed the entering-state broadcast bound")
     enter_bc = spark.sparkContext.broadcast(states)
     schema = T.StructType(list(stored.schema.fields) + ANNOTATIONS)
-    return stored.mapInPandas(_fold_chunks(key, order, type_col, date_col, enter_bc, keep), schema)
+    fn = _fold_chunks(key, order, type_col, date_col, enter_bc, keep, schema.names)
+    return stored.mapInArrow(fn, schema)
 
 
 def transitions(events: DataFrame, **kw) -> DataFrame:
