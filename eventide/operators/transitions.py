@@ -10,11 +10,10 @@ skew:
    The sorted layout is written once as Parquet into the shared checkpoint
    folder (one file per range; lineage cut, columnar re-reads).
 2. Each task of a re-read holds contiguous *chunks* of that order (a file or a
-   split of one; a ``_pid`` change marks a chunk boundary).  Per chunk, a JVM
-   aggregate finds its first row (a request for the entering state of its first
-   key) and its last key; only that last key's slice goes to Python, to be
-   summarised as a piecewise function entering state -> leaving state
-   (``fold.run_pieces``).
+   split of one; a ``_pid`` change marks a chunk boundary).  One narrow Arrow
+   pass writes, per chunk, a request for the entering state of its first key and
+   the summary of its last key's slice as a piecewise function entering state ->
+   leaving state (``fold.run_pieces``).
 3. Requests and summaries are composed per key in sequence order
    (``applyInPandas`` over those rows only), giving the entering state of every
    chunk.  That table has one row per chunk and is broadcast.
@@ -95,21 +94,63 @@ def _chunks(pids):
     return zip(starts, ends)
 
 
-def _summarise(order: str, type_col: str, date_col: str):
-    """Pieces of each chunk's last-key slice; only those rows reach this function
-    (several chunks may share a task, told apart by ``_pid``)."""
+def _summarise(key: str, order: str, type_col: str, date_col: str):
+    """One narrow Arrow pass: per chunk (a run of one ``_pid`` inside the task),
+    a request at its first row and the summary of its last key's slice."""
 
     def run(batches):
-        frames = [pdf for pdf in batches if len(pdf)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
-        rows = []
-        for pid, part in pdf.groupby(PID, sort=False):
-            part = part.sort_values(order, kind="stable")
-            pieces = fold.run_pieces(part[type_col].to_numpy(dtype=object), part[date_col].to_numpy(dtype=np.int64))
-            rows.append((part["_k"].iat[0], int(part[order].iat[0]), 1, *[list(v) for v in pieces]))
-        yield pd.DataFrame(rows, columns=[f.name for f in _SUMMARY.fields])
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        rows: list = []
+        str_type = None
+        cur_pid = None
+        first = None
+        last_key = None
+        slice_pos = None
+        t_parts: list = []
+        d_parts: list = []
+
+        def flush():
+            types = pa.concat_arrays(t_parts).to_numpy(zero_copy_only=False)
+            pieces = fold.run_pieces(types, np.concatenate(d_parts))
+            rows.append((first[0], first[1], 0, *([None] * len(_PIECES))))
+            rows.append((last_key, slice_pos, 1, *[list(v) for v in pieces]))
+
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            keys = b.column(key)
+            str_type = keys.type
+            pids = b.column(PID).to_numpy(zero_copy_only=False)
+            seqs = b.column(order).to_numpy(zero_copy_only=False)
+            types = b.column(type_col)
+            dates = b.column(date_col).to_numpy(zero_copy_only=False)
+            for s, e in _chunks(pids):
+                if pids[s] != cur_pid:
+                    if cur_pid is not None:
+                        flush()
+                    cur_pid, first, last_key = pids[s], (keys[s].as_py(), int(seqs[s])), None
+                k_last = keys[e - 1].as_py()
+                other = np.flatnonzero(pc.not_equal(keys.slice(s, e - s), k_last).to_numpy(zero_copy_only=False))
+                start = s + (int(other[-1]) + 1 if len(other) else 0)
+                if start > s or k_last != last_key:
+                    t_parts, d_parts, slice_pos = [], [], int(seqs[start])
+                last_key = k_last
+                t_parts.append(types.slice(start, e - start))
+                d_parts.append(dates[start:e])
+        if cur_pid is not None:
+            flush()
+        if rows:
+            lst = pa.large_list if pa.types.is_large_string(str_type) else pa.list_
+            schema = pa.schema([
+                ("_k", str_type), ("_pos", pa.int64()), ("_role", pa.int32()),
+                ("thr", lst(pa.int64())), ("kind", lst(pa.int32())), ("t1", lst(str_type)),
+                ("x1t", lst(str_type)), ("x1d", lst(pa.int64())), ("x2t", lst(str_type)), ("x2d", lst(pa.int64())),
+            ])
+            cols = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
     return run
 
@@ -274,24 +315,12 @@ def annotate_transitions(
     layout.write.option("maxRecordsPerFile", 0).mode("overwrite").parquet(path)
     stored = spark.read.schema(layout.schema).parquet(path)
 
-    # Chunks: runs of one range file inside one read task.  Their first row and
-    # last key come from a JVM aggregate (one row per chunk); only the last key's
-    # slice of each chunk goes through Python, picked by a broadcast semi-join on
-    # that bounded table, so the scan partitions stay where they are.
-    tasked = stored.withColumn("_task", F.spark_partition_id())
-    bounds = tasked.groupBy("_task", PID).agg(
-        F.min(F.struct(F.col(key).alias("k"), F.col(order).alias("q"))).alias("_first"),
-        F.max(key).alias("_last"),
-    )
-    slices = tasked.select("_task", PID, F.col(key).alias("_k"), order, type_col, date_col).join(
-        F.broadcast(bounds.select("_task", PID, F.col("_last").alias("_k"))), on=["_task", PID, "_k"], how="left_semi"
-    )
-    summaries = slices.mapInPandas(_summarise(order, type_col, date_col), _SUMMARY)
-    no_pieces = [F.lit(None).cast(f.dataType).alias(f.name) for f in _SUMMARY.fields if f.name in _PIECES]
-    requests = bounds.select(
-        F.col("_first.k").alias("_k"), F.col("_first.q").alias("_pos"), F.lit(0).alias("_role"), *no_pieces
+    # Chunks: runs of one range file inside one read task.  One narrow pass gives,
+    # per chunk, a request at its first row and the summary of its last key.
+    summaries = stored.select(PID, key, order, type_col, date_col).mapInArrow(
+        _summarise(key, order, type_col, date_col), _SUMMARY
     )
-    enter = requests.unionByName(summaries).groupBy("_k").applyInPandas(_compose, _ENTER)
+    enter = summaries.groupBy("_k").applyInPandas(_compose, _ENTER)
     # One row per chunk: bounded by the layout, shipped as a broadcast variable.
     states = {(r["_k"], int(r["_pos"])): (r["_enter_type"], int(r["_enter_date"]), bool(r["_enter_initial"]))
               for r in enter.collect()}
