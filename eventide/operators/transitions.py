@@ -143,7 +143,8 @@ def _summarise(key: str, order: str, type_col: str, date_col: str):
         if cur_pid is not None:
             flush()
         if rows:
-            lst = pa.large_list if pa.types.is_large_string(str_type) else pa.list_
+            # strings follow the session's Arrow string type; lists stay regular lists
+            lst = pa.list_
             schema = pa.schema([
                 ("_k", str_type), ("_pos", pa.int64()), ("_role", pa.int32()),
                 ("thr", lst(pa.int64())), ("kind", lst(pa.int32())), ("t1", lst(str_type)),

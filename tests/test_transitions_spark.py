@@ -163,3 +163,17 @@ def test_initial_state_edges_across_many_ranges(spark, seed):
     acc, late, _ = _got(spark, rows, 11)
     want_acc, want_late = _expected(rows)
     assert acc == want_acc and late == want_late
+
+
+def test_large_arrow_string_types(spark):
+    """The Arrow passes follow the session's Arrow string type."""
+    rows = [(f"k{i % 5}", "AB"[i % 3 % 2], i // 4, i) for i in range(200)]
+    key = "spark.sql.execution.arrow.useLargeVarTypes"
+    old = spark.conf.get(key, "false")
+    try:
+        spark.conf.set(key, "true")
+        acc, late, _ = _got(spark, rows, 3)
+    finally:
+        spark.conf.set(key, old)
+    want_acc, want_late = _expected(rows)
+    assert acc == want_acc and late == want_late
