@@ -250,14 +250,27 @@ def _general_pieces(types, dates):
     return thr, kind, t1s, x1t, x1d, x2t, x2d
 
 
-def _first_at_least(pos_dates: np.ndarray, starts: np.ndarray, need: np.ndarray) -> np.ndarray:
+def _first_at_least(pos_dates: np.ndarray, starts: np.ndarray, need: np.ndarray, near: int = 4) -> np.ndarray:
     """For each query, the first position ``p >= start`` with ``pos_dates[p] >=
-    need`` (``len(pos_dates)`` if none): binary lifting over a sparse table of
-    block maxima, all queries at once."""
+    need`` (``len(pos_dates)`` if none).  The next ``near`` positions are checked
+    directly (nearly ordered data answers there); the rest use binary lifting over
+    a sparse table of block maxima, all queries at once."""
     m = len(pos_dates)
-    pos = starts.copy()
-    if m == 0 or len(pos) == 0:
-        return np.full(len(starts), m, np.int64)
+    result = np.full(len(starts), m, np.int64)
+    if m == 0 or len(starts) == 0:
+        return result
+    open_q = np.ones(len(starts), bool)
+    for off in range(near):
+        p = starts + off
+        inside = p < m
+        hit = open_q & inside & (pos_dates[np.minimum(p, m - 1)] >= need)
+        result[hit] = p[hit]
+        open_q &= ~hit & inside
+    rest = np.flatnonzero(open_q)
+    if len(rest) == 0:
+        return result
+    pos = starts[rest] + near
+    want = need[rest]
     table = [pos_dates]
     k = 1
     while (1 << k) <= m:
@@ -270,9 +283,10 @@ def _first_at_least(pos_dates: np.ndarray, starts: np.ndarray, need: np.ndarray)
         block = table[level]
         ok = pos + width <= m
         idx = np.where(ok, pos, 0)
-        skip = ok & (block[np.minimum(idx, len(block) - 1)] < need)
+        skip = ok & (block[np.minimum(idx, len(block) - 1)] < want)
         pos = np.where(skip, pos + width, pos)
-    return pos
+    result[rest] = np.minimum(pos, m)
+    return result
 
 
 def _vector_pieces(types, dates):
