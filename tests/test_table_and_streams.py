@@ -157,3 +157,24 @@ def test_first_hop_one_state_two_outputs(spark):
     assert flat == sorted(tuple(r) for r in changes.select("id", "event_type", "date_event", "lat", "lng", "location").collect())
     got = sorted(tuple(r) for r in hist.history_text(spark.read.parquet(f"{base}/hist")).collect())
     assert got == sorted(tuple(r) for r in hist.history_text(hist.history_rows(changes)).collect())
+
+
+def test_file_message_stream_with_custom_mapping(spark):
+    """json_file_messages (the Kafka twin) feeding the first hop with custom
+    field names gives the batch transitions."""
+    from eventide.operators import transitions as tr
+    from eventide.schema import ColumnMapping
+    from eventide.sources.events import events_from_table, json_file_messages, to_input_json
+    from eventide.streaming import jobs
+
+    mapping = ColumnMapping("trainId", "kind", "when", "y", "x", "place")
+    events = events_from_table(spark, SF001)
+    base = shared_path(spark, "test-file-stream", unique=True)
+    to_input_json(events, mapping).write.json(f"{base}/in")
+    stream = json_file_messages(spark, f"{base}/in", max_files_per_trigger=1)
+    out = f"{base}/flat"
+    jobs.first_hop_both(stream, lambda df, i: None, lambda df, i: df.write.mode("append").parquet(out),
+                        f"{base}/ckpt", available_now=True, mapping=mapping).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    want = sorted(tuple(r) for r in tr.transitions(events).select("id", "event_type", "date_event", "lat", "lng", "location").collect())
+    assert got == want
