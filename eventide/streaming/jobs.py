@@ -26,7 +26,7 @@ from ..schema import DATE_EVENT, FLAT_COLUMNS, ID, SEQ, ColumnMapping
 from ..session import ensure_checkpoint_dir, shared_path, ship_package
 from ..sources import events as src
 from ..sources import table as tbl
-from .processor import keyed_transitions
+from .processor import keyed_transitions, keyed_transitions_tws
 
 # Fixed split of the test stream into two arrival windows (2024-01-15 UTC).
 WINDOW_SPLIT = 1705276800000
@@ -47,10 +47,23 @@ def to_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str)
     )
 
 
+def list_state_available(spark: SparkSession) -> bool:
+    """``transformWithStateInPandas`` needs the RocksDB state store; with the unix
+    socket state channel it opens no TCP port."""
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""
+    uds = spark.sparkContext.getConf().get("spark.python.unix.domain.socket.enabled", "false")
+    return "RocksDB" in provider and uds.lower() == "true"
+
+
 def first_hop(messages: DataFrame, history: bool = False, mapping: ColumnMapping = ColumnMapping()) -> DataFrame:
-    """Messages (``value``, ``seq``) -> parsed events -> keyed transition filter."""
+    """Messages (``value``, ``seq``) -> parsed events -> keyed transition filter.
+
+    History output uses the ``ListState`` processor when the session allows it
+    (appends per change), else one ``GroupState`` row per key."""
     parsed = src.parse_events(messages, mapping, keep=[SEQ])
     good, _ = src.split_valid(parsed)
+    if history and list_state_available(messages.sparkSession):
+        return keyed_transitions_tws(good, history=True)
     return keyed_transitions(good, history=history)
 
 
