@@ -97,17 +97,19 @@ def q_latest_per_key(spark, sf_dir):
 
 
 def _two_batch_table(spark, sf_dir) -> str:
-    """History table upserted in two micro-batches (history rows dated <= T, then
-    the rest), each reduced to its latest row per key before the MERGE."""
+    """History table upserted in two micro-batches (changes dated <= T, then the
+    rest).  A batch's latest history row per key is that key's history up to the
+    batch's end, built by one aggregation (linear in the changes), for the keys
+    the batch touched."""
     path = shared_path(spark, "tables", "history", unique=True)
     tbl.ensure_table(spark, path, hist.TABLE_ROW)
-    rows = hist.history_rows(_changes(spark, sf_dir)).withColumnRenamed(SEQ, "last_seq").persist()
-    try:
-        for version, cond in ((1, F.col(DATE_EVENT) <= T), (2, F.col(DATE_EVENT) > T)):
-            one = latest.latest_per_key(rows.where(cond), ID, [DATE_EVENT, F.size("date_event_memory"), "last_seq"])
-            tbl.upsert(spark, path, one, ID, version=version, guard=DATE_EVENT)
-    finally:
-        rows.unpersist()
+    changes = _changes(spark, sf_dir).drop("_pid", "_chunk", "change_no")
+    for version, (window, upto) in enumerate(
+        ((F.col(DATE_EVENT) <= T, F.col(DATE_EVENT) <= T), (F.col(DATE_EVENT) > T, F.lit(True))), start=1
+    ):
+        touched = changes.where(window).select(ID).distinct()
+        rows = hist.history_table(changes.where(upto)).join(touched, ID, "left_semi")
+        tbl.upsert(spark, path, rows, ID, version=version, guard=DATE_EVENT)
     return path
 
 
