@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import tokens, urls, warc
+from eventide.llm import mixing, quality, tokens, urls, warc
 from eventide.llm.common import table
 
 
@@ -21,6 +21,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -30,7 +38,8 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_warc": op2_warc, "op6_tokens": op6_tokens, "op8_urls": op8_urls}
+    found = (op2_warc, op4_mixing, op5_quality, op6_tokens, op8_urls)
+    return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
