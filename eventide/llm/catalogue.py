@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import mixing, quality, tokens, urls, warc
+from eventide.llm import mixing, quality, secrets, tokens, urls, warc
 from eventide.llm.common import table
 
 
@@ -33,12 +33,16 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_warc, op4_mixing, op5_quality, op6_tokens, op8_urls)
+    found = (op2_warc, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls)
     return {f.__name__: f for f in found}
 
 
