@@ -13,6 +13,9 @@ from eventide.session import shared_path
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Spark drops a statement's shuffle files at its end: what it wrote is read from then on.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _ROOTS: dict[str, str] = {}
 
 
@@ -52,7 +55,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(schema).parquet(path)
 
 
