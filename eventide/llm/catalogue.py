@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import mixing, neardup, quality, secrets, tokens, urls, warc
+from eventide.llm import lines, mixing, neardup, quality, secrets, tokens, urls, warc
 from eventide.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_warc, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op10_neardup)
+    found = (op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op10_neardup)
     return {f.__name__: f for f in found}
 
 
