@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import lines, mixing, neardup, quality, secrets, tokens, urls, warc
+from eventide.llm import language, lines, mixing, neardup, quality, secrets, tokens, urls, warc
 from eventide.llm.common import table
 
 
@@ -46,12 +46,17 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = language.identify(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), ngram=4)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op10_neardup)
+    found = (op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup)
     return {f.__name__: f for f in found}
 
 
