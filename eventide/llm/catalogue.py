@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import language, lines, mixing, neardup, quality, secrets, tokens, urls, warc
+from eventide.llm import decontam, language, lines, mixing, neardup, quality, secrets, tokens, urls, warc
 from eventide.llm.common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.warc_round_trip(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -56,7 +60,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup)
+    found = (op1_decontamination, op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup)
     return {f.__name__: f for f in found}
 
 
