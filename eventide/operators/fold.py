@@ -18,8 +18,6 @@ Kernels:
   composed in order (cheap) and every task then re-folds its slice from the
   exact entering state.  Time-ordered slices have a closed form
   (:func:`_sorted_pieces`); any order is handled by :func:`_vector_pieces`.
-  :func:`_general_pieces` is the same computation as a plain loop, kept as the
-  reference the tests compare against.
 
 Entry function: from state ``(t0, d0)`` the first accepted event of a slice is
 the first ``i`` with ``type[i] != t0`` and ``date[i] >= d0``; after it the path
@@ -29,7 +27,7 @@ the chain of "next accepted" pointers starting at ``i``.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 
 import numpy as np
 
@@ -151,38 +149,6 @@ def fold_runs_sorted(keys, types, dates, first_state: tuple, first_counter: int,
     return dec, prev_t, prev_d, created, change_no, state, counter
 
 
-def _next_pointers(types, dates) -> np.ndarray:
-    """next[i] = first j > i with type[j] != type[i] and date[j] >= date[i], else -1.
-
-    Right-to-left sweep with one monotone stack per type (an element is dropped
-    once an earlier element of its type has a date at least as large)."""
-    n = len(types)
-    nxt = np.full(n, -1, np.int64)
-    neg_dates: dict = {}
-    idxs: dict = {}
-    for i in range(n - 1, -1, -1):
-        ti = types[i]
-        di = int(dates[i])
-        best = -1
-        for u, negs in neg_dates.items():
-            if u == ti or not negs:
-                continue
-            k = bisect_right(negs, -di) - 1
-            if k >= 0:
-                j = idxs[u][k]
-                if best < 0 or j < best:
-                    best = j
-        nxt[i] = best
-        negs = neg_dates.setdefault(ti, [])
-        ix = idxs.setdefault(ti, [])
-        while negs and -negs[-1] <= di:
-            negs.pop()
-            ix.pop()
-        negs.append(-di)
-        ix.append(i)
-    return nxt
-
-
 def run_pieces(types: np.ndarray, dates: np.ndarray):
     """Summary of a slice as a piecewise function of the entering date.
 
@@ -199,167 +165,104 @@ def run_pieces(types: np.ndarray, dates: np.ndarray):
     return _vector_pieces(types, dates)
 
 
-def _general_pieces(types, dates):
-    """:func:`run_pieces` for any date order: next pointers, chain ends, then a
-    sweep over the distinct dates in descending order."""
-    n = len(types)
-    nxt = _next_pointers(types, dates)
-    end = np.arange(n)
-    for i in range(n - 1, -1, -1):
-        if nxt[i] >= 0:
-            end[i] = end[nxt[i]]
-
-    def exit_of(i):
-        e = end[i]
-        return (types[e], int(dates[e]))
-
-    order = np.argsort(dates, kind="stable")[::-1]
-    desc: list = []  # (threshold, value), thresholds descending
-    i1, t1, i2 = -1, None, -1
-    k = 0
-    while k < n:
-        d = dates[order[k]]
-        while k < n and dates[order[k]] == d:
-            j = int(order[k])
-            tj = types[j]
-            if i1 < 0:
-                i1, t1, i2 = j, tj, -1
-            elif j < i1:
-                if tj != t1:
-                    i2 = i1
-                i1, t1 = j, tj
-            elif tj != t1 and (i2 < 0 or j < i2):
-                i2 = j
-            k += 1
-        x1 = exit_of(i1)
-        if i2 < 0:
-            value = (PIECE_ONE, t1, x1, None)
-        else:
-            x2 = exit_of(i2)
-            value = (PIECE_CONST, None, x1, None) if x1 == x2 else (PIECE_TWO, t1, x1, x2)
-        if not desc or desc[-1][1] != value:
-            desc.append((int(d), value))
-    desc.reverse()
-    thr = [p[0] for p in desc]
-    kind = [p[1][0] for p in desc]
-    t1s = [p[1][1] for p in desc]
-    x1t = [p[1][2][0] for p in desc]
-    x1d = [p[1][2][1] for p in desc]
-    x2t = [p[1][3][0] if p[1][3] else None for p in desc]
-    x2d = [p[1][3][1] if p[1][3] else None for p in desc]
-    return thr, kind, t1s, x1t, x1d, x2t, x2d
-
-
-def _first_at_least(pos_dates: np.ndarray, starts: np.ndarray, need: np.ndarray, near: int = 4) -> np.ndarray:
-    """For each query, the first position ``p >= start`` with ``pos_dates[p] >=
-    need`` (``len(pos_dates)`` if none).  The next ``near`` positions are checked
-    directly (nearly ordered data answers there); the rest use binary lifting over
-    a sparse table of block maxima, all queries at once."""
-    m = len(pos_dates)
-    result = np.full(len(starts), m, np.int64)
-    if m == 0 or len(starts) == 0:
-        return result
-    open_q = np.ones(len(starts), bool)
-    for off in range(near):
-        p = starts + off
-        inside = p < m
-        hit = open_q & inside & (pos_dates[np.minimum(p, m - 1)] >= need)
-        result[hit] = p[hit]
-        open_q &= ~hit & inside
-    rest = np.flatnonzero(open_q)
-    if len(rest) == 0:
-        return result
-    pos = starts[rest] + near
-    want = need[rest]
-    table = [pos_dates]
-    k = 1
-    while (1 << k) <= m:
-        prev = table[-1]
-        half = 1 << (k - 1)
-        table.append(np.maximum(prev[: len(prev) - half], prev[half:]))
-        k += 1
-    for level in range(len(table) - 1, -1, -1):
-        width = 1 << level
-        block = table[level]
-        ok = pos + width <= m
-        idx = np.where(ok, pos, 0)
-        skip = ok & (block[np.minimum(idx, len(block) - 1)] < want)
-        pos = np.where(skip, pos + width, pos)
-    result[rest] = np.minimum(pos, m)
-    return result
+def next_accepted(codes: np.ndarray, dates: np.ndarray) -> np.ndarray:
+    """``next[i]``: the first ``j > i`` of another type whose date is not older, else ``n``.
+
+    A tree over the positions holds in each node the largest date, its type, and the
+    largest date of any other type.  All positions search it together: up over the nodes
+    to the right until one has a fit, then down to the first.  O(n log n) steps of numpy
+    and O(n) memory, whatever the number of types."""
+    n = len(codes)
+    depth = max(1, (n - 1).bit_length())
+    low = np.iinfo(np.int64).min
+    size = 1 << depth
+    best = np.full(size, low, np.int64)
+    owner = np.full(size, -1, np.int64)
+    best[:n], owner[:n] = dates, codes
+    levels = [(best, owner, np.full(size, low, np.int64))]
+    for _ in range(depth):
+        best, owner, other = levels[-1]
+        (b0, b1), (o0, o1), (r0, r1) = ((x[::2], x[1::2]) for x in (best, owner, other))
+        left = b0 >= b1
+        same = o0 == o1
+        top, who = np.where(left, b0, b1), np.where(left, o0, o1)
+        rest = np.where(same, np.maximum(r0, r1), np.where(left, np.maximum(r0, b1), np.maximum(r1, b0)))
+        levels.append((top, who, rest))
+
+    def fits(level: int, node: np.ndarray, q: np.ndarray) -> np.ndarray:
+        best, owner, other = levels[level]
+        return np.where(owner[node] != codes[q], best[node], other[node]) >= dates[q]
+
+    out = np.full(n, n, np.int64)
+    query, pos = np.arange(n), np.arange(1, n + 1)
+    hits: list[tuple[np.ndarray, np.ndarray]] = []
+    for level in range(depth):
+        inside = pos < size
+        query, pos = query[inside], pos[inside]
+        right = (pos >> level) & 1 == 1
+        ok = right.copy()
+        ok[right] = fits(level, pos[right] >> level, query[right])
+        hits.append((query[ok], pos[ok] >> level))
+        pos = np.where(right, pos + (1 << level), pos)
+        query, pos = query[~ok], pos[~ok]
+    # Down again: those found at a level go on with those found below it.
+    query, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for level in range(depth - 1, -1, -1):
+        if level < depth - 1:
+            node = node * 2
+            node = np.where(fits(level, node, query), node, node + 1)
+        query, node = np.concatenate([query, hits[level][0]]), np.concatenate([node, hits[level][1]])
+    out[query] = node
+    return np.minimum(out, n)
 
 
 def _vector_pieces(types, dates):
-    """:func:`run_pieces` for any date order, vectorised (numpy, O(n K log n)).
-
-    next pointers: per type, the first later element of that type with a date
-    at least as large (binary lifting); chain ends by pointer doubling; the
-    sweep over descending dates keeps, per type, the smallest index seen, and
-    the two smallest across types give the entry candidates."""
+    """:func:`run_pieces` for any date order: next pointers over a tree, chain ends by
+    pointer doubling, and one sweep over descending dates that keeps the two smallest
+    positions of different types (the entry candidates)."""
     n = len(types)
-    idx = np.arange(n, dtype=np.int64)
-    uniq_types, tcode = np.unique(types.astype(str), return_inverse=True)
-    type_of = np.asarray(types, dtype=object)
-    nxt = np.full(n, n, np.int64)
-    for u in range(len(uniq_types)):
-        where_u = np.flatnonzero(tcode == u)
-        q = np.flatnonzero(tcode != u)
-        if len(q) == 0 or len(where_u) == 0:
-            continue
-        starts = np.searchsorted(where_u, q, side="right")
-        found = _first_at_least(dates[where_u], starts, dates[q])
-        cand = np.where(found < len(where_u), where_u[np.minimum(found, len(where_u) - 1)], n)
-        nxt[q] = np.minimum(nxt[q], cand)
-    end = np.where(nxt < n, nxt, idx)
+    _, codes = np.unique(types.astype(str), return_inverse=True)
+    nxt = next_accepted(codes, dates)
+    end = np.where(nxt < n, nxt, np.arange(n))
     while True:
-        nxt_end = end[end]
-        if np.array_equal(nxt_end, end):
+        further = end[end]
+        if np.array_equal(further, end):
             break
-        end = nxt_end
-    # sweep: distinct dates descending; per type the running minimum index
-    order = np.argsort(dates, kind="stable")[::-1]  # ties in any order: whole groups are taken
-    d_sorted = dates[order]
-    last_of_group = np.flatnonzero(np.concatenate([d_sorted[1:] != d_sorted[:-1], [True]]))
-    k_types = len(uniq_types)
-    runmin = np.full((k_types, len(last_of_group)), n, np.int64)
-    for u in range(k_types):
-        vals = np.where(tcode[order] == u, order, n)
-        runmin[u] = np.minimum.accumulate(vals)[last_of_group]
-    two = np.sort(runmin, axis=0)[:2] if k_types > 1 else np.vstack([runmin[0], np.full(runmin.shape[1], n)])
-    i1, i2 = two[0], two[1]
-    thr_desc = d_sorted[last_of_group]
-    e1 = end[i1]
-    has2 = i2 < n
-    e2 = np.where(has2, end[np.minimum(i2, n - 1)], -1)
-    x1t = type_of[e1]
-    x1d = dates[e1]
-    x2t = np.where(has2, type_of[np.maximum(e2, 0)], None)
-    x2d = np.where(has2, dates[np.maximum(e2, 0)], 0)
-    same_exit = has2 & (tcode[e1] == tcode[np.maximum(e2, 0)]) & (x1d == x2d)
-    kind = np.where(~has2, PIECE_ONE, np.where(same_exit, PIECE_CONST, PIECE_TWO))
-    t1 = np.where(kind == PIECE_CONST, None, type_of[i1])
-    x2t = np.where(kind == PIECE_TWO, x2t, None)
-    x2d_keep = kind == PIECE_TWO
-    # merge consecutive equal values (descending order keeps the larger threshold)
-    t1c = np.where(kind == PIECE_CONST, -1, tcode[i1])
-    x2tc = np.where(x2d_keep, tcode[np.maximum(e2, 0)], -1)
-    x2dc = np.where(x2d_keep, x2d, 0)
-    sig = [kind, t1c, tcode[e1], x1d, x2tc, x2dc]
-    change = np.ones(len(kind), bool)
-    if len(kind) > 1:
-        diff = np.zeros(len(kind) - 1, bool)
-        for a in sig:
-            diff |= a[1:] != a[:-1]
-        change[1:] = diff
-    keep = np.flatnonzero(change)[::-1]
+        end = further
+    end, code, date = end.tolist(), codes.tolist(), dates.tolist()
+    descending: list[tuple] = []
+    first = second = -1
+    order = np.argsort(-dates, kind="stable").tolist()
+    for k, j in enumerate(order):
+        if first < 0:
+            first = j
+        elif j < first:
+            if code[j] != code[first]:
+                second = first
+            first = j
+        elif code[j] != code[first] and (second < 0 or j < second):
+            second = j
+        if k + 1 < n and date[order[k + 1]] == date[j]:
+            continue
+        x1 = (types[end[first]], date[end[first]])
+        x2 = None if second < 0 else (types[end[second]], date[end[second]])
+        if x2 is None:
+            value = (PIECE_ONE, types[first], x1, (None, None))
+        elif x1 == x2:
+            value = (PIECE_CONST, None, x1, (None, None))
+        else:
+            value = (PIECE_TWO, types[first], x1, x2)
+        if not descending or descending[-1][1] != value:
+            descending.append((date[j], value))
+    pieces = descending[::-1]
     return (
-        [int(v) for v in thr_desc[keep]],
-        [int(v) for v in kind[keep]],
-        [t1[i] for i in keep],
-        [x1t[i] for i in keep],
-        [int(x1d[i]) for i in keep],
-        [x2t[i] for i in keep],
-        [int(x2d[i]) if x2d_keep[i] else None for i in keep],
+        [t for t, _ in pieces],
+        [v[0] for _, v in pieces],
+        [v[1] for _, v in pieces],
+        [v[2][0] for _, v in pieces],
+        [v[2][1] for _, v in pieces],
+        [v[3][0] for _, v in pieces],
+        [v[3][1] for _, v in pieces],
     )
 
 

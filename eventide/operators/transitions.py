@@ -4,22 +4,23 @@
 skew:
 
 1. ``repartitionByRange(P, key, seq)`` + ``sortWithinPartitions`` (P from the
-   size estimate over the advisory partition size): the range
-   partitioner samples ``(key, seq)``, so a key holding a third of all rows is
-   spread over about a third of the partitions instead of landing in one task.
-   The sorted layout is written once as Parquet into the shared checkpoint
-   folder (one file per range; lineage cut, columnar re-reads).
-2. Each task of a re-read holds contiguous *chunks* of that order (a file or a
-   split of one; a ``_pid`` change marks a chunk boundary).  One narrow Arrow
-   pass writes, per chunk, a request for the entering state of its first key and
-   the summary of its last key's slice as a piecewise function entering state ->
-   leaving state (``fold.run_pieces``).
-3. Requests and summaries are composed per key in sequence order
-   (``applyInPandas`` over those rows only), giving the entering state of every
-   chunk.  That table has one row per chunk and is broadcast.
-4. Every task folds its chunks from those entering states (``mapInArrow``:
-   payload columns pass through as Arrow, types fold as dictionary codes,
-   vectorised across keys when dates are non-decreasing).
+   size estimate over the advisory partition size): the range partitioner samples
+   ``(key, seq)``, so a key holding a third of all rows is spread over about a
+   third of the partitions instead of landing in one task.  The sorted ranges are
+   checkpointed: partition ``i`` holds the same rows whenever it is read, whatever
+   the split settings or the number of cores by then.  A partition is a *chunk*.
+2. One narrow Arrow pass writes, per chunk, a request for the entering state of its
+   first key and the summary of its last key's slice as a piecewise function
+   entering state -> leaving state (``fold.run_pieces``).  An entering date is never
+   newer than the newest date of the key's earlier chunks, so the pieces above that
+   are cut off before anything is gathered by key.
+3. Requests and summaries are composed per key in chunk order (``applyInPandas`` over
+   those rows only), giving the entering state of every chunk.
+4. The states (one row per chunk) are joined to the chunks by ``_pid`` without a hint:
+   Catalyst broadcasts them if the table's size allows it and shuffles otherwise.
+   Every task folds its chunks from those states (``mapInArrow``: payload columns pass
+   through as Arrow, types fold as dictionary codes, vectorised across keys when dates
+   are non-decreasing).
 
 :func:`transitions_lag` is the plain built-in window form.  It equals the fold
 only when each key's dates are non-decreasing in arrival order, and its
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, INITIAL_DATE, INITIAL_TYPE, SEQ
+from ..schema import DATE_EVENT, EVENT_TYPE, ID, INITIAL_DATE, INITIAL_TYPE, SEQ
 from ..session import ensure_checkpoint_dir, partitions_for, shared_path, ship_package
 from . import fold
 
@@ -47,20 +48,20 @@ ANNOTATIONS = [
     T.StructField("prev_type", T.StringType()),
     T.StructField("prev_date", T.LongType()),
     T.StructField("created", T.BooleanType()),
-    # first seq of the chunk this row was folded in, and the accepted changes of
-    # this key before this row within that chunk
+    # number of the chunk this row was folded in (chunks are in (key, seq) order), and the
+    # accepted changes of this key before this row within that chunk
     T.StructField(CHUNK, T.LongType()),
     T.StructField("change_no", T.LongType()),
 ]
 
-# Two rows per chunk: a request for the entering state of its first key (role 0,
-# at the chunk's first seq) and the summary of its last key's slice (role 1, at
-# that slice's first seq).
+# Two rows per chunk: a request for the entering state of its first key (role 0) and
+# the summary of its last key's slice (role 1) with the slice's newest date.
 _SUMMARY = T.StructType(
     [
+        T.StructField(PID, T.IntegerType()),
         T.StructField("_k", T.StringType()),
-        T.StructField("_pos", T.LongType()),
         T.StructField("_role", T.IntegerType()),
+        T.StructField("_newest", T.LongType()),
         T.StructField("thr", T.ArrayType(T.LongType())),
         T.StructField("kind", T.ArrayType(T.IntegerType())),
         T.StructField("t1", T.ArrayType(T.StringType())),
@@ -73,18 +74,13 @@ _SUMMARY = T.StructType(
 _PIECES = ["thr", "kind", "t1", "x1t", "x1d", "x2t", "x2d"]
 _ENTER = T.StructType(
     [
-        T.StructField("_k", T.StringType()),
-        T.StructField("_pos", T.LongType()),
+        T.StructField(PID, T.IntegerType()),
         T.StructField("_enter_type", T.StringType()),
         T.StructField("_enter_date", T.LongType()),
         T.StructField("_enter_initial", T.BooleanType()),
     ]
 )
 _INIT = (INITIAL_TYPE, INITIAL_DATE, True)
-# Entering states are one small row per chunk (about one per range partition);
-# beyond this many the driver-side table would stop being small.
-MAX_BROADCAST_CHUNKS = 2_000_000
-
 
 def _chunks(pids):
     """(start, end) of the runs of equal ``_pid`` in a batch."""
@@ -94,9 +90,9 @@ def _chunks(pids):
     return zip(starts, ends)
 
 
-def _summarise(key: str, order: str, type_col: str, date_col: str):
-    """One narrow Arrow pass: per chunk (a run of one ``_pid`` inside the task),
-    a request at its first row and the summary of its last key's slice."""
+def _summarise(key: str, type_col: str, date_col: str):
+    """One narrow Arrow pass: per chunk a request for its first key and the summary of
+    its last key's slice."""
 
     def run(batches):
         import pyarrow as pa
@@ -104,18 +100,16 @@ def _summarise(key: str, order: str, type_col: str, date_col: str):
 
         rows: list = []
         str_type = None
-        cur_pid = None
-        first = None
-        last_key = None
-        slice_pos = None
+        cur_pid = first_key = last_key = None
         t_parts: list = []
         d_parts: list = []
 
         def flush():
             types = pa.concat_arrays(t_parts).to_numpy(zero_copy_only=False)
-            pieces = fold.run_pieces(types, np.concatenate(d_parts))
-            rows.append((first[0], first[1], 0, *([None] * len(_PIECES))))
-            rows.append((last_key, slice_pos, 1, *[list(v) for v in pieces]))
+            dates = np.concatenate(d_parts)
+            pieces = fold.run_pieces(types, dates)
+            rows.append((cur_pid, first_key, 0, None, *([None] * len(_PIECES))))
+            rows.append((cur_pid, last_key, 1, int(dates.max()), *[list(v) for v in pieces]))
 
         for b in batches:
             n = b.num_rows
@@ -124,19 +118,18 @@ def _summarise(key: str, order: str, type_col: str, date_col: str):
             keys = b.column(key)
             str_type = keys.type
             pids = b.column(PID).to_numpy(zero_copy_only=False)
-            seqs = b.column(order).to_numpy(zero_copy_only=False)
             types = b.column(type_col)
             dates = b.column(date_col).to_numpy(zero_copy_only=False)
             for s, e in _chunks(pids):
                 if pids[s] != cur_pid:
                     if cur_pid is not None:
                         flush()
-                    cur_pid, first, last_key = pids[s], (keys[s].as_py(), int(seqs[s])), None
+                    cur_pid, first_key, last_key = int(pids[s]), keys[s].as_py(), None
                 k_last = keys[e - 1].as_py()
                 other = np.flatnonzero(pc.not_equal(keys.slice(s, e - s), k_last).to_numpy(zero_copy_only=False))
                 start = s + (int(other[-1]) + 1 if len(other) else 0)
                 if start > s or k_last != last_key:
-                    t_parts, d_parts, slice_pos = [], [], int(seqs[start])
+                    t_parts, d_parts = [], []
                 last_key = k_last
                 t_parts.append(types.slice(start, e - start))
                 d_parts.append(dates[start:e])
@@ -146,7 +139,7 @@ def _summarise(key: str, order: str, type_col: str, date_col: str):
             # strings follow the session's Arrow string type; lists stay regular lists
             lst = pa.list_
             schema = pa.schema([
-                ("_k", str_type), ("_pos", pa.int64()), ("_role", pa.int32()),
+                (PID, pa.int32()), ("_k", str_type), ("_role", pa.int32()), ("_newest", pa.int64()),
                 ("thr", lst(pa.int64())), ("kind", lst(pa.int32())), ("t1", lst(str_type)),
                 ("x1t", lst(str_type)), ("x1d", lst(pa.int64())), ("x2t", lst(str_type)), ("x2d", lst(pa.int64())),
             ])
@@ -156,21 +149,36 @@ def _summarise(key: str, order: str, type_col: str, date_col: str):
     return run
 
 
+def bounded_summaries(summaries: DataFrame) -> DataFrame:
+    """``summaries`` without the pieces that no entering date can reach.
+
+    The state's date is that of an accepted event, so it is at most the newest date of
+    the key's earlier chunks (or the initial date).  Pieces are in ascending order of the
+    largest date that they hold for: those up to the bound stay, and the one it falls in."""
+    earlier = Window.partitionBy("_k").orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    newest = summaries.where("_role = 1").select(
+        PID, F.greatest(F.lit(INITIAL_DATE), F.max("_newest").over(earlier)).alias("_bound")
+    )
+    reach = F.size(F.filter("thr", lambda t: t < F.col("_bound"))) + 1
+    cut = summaries.join(newest, PID, "left").withColumn("_reach", reach)
+    return cut.select(PID, "_k", "_role", *[F.slice(c, F.lit(1), F.col("_reach")).alias(c) for c in _PIECES])
+
+
 def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one key in sequence order: answer requests, apply summaries."""
-    pdf = pdf.sort_values(["_pos", "_role"], kind="stable")
+    """Rows of one key in chunk order: answer requests, apply summaries."""
+    pdf = pdf.sort_values([PID, "_role"], kind="stable")
     state = _INIT
     out = []
     pieces = [pdf[c].to_numpy(dtype=object) for c in _PIECES]
-    for i, (k, pos, role) in enumerate(zip(pdf["_k"].tolist(), pdf["_pos"].tolist(), pdf["_role"].tolist())):
+    for i, (pid, role) in enumerate(zip(pdf[PID].tolist(), pdf["_role"].tolist())):
         if role == 0:
-            out.append((k, pos, state[0], state[1], state[2]))
+            out.append((pid, state[0], state[1], state[2]))
         else:
             state = fold.apply_pieces(*(p[i] for p in pieces), state)
     return pd.DataFrame(out, columns=[f.name for f in _ENTER.fields])
 
 
-def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, keep: str, out_names: list[str]):
+def _fold_chunks(key: str, order: str, type_col: str, date_col: str, keep: str, out_names: list[str]):
     """Fold pass over Arrow batches (``mapInArrow``): payload columns pass
     through untouched; types are folded as dictionary codes, keys compared in
     Arrow's C++ kernels."""
@@ -179,7 +187,6 @@ def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, k
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        enter = enter_bc.value
         cur_pid = None
         cur_key = None
         chunk = None
@@ -219,11 +226,10 @@ def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, k
             for s, e in _chunks(pids):
                 k_first = keys_a[s].as_py()
                 if pids[s] != cur_pid:
-                    start = (k_first, int(seqs[s]))
-                    if start not in enter:
-                        raise RuntimeError(f"no entering state for the chunk starting at {start}")
-                    cur_pid, cur_key, chunk, last_pos = pids[s], k_first, start[1], None
-                    state, counter = enter[start], 0
+                    state = tuple(b.column(f.name)[s].as_py() for f in _ENTER.fields[1:])
+                    if state[2] is None:
+                        raise RuntimeError(f"no entering state for chunk {pids[s]}")
+                    cur_pid, cur_key, chunk, last_pos, counter = pids[s], k_first, int(pids[s]), None, 0
                 # order: keys strictly increasing, or equal with increasing seq
                 ok = bool(np.all(later[s : e - 1] | (same_all[s : e - 1] & (seqs[s + 1 : e] > seqs[s : e - 1]))))
                 if last_pos is not None:
@@ -256,7 +262,7 @@ def _fold_chunks(key: str, order: str, type_col: str, date_col: str, enter_bc, k
                 state = (names[int(st[0])], int(st[1]), bool(st[2]))
                 cur_key = k_last
             type_text = pa.array(names, type=types_a.type)
-            cols = list(b.columns) + [
+            cols = [b.column(c) for c in out_names[: -len(ANNOTATIONS)]] + [
                 pa.array(dec == fold.ACCEPTED),
                 pa.array(dec == fold.LATE),
                 pc.take(type_text, pa.array(prev_t)),
@@ -294,8 +300,9 @@ def annotate_transitions(
     ``keep="accepted"`` / ``"late"`` returns only those rows (filtered in the
     task, before the rows go back to the JVM).
 
-    Writes the range-sorted layout and runs the small summary job eagerly; the
-    returned frame (the fold itself) is lazy.
+    Checkpoints the sorted ranges and runs the small summary job eagerly; the returned
+    frame (the fold itself) is lazy.  Spark removes the checkpoint when it is no longer
+    referenced if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     if keep not in ("all", "accepted", "late"):
         raise ValueError("keep must be 'all', 'accepted' or 'late'")
@@ -308,29 +315,20 @@ def annotate_transitions(
     base = base.withColumn(key, F.col(key).cast("string")).withColumn(date_col, F.col(date_col).cast("long"))
     # An explicit range count keeps every range its own task (AQE does not merge
     # it); by default it is sized like AQE would: estimated bytes / advisory size.
-    n_ranges = num_partitions or partitions_for(base, MAX_BROADCAST_CHUNKS // 2)
-    ranged = base.repartitionByRange(n_ranges, key, order)
-    layout = ranged.sortWithinPartitions(key, order).withColumn(PID, F.spark_partition_id())
+    ranged = base.repartitionByRange(num_partitions or partitions_for(base), key, order)
+    ranged = ranged.sortWithinPartitions(key, order).withColumn(PID, F.spark_partition_id())
+    chunks = ranged.checkpoint()
+
+    summaries = chunks.select(PID, key, type_col, date_col).mapInArrow(_summarise(key, type_col, date_col), _SUMMARY)
+    enter = bounded_summaries(summaries.checkpoint()).groupBy("_k").applyInPandas(_compose, _ENTER)
+    # Written, so that its size is known to the optimizer before the join.
     path = shared_path(spark, "fold", unique=True)
-    # One file per range (no record cap), rows in (key, seq) order.
-    layout.write.option("maxRecordsPerFile", 0).mode("overwrite").parquet(path)
-    stored = spark.read.schema(layout.schema).parquet(path)
-
-    # Chunks: runs of one range file inside one read task.  One narrow pass gives,
-    # per chunk, a request at its first row and the summary of its last key.
-    summaries = stored.select(PID, key, order, type_col, date_col).mapInArrow(
-        _summarise(key, order, type_col, date_col), _SUMMARY
-    )
-    enter = summaries.groupBy("_k").applyInPandas(_compose, _ENTER)
-    # One row per chunk: bounded by the layout, shipped as a broadcast variable.
-    states = {(r["_k"], int(r["_pos"])): (r["_enter_type"], int(r["_enter_date"]), bool(r["_enter_initial"]))
-              for r in enter.collect()}
-    if len(states) > MAX_BROADCAST_CHUNKS:
-        raise ValueError(f"{len(states)} chunks exceed the entering-state broadcast bound")
-    enter_bc = spark.sparkContext.broadcast(states)
-    schema = T.StructType(list(stored.schema.fields) + ANNOTATIONS)
-    fn = _fold_chunks(key, order, type_col, date_col, enter_bc, keep, schema.names)
-    return stored.mapInArrow(fn, schema)
+    enter.write.mode("overwrite").parquet(path)
+    enter = spark.read.schema(_ENTER).parquet(path)
+
+    schema = T.StructType(list(chunks.schema.fields) + ANNOTATIONS)
+    entered = chunks.join(enter, PID, "left").sortWithinPartitions(PID, key, order)
+    return entered.mapInArrow(_fold_chunks(key, order, type_col, date_col, keep, schema.names), schema)
 
 
 def transitions(events: DataFrame, **kw) -> DataFrame:
@@ -367,7 +365,3 @@ def transitions_lag(
     kept = events.where(F.col(date_col) >= F.lit(INITIAL_DATE))
     prev = F.coalesce(F.lag(type_col).over(w), F.lit(INITIAL_TYPE))
     return kept.withColumn("_prev", prev).where(F.col(type_col) != F.col("_prev")).drop("_prev")
-
-
-def flat(changes: DataFrame) -> DataFrame:
-    return changes.select(*FLAT_COLUMNS)

@@ -29,7 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Larger Arrow batches for the pandas passes (fewer JVM<->Python round trips).
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
+        # Checkpoints that nothing refers to any more are removed.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Python workers talk to the JVM over a unix socket: no TCP port for state.
         .config("spark.python.unix.domain.socket.enabled", "true")
         .config(
@@ -77,10 +79,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -107,27 +105,21 @@ def ship_package(spark: SparkSession) -> None:
 
 def estimated_bytes(df) -> int | None:
     """Optimizer size estimate of a frame (None when unknown)."""
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw) if isinstance(raw, int) else int(raw.toString())
-    except Exception:  # noqa: BLE001 - statistics are a hint only
-        return None
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return None if size >= (1 << 62) else size
 
 
-def partitions_for(df, most: int) -> int:
+def partitions_for(df) -> int:
     """Partition count for an explicit shuffle of ``df``: its estimated size over
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the size AQE aims for), at
-    least ``defaultParallelism`` and at most ``most``; ``spark.sql.shuffle.partitions``
-    when the size is unknown."""
+    least ``defaultParallelism``; ``spark.sql.shuffle.partitions`` when the size is
+    unknown."""
     spark = df.sparkSession
     size = estimated_bytes(df)
     if size is None:
         return shuffle_partitions(spark)
     advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    target = _bytes(advisory)
-    wanted = -(-size // max(target, 1))
-    return int(max(spark.sparkContext.defaultParallelism, min(wanted, most)))
+    return int(max(spark.sparkContext.defaultParallelism, -(-size // max(_bytes(advisory), 1))))
 
 
 def _bytes(text: str) -> int:

@@ -13,9 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schema import CHANGE_LOG, DATE_EVENT, ID, SEQ, SNAPSHOT_COLUMNS
 from ..session import partitions_for
 
-# Upper bound on output files of one write (ranges are sized from the data).
-MAX_FILES = 100_000
-
 REPLAY_SCHEMA = "id string, date_event bigint, event_type string, location string, lat double, lng double"
 
 
@@ -24,7 +21,7 @@ def write_replay_json(replay: DataFrame, path: str, single_file: bool = False, p
     if single_file:
         rows = rows.orderBy(DATE_EVENT, ID).coalesce(1)
     else:
-        n = partitions or partitions_for(rows, MAX_FILES)
+        n = partitions or partitions_for(rows)
         rows = rows.repartitionByRange(n, DATE_EVENT, ID).sortWithinPartitions(DATE_EVENT, ID)
     rows.write.mode("overwrite").json(path)
 
@@ -39,7 +36,7 @@ def write_change_log(changes: DataFrame, path: str, partitions: int | None = Non
     filters of the time-travel queries skip whole files and row groups."""
     cols = [f.name for f in CHANGE_LOG.fields]
     rows = changes.select(*cols)
-    ranged = rows.repartitionByRange(partitions or partitions_for(rows, MAX_FILES), DATE_EVENT, ID)
+    ranged = rows.repartitionByRange(partitions or partitions_for(rows), DATE_EVENT, ID)
     ranged.sortWithinPartitions(DATE_EVENT, ID, SEQ).write.mode("overwrite").parquet(path)
 
 

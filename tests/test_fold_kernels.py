@@ -1,5 +1,7 @@
 """The per-slice kernels agree with the plain sequential fold (no Spark)."""
 
+from bisect import bisect_right
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,6 +11,89 @@ from eventide.schema import INITIAL_DATE, INITIAL_TYPE
 
 INIT = (INITIAL_TYPE, INITIAL_DATE, True)
 
+def _next_pointers(types, dates) -> np.ndarray:
+    """next[i] = first j > i with type[j] != type[i] and date[j] >= date[i], else -1.
+
+    Right-to-left sweep with one monotone stack per type (an element is dropped
+    once an earlier element of its type has a date at least as large)."""
+    n = len(types)
+    nxt = np.full(n, -1, np.int64)
+    neg_dates: dict = {}
+    idxs: dict = {}
+    for i in range(n - 1, -1, -1):
+        ti = types[i]
+        di = int(dates[i])
+        best = -1
+        for u, negs in neg_dates.items():
+            if u == ti or not negs:
+                continue
+            k = bisect_right(negs, -di) - 1
+            if k >= 0:
+                j = idxs[u][k]
+                if best < 0 or j < best:
+                    best = j
+        nxt[i] = best
+        negs = neg_dates.setdefault(ti, [])
+        ix = idxs.setdefault(ti, [])
+        while negs and -negs[-1] <= di:
+            negs.pop()
+            ix.pop()
+        negs.append(-di)
+        ix.append(i)
+    return nxt
+
+
+def _general_pieces(types, dates):
+    """Summary pieces for any date order: next pointers, chain ends, then a
+    sweep over the distinct dates in descending order."""
+    n = len(types)
+    nxt = _next_pointers(types, dates)
+    end = np.arange(n)
+    for i in range(n - 1, -1, -1):
+        if nxt[i] >= 0:
+            end[i] = end[nxt[i]]
+
+    def exit_of(i):
+        e = end[i]
+        return (types[e], int(dates[e]))
+
+    order = np.argsort(dates, kind="stable")[::-1]
+    desc: list = []  # (threshold, value), thresholds descending
+    i1, t1, i2 = -1, None, -1
+    k = 0
+    while k < n:
+        d = dates[order[k]]
+        while k < n and dates[order[k]] == d:
+            j = int(order[k])
+            tj = types[j]
+            if i1 < 0:
+                i1, t1, i2 = j, tj, -1
+            elif j < i1:
+                if tj != t1:
+                    i2 = i1
+                i1, t1 = j, tj
+            elif tj != t1 and (i2 < 0 or j < i2):
+                i2 = j
+            k += 1
+        x1 = exit_of(i1)
+        if i2 < 0:
+            value = (fold.PIECE_ONE, t1, x1, None)
+        else:
+            x2 = exit_of(i2)
+            value = (fold.PIECE_CONST, None, x1, None) if x1 == x2 else (fold.PIECE_TWO, t1, x1, x2)
+        if not desc or desc[-1][1] != value:
+            desc.append((int(d), value))
+    desc.reverse()
+    thr = [p[0] for p in desc]
+    kind = [p[1][0] for p in desc]
+    t1s = [p[1][1] for p in desc]
+    x1t = [p[1][2][0] for p in desc]
+    x1d = [p[1][2][1] for p in desc]
+    x2t = [p[1][3][0] if p[1][3] else None for p in desc]
+    x2d = [p[1][3][1] if p[1][3] else None for p in desc]
+    return thr, kind, t1s, x1t, x1d, x2t, x2d
+
+
 event = st.tuples(st.sampled_from(["A", "B", "C", "-"]), st.integers(-3, 12))
 events = st.lists(event, max_size=40)
 
@@ -118,7 +203,7 @@ def test_sorted_pieces_equal_general_pieces(evs):
     types, dates = _arrays(evs)
     if len(evs) == 0:
         return
-    assert fold._sorted_pieces(types, dates) == fold._general_pieces(types, dates)
+    assert fold._sorted_pieces(types, dates) == _general_pieces(types, dates)
 
 
 @settings(max_examples=300, deadline=None)
@@ -164,4 +249,25 @@ def test_vector_pieces_equal_general_pieces(evs):
     if not evs:
         return
     types, dates = _arrays(evs)
-    assert fold._vector_pieces(types, dates) == fold._general_pieces(types, dates)
+    assert fold._vector_pieces(types, dates) == _general_pieces(types, dates)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 30)), min_size=2, max_size=70))
+def test_next_accepted_equals_the_sweep(evs):
+    codes = np.array([e[0] for e in evs], dtype=np.int64)
+    dates = np.array([e[1] for e in evs], dtype=np.int64)
+    want = _next_pointers(codes, dates)
+    assert fold.next_accepted(codes, dates).tolist() == np.where(want < 0, len(evs), want).tolist()
+
+
+def test_many_types_take_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    types = np.array([f"t{i}" for i in rng.integers(0, 500, 50_000)], dtype=object)
+    dates = rng.integers(0, 10**6, 50_000)
+    tracemalloc.start()
+    fold.run_pieces(types, dates)
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()

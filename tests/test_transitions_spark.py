@@ -105,36 +105,57 @@ def test_driver_table_counts(spark):
     assert shuffled.where("late").count() == 7342
 
 
-def test_file_splits_become_chunks(spark):
-    """Tiny row groups and read splits cut one range file into several chunks
-    (tasks); entering states are composed across them and the result is exact."""
+def test_settings_may_change_between_build_and_run(spark):
+    """The lazy result reads the same chunks whatever the read settings are by then."""
     rnd = random.Random(9)
     rows = []
     for seq in range(3000):
         k = "hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 20)}"
         rows.append((k, rnd.choice("ABC"), rnd.randint(0, 200), seq))
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    old_block = hconf.get("parquet.block.size")
-    old_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ann = tr.annotate_transitions(make_events(spark, rows), num_partitions=5)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "4096",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "50",
+        "spark.sql.shuffle.partitions": "3",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
     try:
-        hconf.set("parquet.block.size", "2048")
-        hconf.set("parquet.page.size", "512")
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-        spark.conf.set("spark.sql.files.openCostInBytes", "0")
-        acc, late, res = _got(spark, rows, 3)
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        res = ann.select("id", "seq", "accepted", "late", "_chunk").collect()
     finally:
-        if old_block is None:
-            hconf.unset("parquet.block.size")
-        else:
-            hconf.set("parquet.block.size", old_block)
-        hconf.unset("parquet.page.size")
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old_split)
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     want_acc, want_late = _expected(rows)
-    assert acc == want_acc
-    assert late == want_late
-    # some range file was read as more than one chunk
-    assert len({r._chunk for r in res}) > len({r._pid for r in res})
+    assert {(r.id, r.seq) for r in res if r.accepted} == want_acc
+    assert {(r.id, r.seq) for r in res if r.late} == want_late
+    assert len({r._chunk for r in res}) == 5
+
+
+@pytest.mark.parametrize("types", [["A"], ["A", "B"], [f"t{i}" for i in range(500)]])
+def test_summaries_of_a_hot_key_are_bounded(spark, types):
+    """One key of one type with rising dates has a piece per date; all but those that an
+    entering date can reach are cut before they are gathered by key."""
+    rnd = random.Random(3)
+    rows = [("hot", rnd.choice(types), seq, seq) for seq in range(4000)]
+    events = make_events(spark, rows).repartitionByRange(8, "id", "seq").sortWithinPartitions("id", "seq")
+    events = events.withColumn(tr.PID, tr.F.spark_partition_id())
+    summaries = events.select(tr.PID, "id", "event_type", "date_event").mapInArrow(
+        tr._summarise("id", "event_type", "date_event"), tr._SUMMARY
+    )
+    sizes = [len(r.thr) for r in tr.bounded_summaries(summaries).collect() if r._role == 1]
+    assert len(sizes) == 8 and max(sizes[1:]) <= 2
+    acc, late, _ = _got(spark, rows, 8)
+    want_acc, want_late = _expected(rows)
+    assert acc == want_acc and late == want_late
+
+
+def test_nothing_is_collected_to_the_driver():
+    import inspect
+
+    assert ".collect(" not in inspect.getsource(tr) and "broadcast(" not in inspect.getsource(tr)
 
 
 def test_unicode_and_mixed_case_keys(spark):
