@@ -1,13 +1,7 @@
 """Latest row per key.
 
-``latest_ties`` is the micro-batch step of the second hop as written: the
-per-key maximum joined back to the rows, so every row equal to the maximum is
-kept.  The aggregate is partial (map-side combine); the join back is a shuffle
-join whose skewed partitions AQE splits (``spark.sql.adaptive.skewJoin``).
-
-``latest_per_key`` keeps exactly one row per key in a single aggregation
-(``max_by`` over an ordering struct, partially aggregated, so a hot key is
-reduced map-side before the shuffle).
+``latest_ties`` keeps every row at its key's newest value, ``latest_per_key`` exactly
+one row per key.  Both reduce map-side first, so a hot key does not meet in one task.
 """
 
 from __future__ import annotations
@@ -18,10 +12,13 @@ from pyspark.sql import functions as F
 
 def latest_ties(df: DataFrame, key: str, by: str) -> DataFrame:
     """Rows whose ``by`` equals their key's maximum (all ties kept; NULL keys
-    and NULL ``by`` never match)."""
-    top = df.groupBy(F.col(key).alias("_r_key")).agg(F.max(by).alias("_r_max"))
-    cond = (F.col(key) == F.col("_r_key")) & (F.col(by) == F.col("_r_max"))
-    return df.join(top, cond, "inner").drop("_r_key", "_r_max")
+    and NULL ``by`` never match).
+
+    The newest value of each key is a grouped maximum; a semi-join on (key, value)
+    keeps the rows that have it.  The join hashes both columns, so a key with very
+    many rows is spread over its values."""
+    newest = df.groupBy(key).agg(F.max(by).alias(by))
+    return df.join(newest, [key, by], "left_semi")
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:

@@ -3,16 +3,16 @@ changes after ``T``.
 
 Two forms of each query:
 
-* **array form** over the history table (the reference's data model: each row
-  holds a key's history as four parallel arrays) — higher-order ``filter``,
-  ``slice``, ``arrays_zip``, ``explode``/``flatten`` and element access, one
-  row at a time, no shuffle until the final sort;
-* **row form** over the flat change log — ``max_by`` (partial aggregation) for
+* **array form** over the history table (each row holds a key's history, or one
+  segment of it, as four parallel arrays).  The arrays are zipped into one array of
+  changes; the snapshot is the last change dated ``<= T``, the replay is every change
+  dated ``> T``.  One row at a time, no shuffle until the final sort;
+* **row form** over the flat change log: ``max_by`` (partial aggregation) for
   the snapshot, a pushed-down range filter plus a range-partitioned sort for the
   replay.  Store the log sorted by date and Parquet min/max statistics skip the
   files outside the range.
 
-On sorted histories both forms give the same rows.
+Accepted changes have non-decreasing dates, so both forms give the same rows.
 """
 
 from __future__ import annotations
@@ -24,10 +24,6 @@ from pyspark.sql import functions as F
 
 from ..schema import DATE_EVENT, EVENT_TYPE, ID, LAT, LNG, LOCATION, SEQ, SNAPSHOT_COLUMNS
 
-# ``slice`` length meaning "to the end of the array".
-TO_END = 999_999_999
-
-
 def _t(at: int | Column) -> Column:
     return at if isinstance(at, Column) else F.lit(int(at)).cast("long")
 
@@ -44,81 +40,47 @@ def select_ids(df: DataFrame, ids) -> DataFrame:
     return df.where(F.col(ID).isin(list(ids)))
 
 
+def history_changes() -> Column:
+    """A history row's changes as one array of structs, in arrival order."""
+    return F.arrays_zip(
+        F.col("date_event_memory").alias("date"),
+        F.col("event_type_memory").alias("type"),
+        F.col("coordinates_memory").alias("place"),
+        F.col("location_memory").alias("location"),
+    )
+
+
+def _snapshot_of(change: Column) -> list[Column]:
+    """The snapshot columns of one change of :func:`history_changes`."""
+    return [
+        change["date"].alias(DATE_EVENT),
+        change["type"].alias(EVENT_TYPE),
+        change["location"].alias(LOCATION),
+        F.get(change["place"], 0).alias(LAT),
+        F.get(change["place"], 1).alias(LNG),
+    ]
+
+
 def asof_snapshot(table: DataFrame, at: int | Column) -> DataFrame:
     """Array form: per key, the last change dated ``<= at``; keys without one are
-    absent.  Steps of the reference: filter dates, count them, keep rows with a
-    count, take that position of each array, unwrap, split the pair."""
+    absent."""
     t = _t(at)
-    before = F.filter("date_event_memory", lambda x: x <= t)
-    step = table.select(
-        ID,
-        F.col("date_event_memory"),
-        F.col("event_type_memory"),
-        F.col("coordinates_memory"),
-        F.col("location_memory"),
-        F.col("last_seq") if "last_seq" in table.columns else F.lit(None).cast("long").alias("last_seq"),
-        F.size(before).alias("_n"),
-    ).where(F.col("_n") > 0)
-    picked = step.select(
-        ID,
-        "last_seq",
-        F.slice("date_event_memory", F.col("_n"), F.lit(1)).alias("_d"),
-        F.slice("event_type_memory", F.col("_n"), F.lit(1)).alias("_t"),
-        F.slice("coordinates_memory", F.col("_n"), F.lit(1)).alias("_c"),
-        F.slice("location_memory", F.col("_n"), F.lit(1)).alias("_l"),
-    )
-    flat = picked.select(
-        ID,
-        "last_seq",
-        F.element_at("_d", 1).alias(DATE_EVENT),
-        F.element_at("_t", 1).alias(EVENT_TYPE),
-        F.element_at("_l", 1).alias(LOCATION),
-        F.flatten("_c").alias("_coord"),
-    )
-    rows = flat.select(
-        ID,
-        DATE_EVENT,
-        EVENT_TYPE,
-        LOCATION,
-        F.get("_coord", 0).alias(LAT),
-        F.get("_coord", 1).alias(LNG),
-        "last_seq",
-    )
-    if "segment" not in table.columns:
-        return rows.select(*SNAPSHOT_COLUMNS)
-    # A key split into segments: keep the latest segment's answer (partial agg).
-    best = rows.groupBy(ID).agg(
-        F.max_by(F.struct(*SNAPSHOT_COLUMNS[1:]), F.struct(F.col(DATE_EVENT), F.col("last_seq"))).alias("_b")
-    )
-    return best.select(ID, *[F.col("_b")[c].alias(c) for c in SNAPSHOT_COLUMNS[1:]])
+    known = F.filter(history_changes(), lambda c: c["date"] <= t)
+    segmented = "segment" in table.columns
+    rows = table.select(ID, *(["segment"] if segmented else []), F.try_element_at(known, F.lit(-1)).alias("_last"))
+    rows = rows.where(F.col("_last").isNotNull())
+    if segmented:
+        # Of a key's segments the last one that has such a change answers (partial aggregation).
+        rows = rows.groupBy(ID).agg(F.max_by("_last", "segment").alias("_last"))
+    return rows.select(ID, *_snapshot_of(F.col("_last"))).select(*SNAPSHOT_COLUMNS)
 
 
 def replay_after(table: DataFrame, at: int | Column, ids: Iterable[str] | DataFrame | None = None, sort: bool = True) -> DataFrame:
-    """Array form: every change dated ``> at``, one row each, ascending by date.
-    Steps of the reference: filter dates, start index = size - count + 1, slice
-    each array to the end, keep non-empty rows, zip, explode, split the pair."""
+    """Array form: every change dated ``> at``, one row each, ascending by date."""
     t = _t(at)
-    after = F.filter("date_event_memory", lambda x: x > t)
-    start = F.size("date_event_memory") - F.size(after) + 1
-    step = table.select(
-        ID,
-        after.alias("dates_from"),
-        F.slice("event_type_memory", start, F.lit(TO_END)).alias("events_from"),
-        F.slice("coordinates_memory", start, F.lit(TO_END)).alias("coordinates_from"),
-        F.slice("location_memory", start, F.lit(TO_END)).alias("locations_from"),
-    ).where(F.size("dates_from") > 0)
-    step = select_ids(step, ids)
-    zipped = step.select(
-        ID, F.explode(F.arrays_zip("dates_from", "events_from", "coordinates_from", "locations_from")).alias("z")
-    )
-    rows = zipped.select(
-        ID,
-        F.col("z.dates_from").alias(DATE_EVENT),
-        F.col("z.events_from").alias(EVENT_TYPE),
-        F.col("z.locations_from").alias(LOCATION),
-        F.get(F.col("z.coordinates_from"), 0).alias(LAT),
-        F.get(F.col("z.coordinates_from"), 1).alias(LNG),
-    )
+    later = F.filter(history_changes(), lambda c: c["date"] > t)
+    rows = select_ids(table, ids).select(ID, F.explode(later).alias("_c")).select(ID, *_snapshot_of(F.col("_c")))
+    rows = rows.select(*SNAPSHOT_COLUMNS)
     return rows.orderBy(DATE_EVENT, ID) if sort else rows
 
 
