@@ -1,10 +1,11 @@
 """Key histories: the change log with each key's history so far as parallel
-arrays, and the history table (the final arrays of each key).
+arrays, and the history table (the arrays of each key).
 
 The per-change arrays are quadratic in a key's history length by definition
-(every change repeats everything before it); they are built only when asked for.
-The stored form is the flat change log; the history table keeps each key's
-arrays in bounded segments so no row, and no task, holds an unbounded key.
+(every change repeats everything before it) and one task holds a key; they are
+built only when asked for.  The stored form is the flat change log.  The history
+table has one row per key, or, with a segment size, one row per so many changes of
+a key, numbered over the whole key: then no row holds an unbounded key.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from pyspark.sql import types as T
 from ..schema import DATE_EVENT, EVENT_TYPE, HISTORY_ROW, ID, LAT, LNG, LOCATION, SEQ
 
 MEMORY_COLUMNS = ["date_event_memory", "event_type_memory", "coordinates_memory", "location_memory"]
-# Changes per history-table row; a longer history spans several rows.
-DEFAULT_SEGMENT = 100_000
 # Stored row of the latest-state table: the history row and its arrival position.
 TABLE_ROW = T.StructType(list(HISTORY_ROW.fields) + [T.StructField("last_seq", T.LongType())])
 
@@ -27,60 +26,77 @@ def coordinates(lat: str = LAT, lng: str = LNG) -> Column:
     return F.array(F.col(lat), F.col(lng))
 
 
+def _change(order: str) -> Column:
+    """A change as one struct: a field that is NULL stays in its place in the arrays."""
+    return F.struct(
+        F.col(order).alias("seq"),
+        F.col(DATE_EVENT).alias("date"),
+        F.col(EVENT_TYPE).alias("type"),
+        coordinates().alias("place"),
+        F.col(LOCATION).alias("location"),
+    )
+
+
+def _memory(history: str) -> list[Column]:
+    fields = ["date", "type", "place", "location"]
+    return [F.col(f"{history}.{f}").alias(c) for f, c in zip(fields, MEMORY_COLUMNS, strict=True)]
+
+
 def history_rows(changes: DataFrame, key: str = ID, order: str = SEQ) -> DataFrame:
     """Every accepted change with the key's history up to and including it
-    (running ``collect_list`` over the key, in arrival order)."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return changes.select(
+    (one running ``collect_list`` of changes over the key, in arrival order)."""
+    so_far = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = changes.withColumn("_so_far", F.collect_list(_change(order)).over(so_far))
+    return rows.select(
         F.col(key).alias(ID),
         F.col(EVENT_TYPE),
         F.col(DATE_EVENT),
         coordinates().alias("coordinates"),
         F.col(LOCATION),
-        F.collect_list(DATE_EVENT).over(w).alias("date_event_memory"),
-        F.collect_list(EVENT_TYPE).over(w).alias("event_type_memory"),
-        F.collect_list(coordinates()).over(w).alias("coordinates_memory"),
-        F.collect_list(LOCATION).over(w).alias("location_memory"),
+        *_memory("_so_far"),
         F.col(order).alias(SEQ),
     )
 
 
-def history_table(changes: DataFrame, key: str = ID, order: str = SEQ, segment_size: int = DEFAULT_SEGMENT) -> DataFrame:
-    """One row per key (per segment of ``segment_size`` changes for longer
-    histories) with the current values and the four history arrays.
+def numbered_changes(changes: DataFrame, key: str = ID, order: str = SEQ) -> DataFrame:
+    """``changes`` with ``_number``: the position of a change in its key's history, from 0.
+
+    Annotated changes (``_chunk`` and ``change_no`` of ``annotate_transitions``) are
+    numbered inside their chunk already: the chunks' counts per key are summed up in chunk
+    order, a few rows per key, so that no task holds a key.  Others are numbered by a
+    window over the key."""
+    if not {"_chunk", "change_no"} <= set(changes.columns):
+        return changes.withColumn("_number", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+    counts = changes.groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(key, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # Only a key that goes on in another chunk has anything before it.
+    before = before.where("_before > 0")
+    numbered = changes.join(before, [key, "_chunk"], "left")
+    return numbered.withColumn("_number", F.coalesce("_before", F.lit(0)) + F.col("change_no")).drop("_before")
+
+
+def history_table(changes: DataFrame, key: str = ID, order: str = SEQ, segment_size: int | None = None) -> DataFrame:
+    """One row per key with its current values and the four history arrays (in arrival order).
 
-    With annotated input (``_chunk``, ``change_no`` from ``annotate_transitions``)
-    a segment is a run of at most ``segment_size`` consecutive changes inside one
-    fold chunk; otherwise the whole key is one row.  Arrays are in arrival order.
-    """
-    segmented = "_chunk" in changes.columns and "change_no" in changes.columns
+    With ``segment_size``: one row per key and segment; segment ``i`` holds the changes
+    ``i * segment_size`` to ``(i + 1) * segment_size - 1`` of the key, whatever the
+    layout of the input."""
     keys = [F.col(key).alias(ID)]
-    if segmented:
-        block = F.floor(F.col("change_no") / F.lit(segment_size)).alias("block")
-        keys.append(F.struct(F.col("_chunk"), block).alias("segment"))
-    entry = F.struct(
-        F.col(order).alias("seq"),
-        F.col(DATE_EVENT).alias("d"),
-        F.col(EVENT_TYPE).alias("t"),
-        coordinates().alias("c"),
-        F.col(LOCATION).alias("l"),
-    )
-    grouped = changes.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(entry)).alias("_h")
-    )
+    if segment_size:
+        changes = numbered_changes(changes, key, order)
+        keys.append(F.floor(F.col("_number") / F.lit(segment_size)).alias("segment"))
+    grouped = changes.groupBy(*keys).agg(F.array_sort(F.collect_list(_change(order))).alias("_h"))
     last = F.element_at("_h", -1)
     return grouped.select(
         ID,
-        last["t"].alias(EVENT_TYPE),
-        last["d"].alias(DATE_EVENT),
-        last["c"].alias("coordinates"),
-        last["l"].alias(LOCATION),
-        F.col("_h.d").alias("date_event_memory"),
-        F.col("_h.t").alias("event_type_memory"),
-        F.col("_h.c").alias("coordinates_memory"),
-        F.col("_h.l").alias("location_memory"),
+        last["type"].alias(EVENT_TYPE),
+        last["date"].alias(DATE_EVENT),
+        last["place"].alias("coordinates"),
+        last["location"].alias(LOCATION),
+        *_memory("_h"),
         last["seq"].alias("last_seq"),
-        *(["segment"] if segmented else []),
+        *(["segment"] if segment_size else []),
     )
 
 
@@ -94,3 +110,14 @@ def history_text(rows: DataFrame, sep: str = "|") -> DataFrame:
         F.array_join(F.col("date_event_memory").cast("array<string>"), sep).alias("date_event_memory"),
         F.size("date_event_memory").cast("long").alias("n"),
     )
+
+
+def locations_text(rows: DataFrame, sep: str = "|", null: str = "~") -> DataFrame:
+    """Each history row's locations joined to text, NULL ones as ``null``."""
+    return rows.select(
+        ID,
+        DATE_EVENT,
+        F.array_join("location_memory", sep, null).alias("location_memory"),
+        F.size("location_memory").cast("long").alias("n"),
+        F.size("coordinates_memory").cast("long").alias("n_coordinates"),
+    )

@@ -87,3 +87,33 @@ def test_replay_ids_as_frame(spark):
     assert got == [("b", 3), ("a", 5), ("a", 7)]
     table = hist.history_table(changes)
     assert sorted((r.id, r.date_event) for r in timetravel.replay_after(table, 2, ids=ids).collect()) == sorted(got)
+
+
+def test_null_places_stay_in_their_positions(spark):
+    rows = [("a", "A", 1, 0), ("a", "B", 2, 1), ("a", "C", 3, 2)]
+    events = make_events(spark, rows).withColumn("location", F.when(F.col("seq") > 0, F.col("location")))
+    changes = tr.transitions(events, num_partitions=2)
+    last = hist.history_rows(changes).orderBy("seq").collect()[-1]
+    assert last.location_memory == [None, "loc-1", "loc-2"]
+    for table in (hist.history_table(changes), hist.history_table(changes, segment_size=2)):
+        assert timetravel.asof_snapshot(table, 2).first().location == "loc-1"
+        assert [r.location for r in timetravel.replay_after(table, 1).collect()] == ["loc-1", "loc-2"]
+
+
+def test_segments_do_not_depend_on_the_layout(spark):
+    rnd = random.Random(13)
+    rows = [(rnd.choice(["hot", "hot", "k1", "k2"]), rnd.choice("ABC"), s // 3, s) for s in range(500)]
+    tables = []
+    for parts in (1, 4, 9):
+        table = hist.history_table(_changes(spark, rows, parts), segment_size=30)
+        tables.append(sorted(map(str, table.collect())))
+    assert tables[0] == tables[1] == tables[2] and len(tables[0]) > 3
+
+
+def test_latest_ties_keeps_ties_and_drops_nulls(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), (None, 5, "n"), ("b", None, "m"), ("c", 1, "w"), ("c", 1, "w")],
+        "k string, d long, v string",
+    )
+    got = sorted((r.k, r.v) for r in latest.latest_ties(df, "k", "d").collect())
+    assert got == [("a", "y"), ("a", "z"), ("c", "w"), ("c", "w")]
