@@ -39,14 +39,19 @@ def first_hop(spark: SparkSession, a) -> None:
     """One keyed state; history rows and flat changes go to their topics from
     the same micro-batch."""
     messages = src.kafka_messages(spark, a.brokers, a.topic_in, max_offsets_per_trigger=a.max_offsets)
-    query = jobs.first_hop_both(
+    mapping = _mapping(a.fields)
+    jobs.first_hop_both(
         messages,
         jobs.kafka_writer(a.brokers, a.topic_out),
         jobs.kafka_writer(a.brokers, a.topic_flat),
         a.checkpoint,
-        mapping=_mapping(a.fields),
+        mapping=mapping,
+        coercion=a.coercion,
+        list_state=a.list_state,
     )
-    query.awaitTermination()
+    if a.rejects:
+        jobs.write_rejects(messages, jobs.kafka_writer(a.brokers, a.rejects), f"{a.checkpoint.rstrip('/')}-rejects", mapping=mapping)
+    spark.streams.awaitAnyTermination()
 
 
 def second_hop(spark: SparkSession, a) -> None:
@@ -54,7 +59,9 @@ def second_hop(spark: SparkSession, a) -> None:
         spark, a.brokers, a.topic, fail_on_data_loss=False, max_offsets_per_trigger=a.max_offsets
     )
     guard = None if a.unguarded else "date_event"
-    query = jobs.upsert_stream(messages.select("value"), a.table, a.checkpoint, guard=guard, available_now=False)
+    query = jobs.upsert_stream(
+        messages.select("value"), a.table, a.checkpoint, guard=guard, available_now=False, fmt=a.format
+    )
     query.awaitTermination()
 
 
@@ -85,12 +92,16 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--checkpoint", required=True)
     f.add_argument("--fields", default=None)
     f.add_argument("--max-offsets", type=int, default=jobs.MAX_OFFSETS_PER_TRIGGER)
+    f.add_argument("--rejects", default=None, help="topic for the messages that are no events")
+    f.add_argument("--coercion", default="null", choices=["null", "zero"])
+    f.add_argument("--list-state", action="store_true", help="history as ListState; fixed for a checkpoint's life")
     s = sub.add_parser("second-hop")
     s.add_argument("--brokers", required=True)
     s.add_argument("--topic", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--unguarded", action="store_true", help="update matched keys even with older dates")
+    s.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     s.add_argument("--max-offsets", type=int, default=jobs.MAX_OFFSETS_PER_TRIGGER)
     r = sub.add_parser("reader")
     r.add_argument("--table", required=True)

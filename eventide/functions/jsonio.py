@@ -22,6 +22,12 @@ def encode(df: DataFrame, columns: list[str] | None = None, value_col: str = "va
     return df.select(F.to_json(F.struct(*cols), _JSON_OPTS).alias(value_col))
 
 
+def keyed(df: DataFrame, key_col: str = "id") -> DataFrame:
+    """Record ``key`` (the row's ``key_col`` as text, if it has one) and JSON ``value``."""
+    key = [F.col(key_col).cast("string").alias("key")] if key_col in df.columns else []
+    return df.select(*key, F.to_json(F.struct(*df.columns), _JSON_OPTS).alias("value"))
+
+
 def encode_events(changes: DataFrame) -> DataFrame:
     """Flat changes -> JSON text (the flat topic)."""
     return encode(changes, FLAT_COLUMNS)

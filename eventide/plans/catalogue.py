@@ -27,6 +27,8 @@ REPLAY_IDS = "3,7,11"
 # Skew case: every HOT_EVERY-th event (by arrival) belongs to one key.
 HOT_KEY = "hot"
 HOT_EVERY = 3
+# Changes in a row of the history table; a longer history goes on in the next segment.
+SEGMENT_SIZE = 10_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +42,7 @@ def _changes(spark: SparkSession, sf_dir: str, arrival: str = "event_id") -> Dat
 
 
 def _history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hist.history_table(_changes(spark, sf_dir))
+    return hist.history_table(_changes(spark, sf_dir), segment_size=SEGMENT_SIZE)
 
 
 # --- first hop: parse, filter, history -------------------------------------------------
@@ -82,6 +84,25 @@ def q_history_rows(spark, sf_dir):
     return hist.history_text(hist.history_rows(_changes(spark, sf_dir)))
 
 
+def q_history_rows_nulls(spark, sf_dir):
+    """Histories with a NULL location in every fourth change: the arrays stay parallel."""
+    changes = _changes(spark, sf_dir)
+    changes = changes.withColumn("location", F.when(F.col(SEQ) % 4 != 0, F.col("location")))
+    return hist.locations_text(hist.history_rows(changes))
+
+
+def q_parse_rejects(spark, sf_dir):
+    """Every message is an event or a reject: one message in seven has no date, one in
+    eleven no key, one in thirteen is no JSON at all."""
+    messages = src.to_input_json(_events(spark, sf_dir))
+    blank = F.regexp_replace("value", '"DATE_EVENT":[^,}]*', '"DATE_EVENT":null')
+    blank = F.when(F.col(SEQ) % 7 == 0, blank).otherwise(F.col("value"))
+    blank = F.when(F.col(SEQ) % 11 == 0, F.regexp_replace(blank, '"ID":"[^"]*"', '"ID":null')).otherwise(blank)
+    blank = F.when(F.col(SEQ) % 13 == 0, F.lit("not json")).otherwise(blank)
+    good, bad = src.split_valid(src.parse_events(messages.withColumn("value", blank), keep=[SEQ, "value"]))
+    return good.select(SEQ, F.lit(True).alias("accepted")).union(bad.select(SEQ, F.lit(False)))
+
+
 # --- second hop: latest per key, table, upsert -------------------------------------------
 
 
@@ -103,7 +124,7 @@ def _two_batch_table(spark, sf_dir) -> str:
     the batch touched."""
     path = shared_path(spark, "tables", "history", unique=True)
     tbl.ensure_table(spark, path, hist.TABLE_ROW)
-    changes = _changes(spark, sf_dir).drop("_pid", "_chunk", "change_no")
+    changes = _changes(spark, sf_dir)
     for version, (window, upto) in enumerate(
         ((F.col(DATE_EVENT) <= T, F.col(DATE_EVENT) <= T), (F.col(DATE_EVENT) > T, F.lit(True))), start=1
     ):
@@ -211,6 +232,15 @@ def q_decode_history_json(spark, sf_dir):
     return hist.history_text(jsonio.decode_history(records))
 
 
+def q_replay_json_single_file(spark, sf_dir):
+    """The one-file layout of the replay."""
+    from ..sources.files import read_replay_json, write_replay_json
+
+    path = shared_path(spark, "replay", str(T), unique=True)
+    write_replay_json(timetravel.replay_after(_history_table(spark, sf_dir), T, sort=False), path, single_file=True)
+    return read_replay_json(spark, path)
+
+
 def q_replay_json_roundtrip(spark, sf_dir):
     from ..sources.files import read_replay_json, write_replay_json
 
@@ -230,6 +260,8 @@ def catalogue() -> dict[str, Query]:
         "late_rejected": q_late_rejected,
         "change_kind": q_change_kind,
         "history_rows": q_history_rows,
+        "history_rows_nulls": q_history_rows_nulls,
+        "parse_rejects": q_parse_rejects,
         "latest_ties": q_latest_ties,
         "latest_per_key": q_latest_per_key,
         "ensure_table": q_ensure_table,
@@ -247,6 +279,9 @@ def catalogue() -> dict[str, Query]:
         "encode_history_json": q_encode_history_json,
         "decode_history_json": q_decode_history_json,
         "replay_json_roundtrip": q_replay_json_roundtrip,
+        "replay_json_single_file": q_replay_json_single_file,
+        "stream_out_of_order": jobs.q_stream_out_of_order,
+        "stream_rejects": jobs.q_stream_rejects,
         "stream_parse_events": jobs.q_stream_parse_events,
         "stream_transitions": jobs.q_stream_transitions,
         "stream_history_rows": jobs.q_stream_history_rows,

@@ -65,7 +65,10 @@ select {FLAT} from t where p is null or p<>event_type"""
 
 
 def oracles() -> dict[str, str]:
+    ordered = f"""{FOLD}select r.id, r.event_type, r.date_event, r.lat, r.lng, r.location
+from r join f on r.id=f.id and r.rn=f.rn where f.ok"""
     return {
+        "stream_out_of_order": ordered,
         "parse_events": PARSE,
         "transitions": TRANSITIONS,
         "transitions_hot_key": HOT,
@@ -78,6 +81,13 @@ from r join f on r.id=f.id and r.rn=f.rn where f.late""",
   lag(event_type) over w previous_type
 from a window w as (partition by id order by seq)""",
         "history_rows": HISTORY,
+        "history_rows_nulls": f"""{TR}select id, date_event,
+  array_to_string(list(coalesce(place, '~')) over w, '|') location_memory, count(*) over w n, count(*) over w n_coordinates
+from (select *, case when seq % 4 <> 0 then location end place from a)
+window w as (partition by id order by seq rows between unbounded preceding and current row)""",
+        "parse_rejects": f"with {SRC} select seq, (seq % 7 <> 0 and seq % 11 <> 0 and seq % 13 <> 0) accepted from src",
+        "stream_rejects": f"with {SRC} select seq, true has_text from src where seq % 11 = 0",
+        "replay_json_single_file": REPLAY,
         "latest_ties": """select o.o_custkey, o.o_orderkey, o.o_totalprice from orders o
 join (select o_custkey c, max(o_orderdate) m from orders group by 1) g
   on c=o_custkey and m=o_orderdate""",

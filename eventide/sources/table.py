@@ -2,10 +2,9 @@
 
 With the Delta Lake package on the classpath (``format="delta"``) these are
 ``DeltaTable`` calls: ``MERGE`` and ``versionAsOf``.  Without it the table is a
-folder of Parquet snapshots ``v=<n>`` under a shared path; an upsert writes
-``(target anti-join source) union source`` as the next snapshot.  Writing a
-snapshot is idempotent per version, so a retried micro-batch (same batch id,
-same version) overwrites its own output and never duplicates rows.
+folder of Parquet snapshots ``v=<n>`` under a shared path; an upsert writes the
+merged rows as the next snapshot.  A snapshot counts once it is complete, so a failed
+write is not seen, and giving the same rows again changes nothing but the version.
 """
 
 from __future__ import annotations
@@ -42,14 +41,6 @@ def _vpath(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/v={version:010d}"
 
 
-def delta_available(spark: SparkSession) -> bool:
-    try:
-        spark.sparkContext._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")
-        return True
-    except Exception:
-        return False
-
-
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> int:
     """Create an empty table with ``schema`` if there is none; returns its version."""
     if fmt == "delta":
@@ -84,19 +75,14 @@ def read_table(spark: SparkSession, path: str, version: int | None = None, fmt:
 def merged(target: DataFrame, source: DataFrame, key: str, guard: str | None = None) -> DataFrame:
     """Rows of ``target`` updated / extended by ``source`` (one row per key).
 
-    ``guard=None``: matched rows are replaced unconditionally (the reference's
-    ``updateAll``).  ``guard="date_event"``: a matched row is replaced only when
+    ``guard=None``: matched rows are replaced unconditionally.  ``guard="date_event"``: a matched row is replaced only when
     the source value is not older, so out-of-order batches cannot roll back."""
     source = source.select(*target.columns)
-    if guard is None:
-        kept = target.join(source.select(key), key, "left_anti")
-        return kept.unionByName(source)
     s = source.alias("s")
     t = target.alias("t")
     j = s.join(t, F.col(f"s.{key}") == F.col(f"t.{key}"), "full_outer")
-    take_s = F.col(f"t.{key}").isNull() | (
-        F.col(f"s.{key}").isNotNull() & (F.col(f"s.{guard}") >= F.col(f"t.{guard}"))
-    )
+    newer = F.lit(True) if guard is None else F.col(f"s.{guard}") >= F.col(f"t.{guard}")
+    take_s = F.col(f"t.{key}").isNull() | (F.col(f"s.{key}").isNotNull() & newer)
     cols = [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
     return j.select(*cols)
 
@@ -112,8 +98,7 @@ def upsert(
 ) -> int:
     """MERGE ``source`` (one row per key) into the table; returns the new version.
 
-    ``version`` pins the version to write (use ``batch_id + 1`` in a
-    ``foreachBatch`` so a replayed batch rewrites the same snapshot)."""
+    ``version``: the version to write; by default the one after the table's last."""
     if fmt == "delta":
         from delta.tables import DeltaTable  # type: ignore[import-not-found]
 

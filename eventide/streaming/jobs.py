@@ -2,8 +2,9 @@
 (history rows -> latest per key -> MERGE into the table).
 
 Sources are Kafka topics in production (``sources.events.kafka_messages``) and
-folders of JSON-lines files here; sinks are Kafka topics (``to_kafka``), Parquet
-folders or ``foreachBatch``.  Every query has a checkpoint under the shared
+folders of JSON-lines files here; sinks are Kafka topics (``kafka_writer``), Parquet
+folders or ``foreachBatch``.  A ``foreachBatch`` sink is at least once: a batch that
+failed half-way is given again, with the same number.  Every query has a checkpoint under the shared
 checkpoint folder, so a restarted query resumes its offsets and its keyed state.
 
 The ``q_*`` functions drive the jobs over the driver's ``events`` table: the
@@ -35,36 +36,40 @@ WINDOW_SPLIT = 1705276800000
 MAX_OFFSETS_PER_TRIGGER = 20_000_000
 
 
-def to_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str):
-    """JSON rows to a Kafka topic (needs the spark-sql-kafka package)."""
-    return (
-        jsonio.encode(df)
-        .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def first_hop(
+    messages: DataFrame,
+    history: bool = False,
+    mapping: ColumnMapping = ColumnMapping(),
+    coercion: str = "null",
+    list_state: bool = False,
+) -> DataFrame:
+    """Messages (``value``, ``seq``) -> parsed events -> keyed transition filter.
 
+    ``list_state`` keeps a key's history as ``ListState`` (appends per change; needs the
+    RocksDB state store) and not as one ``GroupState`` row.  It is part of the stream's
+    identity: a checkpoint can only be continued with the form that it was begun with.
+    What is no event (no key, type or date) goes to :func:`rejects`."""
+    parsed = src.parse_events(messages, mapping, coercion=coercion, keep=[SEQ])
+    good, _ = src.split_valid(parsed)
+    form = keyed_transitions_tws if list_state else keyed_transitions
+    return form(good, history=history)
 
-def list_state_available(spark: SparkSession) -> bool:
-    """``transformWithStateInPandas`` needs the RocksDB state store; with the unix
-    socket state channel it opens no TCP port."""
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""
-    uds = spark.sparkContext.getConf().get("spark.python.unix.domain.socket.enabled", "false")
-    return "RocksDB" in provider and uds.lower() == "true"
 
+def rejects(messages: DataFrame, mapping: ColumnMapping = ColumnMapping()) -> DataFrame:
+    """The messages that are no events: ``seq`` and the message's text, as it came."""
+    parsed = src.parse_events(messages.withColumn("value", F.col("value").cast("string")), mapping, keep=[SEQ, "value"])
+    _, bad = src.split_valid(parsed)
+    return bad.select(SEQ, "value")
 
-def first_hop(messages: DataFrame, history: bool = False, mapping: ColumnMapping = ColumnMapping()) -> DataFrame:
-    """Messages (``value``, ``seq``) -> parsed events -> keyed transition filter.
 
-    History output uses the ``ListState`` processor when the session allows it
-    (appends per change), else one ``GroupState`` row per key."""
-    parsed = src.parse_events(messages, mapping, keep=[SEQ])
-    good, _ = src.split_valid(parsed)
-    if history and list_state_available(messages.sparkSession):
-        return keyed_transitions_tws(good, history=True)
-    return keyed_transitions(good, history=history)
+def write_rejects(
+    messages: DataFrame, write, checkpoint: str, available_now: bool = False, mapping: ColumnMapping = ColumnMapping()
+):
+    """A stateless stream of :func:`rejects` to ``write(df, batch_id)``."""
+    writer = rejects(messages, mapping).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def flat_from_history(rows: DataFrame) -> DataFrame:
@@ -82,6 +87,8 @@ def first_hop_both(
     checkpoint: str,
     available_now: bool = False,
     mapping: ColumnMapping = ColumnMapping(),
+    coercion: str = "null",
+    list_state: bool = False,
 ):
     """First hop with ONE keyed state for both outputs: every micro-batch's
     history rows (with ``last_seq``) go to ``write_history(df, batch_id)`` and
@@ -96,17 +103,19 @@ def first_hop_both(
         finally:
             batch.unpersist()
 
-    writer = first_hop(messages, history=True, mapping=mapping).writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
+    rows = first_hop(messages, history=True, mapping=mapping, coercion=coercion, list_state=list_state)
+    writer = rows.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
 def kafka_writer(bootstrap_servers: str, topic: str):
-    """``(df, batch_id)`` callback writing JSON rows to a Kafka topic."""
+    """``(df, batch_id)`` callback writing JSON rows to a Kafka topic.  The record key is
+    the row's id: all rows of an id go to one topic partition, in order."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        (jsonio.encode(df).write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+        (jsonio.keyed(df).write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
          .option("topic", topic).save())
 
     return write
@@ -131,18 +140,27 @@ def upsert_stream(
     checkpoint: str,
     guard: str | None = DATE_EVENT,
     available_now: bool = True,
+    fmt: str = "parquet",
 ):
-    """Second hop: decode history rows, keep the latest per key in each
-    micro-batch, MERGE into the table.  Version = batch id + 1, so a replayed
-    batch rewrites its own snapshot."""
+    """Second hop: decode history rows, keep the latest per key in each micro-batch, MERGE
+    into the table (``fmt="delta"``: a Delta table).
+
+    The new version follows the table's own last one, whatever the stream's batch number
+    is: a stream with a new checkpoint goes on where the table is.  A batch that is given
+    again changes nothing, as its rows are in the table already and the guard lets no
+    older row replace a newer one."""
     spark = history_messages.sparkSession
-    tbl.ensure_table(spark, table_path, hist.TABLE_ROW)
+    tbl.ensure_table(spark, table_path, hist.TABLE_ROW, fmt)
     rows = jsonio.decode(history_messages, hist.TABLE_ROW)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         one = latest.latest_per_key(batch.where(F.col(ID).isNotNull()), ID,
                                     [DATE_EVENT, F.size("date_event_memory"), "last_seq"])
-        tbl.upsert(spark, table_path, one, ID, version=batch_id + 1, guard=guard)
+        one = one.persist()
+        try:
+            tbl.upsert(spark, table_path, one, ID, guard=guard, fmt=fmt)
+        finally:
+            one.unpersist()
 
     writer = rows.writeStream.foreachBatch(merge_batch).outputMode("update").option("checkpointLocation", checkpoint)
     if available_now:
@@ -176,11 +194,17 @@ def _prepare(spark: SparkSession) -> str:
     return shared_path(spark, "streams", unique=True)
 
 
-def _run_two_windows(spark: SparkSession, sf_dir: str, history: bool, parse_only: bool = False) -> DataFrame:
+def _run_two_windows(
+    spark: SparkSession, sf_dir: str, history: bool, parse_only: bool = False, arrival: str = "event_id"
+) -> DataFrame:
     base = _prepare(spark)
-    events = src.events_from_table(spark, sf_dir)
+    events = src.events_from_table(spark, sf_dir, arrival)
+    windows = _windows()
+    if arrival != "event_id":
+        half = int(events.agg(F.expr(f"percentile({SEQ}, 0.5)")).first()[0] or 0)
+        windows = (F.col(SEQ) <= half, F.col(SEQ) > half)
     out, ckpt = f"{base}/out", f"{base}/checkpoint"
-    for i, window in enumerate(_windows()):
+    for i, window in enumerate(windows):
         # The source folder grows by one window per run; the restarted query
         # resumes from its checkpoint (file offsets and keyed state).
         src.to_input_json(events.where(window)).write.mode("overwrite").json(f"{base}/in/w{i}")
@@ -201,6 +225,23 @@ def q_stream_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_two_windows(spark, sf_dir, history=False).select(*FLAT_COLUMNS)
 
 
+def q_stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shuffled arrival in two windows: late and tied events meet the state of the first."""
+    return _run_two_windows(spark, sf_dir, history=False, arrival="shuffled").select(*FLAT_COLUMNS)
+
+
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh message has no type: the rejects stream carries exactly those."""
+    base = _prepare(spark)
+    messages = src.to_input_json(src.events_from_table(spark, sf_dir).withColumn(
+        "event_type", F.when(F.col(SEQ) % 11 != 0, F.col("event_type"))))
+    messages.write.mode("overwrite").json(f"{base}/in")
+    stream = spark.readStream.schema("value string, seq long").json(f"{base}/in")
+    out = f"{base}/rejects"
+    write_rejects(stream, lambda df, i: df.write.mode("append").parquet(out), f"{base}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(out).select(SEQ, (F.length("value") > 0).alias("has_text"))
+
+
 def q_stream_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hist.history_text(_run_two_windows(spark, sf_dir, history=True))
 

@@ -39,6 +39,7 @@ from ..schema import (
     LOCATION,
     SEQ,
 )
+from ..session import ship_package
 
 FLAT_OUT = T.StructType(list(FLAT_CHANGE.fields) + [T.StructField(SEQ, T.LongType())])
 HISTORY_OUT = T.StructType(list(HISTORY_ROW.fields) + [T.StructField(SEQ, T.LongType())])
@@ -67,10 +68,15 @@ def _accept(key, pdf: pd.DataFrame, state: tuple):
     return acc, new_state
 
 
+def _pair(row) -> list:
+    """``[lat, lng]``; a missing number stays None, as in the batch form."""
+    return [None if pd.isna(v) else float(v) for v in (getattr(row, LAT), getattr(row, LNG))]
+
+
 def _history_rows(key, acc: pd.DataFrame, dates: list, types: list, coords: list, locs: list) -> pd.DataFrame:
     out = []
     for r in acc.itertuples(index=False):
-        c = [float(getattr(r, LAT)), float(getattr(r, LNG))]
+        c = _pair(r)
         dates.append(int(getattr(r, DATE_EVENT)))
         types.append(getattr(r, EVENT_TYPE))
         coords.append(c)
@@ -118,7 +124,10 @@ def keyed_transitions(events: DataFrame, history: bool = False) -> DataFrame:
     """Streaming (or batch) transition filter with state across micro-batches.
 
     ``events`` needs ``id, event_type, date_event, lat, lng, location, seq``.
-    Output: accepted changes (``history=False``) or history rows, plus ``seq``."""
+    Output: accepted changes (``history=False``) or history rows, plus ``seq``.  A task
+    holds one key's rows of a micro-batch (bound them with the source's rate limit) and,
+    for history rows, that key's history."""
+    ship_package(events.sparkSession)
     cols = [ID, EVENT_TYPE, DATE_EVENT, LAT, LNG, LOCATION, SEQ]
     grouped = events.select(*cols).groupBy(ID)
     if history:
@@ -159,13 +168,13 @@ class TransitionProcessor(StatefulProcessor):
             for d, t, la, ln, lo in self.changes.get():
                 dates.append(int(d))
                 types.append(t)
-                coords.append([float(la), float(ln)])
+                coords.append([None if pd.isna(v) else float(v) for v in (la, ln)])
                 locs.append(lo)
         out = _history_rows(k, acc, dates, types, coords, locs)
         if len(acc):
             self.changes.appendList(
-                [(int(getattr(r, DATE_EVENT)), getattr(r, EVENT_TYPE), float(getattr(r, LAT)),
-                  float(getattr(r, LNG)), getattr(r, LOCATION)) for r in acc.itertuples(index=False)]
+                [(int(getattr(r, DATE_EVENT)), getattr(r, EVENT_TYPE), *_pair(r), getattr(r, LOCATION))
+                 for r in acc.itertuples(index=False)]
             )
         yield out
 
@@ -174,6 +183,8 @@ class TransitionProcessor(StatefulProcessor):
 
 
 def keyed_transitions_tws(events: DataFrame, history: bool = False) -> DataFrame:
+    """:func:`keyed_transitions` on :class:`TransitionProcessor`."""
+    ship_package(events.sparkSession)
     cols = [ID, EVENT_TYPE, DATE_EVENT, LAT, LNG, LOCATION, SEQ]
     return events.select(*cols).groupBy(ID).transformWithStateInPandas(
         TransitionProcessor(history), HISTORY_OUT if history else FLAT_OUT, "Append", "None"
