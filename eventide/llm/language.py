@@ -144,22 +144,23 @@ def mixture(words: np.ndarray, owner: np.ndarray, n_texts: int) -> tuple[np.ndar
         return result, selected
     begins = np.concatenate([[0], np.cumsum(size[has])[:-1]])
     rank = np.repeat(np.arange(len(has)), size[has])
-    top = words.max(axis=1, keepdims=True)
-    like = np.exp(words - top)
+    # A row per language: sums over languages then run along whole rows.
+    by_language = np.ascontiguousarray(words.T)
+    like = np.exp(by_language - by_language.max(axis=0))
 
     def em(active: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Proportions and log likelihood of the texts ``rows`` with their ``active`` languages."""
         inside = np.isin(rank, rows) if len(rows) < len(has) else slice(None)
-        lk = like[inside]
+        lk = like[:, inside]
         counts = size[has][rows]
-        where = np.repeat(np.arange(len(rows)), counts)
         starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
         p = active / active.sum(axis=1, keepdims=True)
         for _ in range(EM_STEPS):
-            joint = lk * p[where].astype(np.float32)
-            joint /= np.maximum(joint.sum(axis=1, keepdims=True), np.float32(1e-30))
-            p = np.add.reduceat(joint, starts, axis=0, dtype=np.float64) / counts[:, None]
-        total = np.maximum((lk * p[where].astype(np.float32)).sum(axis=1), 1e-30)
+            joint = np.repeat(p.T.astype(np.float32), counts, axis=1)
+            joint *= lk
+            joint /= np.maximum(joint.sum(axis=0), np.float32(1e-30))
+            p = np.add.reduceat(joint, starts, axis=1, dtype=np.float64).T / counts[:, None]
+        total = np.maximum((lk * np.repeat(p.T.astype(np.float32), counts, axis=1)).sum(axis=0), 1e-30)
         return p, np.add.reduceat(np.log(total, dtype=np.float64), starts)
 
     active = np.ones((len(has), n_lang), bool)
