@@ -72,28 +72,24 @@ def linked_groups(
     """``node, component`` over all pairs of ``entries`` that share a key and pass ``verify``.
 
     ``entries``: ``key, node, central``.  ``verify`` takes distinct pairs ``a < b`` and
-    returns those confirmed.  ``condition(a, b)``, if given, is a necessary condition over
-    the columns of ``nodes`` (a row per ``node``) and is tested inside the joins that make
-    pairs.  Nodes that nothing is linked with are not in the result.
+    returns those confirmed.  ``condition(a, b)``, if given, is tested inside the join of
+    the second step, over ``key`` and the columns of ``nodes`` (a row per ``node``): it may
+    hold for a pair in one of its lists only, but must where ``verify`` would confirm it.
+    Nodes that nothing is linked with are not in the result.
     """
     h = F.xxhash64("node")
+    # Sums of longs only: Spark keeps them in a hash table.  Nearly all keys end here.
     lists = entries.groupBy("key").agg(
-        F.count("*").alias("n"),
-        F.bit_xor(h).alias("x"),
-        F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("y"),
-        F.max(F.struct("central", (-F.col("node")).alias("minus"))).alias("top"),
+        F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("y")
     )
-    lists = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("top.minus").alias("minus"))
-    lists = written(lists.select("key", (-F.col("minus")).alias("hub")), "lists")
-    members = written(entries.join(lists, "key"), "members")
+    lists = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    members = written(entries.join(written(lists.select("key"), "lists"), "key"), "members")
+    top = members.groupBy("key").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"))).alias("top"))
+    hubs = written(top.select("key", (-F.col("top.minus")).alias("hub")), "hubs")
+    members = written(members.join(hubs, "key"), "members")
 
     spokes = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     pairs = spokes.distinct()
-    if condition is not None:
-        x, y = nodes.alias("x"), nodes.alias("y")
-        pairs = pairs.join(x, F.col("a") == F.col("x.node")).join(
-            y, (F.col("b") == F.col("y.node")) & condition(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
-        ).select("a", "b")
     links = written(verify(written(pairs, "hub-pairs")), "links")
     found = written(components(links), "components")
 

@@ -4,14 +4,18 @@
    of each whole text with numpy.  It keeps the number of distinct shingles, a 126-bit
    fingerprint of the whole set and the ``k`` smallest shingle hashes (the sketch).
 2. Classes.  Documents with equal sets are one class from here on.
-3. Inverted lists of retained values.  Two sets with similarity ``s`` share about ``s * k``
-   sketch values, and at least half of a sketch's values but for odds of about 1e-7 at
-   0.8.  Put in order of how many classes hold them, rarest first, the shared values of two
-   such sketches cannot all be in the second halves: lists are built from each sketch's
-   rarer half plus one.  A passage that very many documents share is in the other half,
-   unless it makes up half of the document.
-4. Overlaps.  ``links.linked_groups`` forms the pairs.  The union sketch (the ``k``
-   smallest of both) estimates the similarity and filters; whole sets then decide.
+3. Inverted lists of retained values.  Sketches of sets with a Jaccard similarity of 0.8
+   share 0.8 to 0.89 of their values (by the sets' sizes), and six standard deviations
+   less but for odds of about 1e-8; that is over half of them.  Put in order of how many
+   classes hold them, rarest first, the first value that two such sketches share is not
+   among the last of either: lists are built from each sketch's rarer part.  A passage
+   that very many documents share is in the other part, unless it makes up half of the
+   document.
+4. Overlaps.  ``links.linked_groups`` forms the pairs: with each list's hub, and then of
+   nodes that are not connected yet.  The latter are formed in the list of their first
+   shared value only, and only if the shared values are enough.
+5. The union sketch (the ``k`` smallest of both) estimates the similarity and filters;
+   whole sets then decide.
 """
 
 from __future__ import annotations
@@ -28,14 +32,14 @@ from eventide.llm.common import written
 from eventide.llm.links import linked_groups
 from eventide.session import ship_package
 
-SKETCH = 64
-#: Of a sketch's values, so many of 100 at least are shared at a similarity of 0.8.
-SHARED_PERCENT = 50
-#: Texts are hashed in slices of about so many bytes.
-SLICE_BYTES = 2 << 20
+SKETCH = 128
+#: Standard deviations that an estimate may stay below its expectation.
+SIGMAS = 6
+#: Texts are hashed in slices of about so many bytes, and of so many rows.
+SLICE_BYTES = 1 << 18
+SLICE_ROWS = 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -136,8 +140,10 @@ def batch_sets(texts: list[bytes], n: int, slice_bytes: int = SLICE_BYTES) -> It
         i = j
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
+def _sets_of(column: pa.Array, ngram: int) -> Iterator[np.ndarray]:
+    for at in range(0, len(column), SLICE_ROWS):
+        texts = column.slice(at, SLICE_ROWS).cast(pa.large_binary()).to_pylist()
+        yield from batch_sets([x or b"" for x in texts], ngram)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, ngram: int, k: int) -> DataFrame:
@@ -148,7 +154,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, ngram: int, k: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, f1, f2, sketches = [], [], [], []
-            for s in batch_sets(_texts(batch.column(1)), ngram):
+            for s in _sets_of(batch.column(1), ngram):
                 u = s.view(np.uint64)
                 sizes.append(len(s))
                 f1.append(int(np.bitwise_xor.reduce(_mix(u)) >> np.uint64(1)) if len(u) else 0)
@@ -171,10 +177,10 @@ def whole_sets(docs: DataFrame, id_col: str, text_col: str, ngram: int) -> DataF
         for batch in batches:
             ids, sets, held = batch.column(0), [], 0
             done = 0
-            for s in batch_sets(_texts(batch.column(1)), ngram):
+            for s in _sets_of(batch.column(1), ngram):
                 sets.append(pa.array(s, pa.int64()))
                 held += len(s)
-                if held > 1 << 20:
+                if held > 1 << 18:
                     yield _set_batch(ids.slice(done, len(sets)), sets, out.names)
                     done, sets, held = done + len(sets), [], 0
             if sets:
@@ -188,25 +194,52 @@ def _set_batch(ids: pa.Array, sets: list[pa.Array], names: list[str]) -> pa.Reco
     return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, pa.concat_arrays(sets))], names=names)
 
 
-def _may_be_near(percent: int, k: int):
-    """The union-sketch estimate over two entries (``sketch``, ``n``), and their sizes."""
+def least_shared(k: int, share: float) -> int:
+    """Of ``k`` values so many at least are shared if each is with odds ``share``."""
+    return max(1, int(k * share - SIGMAS * (k * share * (1 - share)) ** 0.5))
+
+
+def _enough_shared(percent: int, k: int):
+    """Necessary for a similarity of ``percent``, over the shared values of two sketches
+    (``values``, rarest first, as 31-bit numbers) and the sets' sizes ``n``.
+
+    It holds in the list of the first shared value only, so that a pair is formed once."""
+    s = percent / 100
 
     def condition(a, b) -> Column:
-        sizes = F.least(a("n"), b("n")) * 100 >= F.greatest(a("n"), b("n")) * percent
-        union = F.slice(F.array_sort(F.array_union(a("sketch"), b("sketch"))), 1, k)
-        shared = F.size(F.array_intersect(F.array_intersect(a("sketch"), b("sketch")), union))
-        # Sketches that hold their whole sets decide; others must reach the bound.
-        whole = (a("n") <= k) & (b("n") <= k)
-        every = F.size(F.array_union(a("sketch"), b("sketch")))
-        both = F.size(F.array_intersect(a("sketch"), b("sketch")))
-        near = F.when(whole, both * 100 >= every * percent).otherwise(
-            shared * 100 >= F.size(union) * (SHARED_PERCENT * percent // 80)
+        small, large = F.least(a("n"), b("n")), F.greatest(a("n"), b("n"))
+        common = F.array_intersect(a("values"), b("values"))
+        # The sets share s / (1 + s) of their sizes' sum, at least; so much of the larger's sketch.
+        share = (small + large) * (s / (1 + s)) / large
+        sketched = k * share - SIGMAS * F.sqrt(k * share * (1 - F.least(share, F.lit(1.0))))
+        whole = (small + large) * (s / (1 + s)) - 1e-9
+        need = F.when(large <= k, whole).otherwise(sketched)
+        return (
+            (small * 100 >= large * percent)
+            & (F.get(common, F.lit(0)) == _short(a("key")))
+            & (F.size(common) >= need)
         )
-        return sizes & near
 
     return condition
 
 
+def _short(value: Column) -> Column:
+    return value.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+
+
+def _estimate_allows(x: str, y: str, nx: str, ny: str, percent: int, k: int) -> Column:
+    """The union-sketch estimate: sketches that hold their whole sets decide, others must
+    reach what an estimate of ``percent`` falls to by ``SIGMAS``."""
+    every = F.array_union(x, y)
+    union = F.slice(F.array_sort(every), 1, k)
+    both = F.array_intersect(x, y)
+    whole = (F.col(nx) <= k) & (F.col(ny) <= k)
+    near = F.when(whole, F.size(both) * 100 >= F.size(every) * percent).otherwise(
+        F.size(F.array_intersect(both, union)) >= least_shared(k, percent / 100)
+    )
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & near
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -246,28 +279,31 @@ def near_duplicates(
     )
     size = F.size("sketch")
     # The rarest values come first; those that no other class holds make no list.
-    first = size - F.floor(size * SHARED_PERCENT / 100).cast("int") + 1 - (size - F.size("shared"))
-    entries = (
-        classes.select("node", "sketch")
-        .join(shared, "node")
-        .where(first > 0)
-        .withColumn("shared", F.slice("shared", F.lit(1), F.greatest(first, F.lit(0))))
-        .select(F.explode("shared.value").alias("key"), "node", "central")
+    least = F.floor(size * (least_shared(k, percent / 100) / k)).cast("int")
+    first = size - least + 1 - (size - F.size("shared"))
+    shared = classes.select("node", "sketch", F.col("n_shingles").alias("n")).join(shared, "node")
+    shared = shared.select(
+        "node", "n", "central", F.col("shared.value").alias("values"), F.greatest(first, F.lit(0)).alias("first")
     )
-    entries = written(entries, "entries")
+    shared = written(shared, "shared")
+    entries = shared.select(F.explode(F.slice("values", F.lit(1), F.col("first"))).alias("key"), "node", "central")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "nodes")
+        x = classes.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n_shingles").alias("nx"))
+        y = classes.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("n_shingles").alias("ny"))
+        near = pairs.join(x, "a").join(y, "b").where(_estimate_allows("x", "y", "nx", "ny", percent, k))
+        near = written(near.select("a", "b").distinct(), "near")
+        nodes = written(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "nodes")
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-        sets = whole_sets(texts.join(nodes, "id", "left_semi"), "id", "t", ngram)
+        sets = whole_sets(texts.join(nodes.hint("merge"), "id", "left_semi"), "id", "t", ngram)
         sets = written(sets.where(F.size("shingles") > 0), "sets")
         left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
+        both = near.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * percent).select("a", "b").distinct()
 
-    nodes = classes.select("node", "sketch", F.col("n_shingles").alias("n"))
-    groups = linked_groups(entries, verify, nodes=nodes, condition=_may_be_near(percent, k))
+    nodes = shared.select("node", "n", F.transform("values", _short).alias("values"))
+    groups = linked_groups(entries, verify, nodes=nodes, condition=_enough_shared(percent, k))
     classes = classes.select(*identity, "node").join(groups, "node", "left")
     classes = written(classes.select(*identity, F.coalesce("component", "node").alias("component")), "labelled-classes")
     return signed.select("id", *identity).join(classes, identity, "left").select(
