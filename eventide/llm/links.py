@@ -10,7 +10,8 @@ check confirms.  Groups do not need every edge:
    them are formed, so no group is missed; a list whose members are connected by now
    forms none.
 
-Lists with the same members count once.
+Lists with the same members count once: the first of them in the order of ``rank``, then
+key, stands for all.
 """
 
 from __future__ import annotations
@@ -71,19 +72,22 @@ def linked_groups(
 ) -> DataFrame:
     """``node, component`` over all pairs of ``entries`` that share a key and pass ``verify``.
 
-    ``entries``: ``key, node, central``.  ``verify`` takes distinct pairs ``a < b`` and
+    ``entries``: ``key, node, central`` and, if keys are not in the order of their values, a
+    long ``rank`` (one for each key).  ``verify`` takes distinct pairs ``a < b`` and
     returns those confirmed.  ``condition(a, b)``, if given, is tested inside the join of
     the second step, over ``key`` and the columns of ``nodes`` (a row per ``node``): it may
-    hold for a pair in one of its lists only, but must where ``verify`` would confirm it.
+    hold for a pair in one of its lists only, but must where ``verify`` would confirm it; that
+    list has to be the pair's first by ``rank``, then key, as others may be left out.
     Nodes that nothing is linked with are not in the result.
     """
     h = F.xxhash64("node")
+    rank = F.col("rank") if "rank" in entries.columns else F.lit(0).cast("long")
     # Sums of longs only: Spark keeps them in a hash table.  Nearly all keys end here.
     lists = entries.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("y")
+        F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("y"), F.min(rank).alias("rank")
     )
-    lists = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
-    members = written(entries.join(written(lists.select("key"), "lists"), "key"), "members")
+    lists = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("rank", "key"))["key"].alias("key"))
+    members = written(entries.drop("rank").join(written(lists.select("key"), "lists"), "key"), "members")
     top = members.groupBy("key").agg(F.max(F.struct("central", (-F.col("node")).alias("minus"))).alias("top"))
     hubs = written(top.select("key", (-F.col("top.minus")).alias("hub")), "hubs")
     members = written(members.join(hubs, "key"), "members")

@@ -283,10 +283,12 @@ def near_duplicates(
     first = size - least + 1 - (size - F.size("shared"))
     shared = classes.select("node", "sketch", F.col("n_shingles").alias("n")).join(shared, "node")
     shared = shared.select(
-        "node", "n", "central", F.col("shared.value").alias("values"), F.greatest(first, F.lit(0)).alias("first")
+        "node", "n", "central", "shared", F.greatest(first, F.lit(0)).alias("first")
     )
     shared = written(shared, "shared")
-    entries = shared.select(F.explode(F.slice("values", F.lit(1), F.col("first"))).alias("key"), "node", "central")
+    entries = shared.select(F.explode(F.slice("shared", F.lit(1), F.col("first"))).alias("of"), "node", "central")
+    # A pair is formed in the list of its first shared value, so lists rank as the values do.
+    entries = entries.select(F.col("of.value").alias("key"), "node", "central", F.col("of.held").alias("rank"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         x = classes.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n_shingles").alias("nx"))
@@ -302,7 +304,7 @@ def near_duplicates(
         both = near.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * percent).select("a", "b").distinct()
 
-    nodes = shared.select("node", "n", F.transform("values", _short).alias("values"))
+    nodes = shared.select("node", "n", F.transform("shared.value", _short).alias("values"))
     groups = linked_groups(entries, verify, nodes=nodes, condition=_enough_shared(percent, k))
     classes = classes.select(*identity, "node").join(groups, "node", "left")
     classes = written(classes.select(*identity, F.coalesce("component", "node").alias("component")), "labelled-classes")
