@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import decontam, language, lines, mixing, neardup, quality, secrets, tokens, urls, warc
+from eventide.llm import decontam, language, lines, merkle, mixing, neardup, quality, secrets, tokens, urls, warc
 from eventide.llm.common import table
 
 
@@ -59,8 +59,12 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), ngram=4)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontamination, op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup)
+    found = (op1_decontamination, op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup, op11_merkle)
     return {f.__name__: f for f in found}
 
 
