@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import decontam, language, lines, merkle, mixing, neardup, quality, secrets, tokens, urls, warc
+from eventide.llm import decontam, language, lines, merkle, mixing, neardup, prefixjoin, quality, secrets, tokens, trie, urls, warc
 from eventide.llm.common import table
 
 
@@ -63,10 +63,18 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefixjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixjoin.prefix_join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_decontamination, op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup, op11_merkle)
+    found = (op1_decontamination, op2_warc, op3_lines, op4_mixing, op5_quality, op6_tokens, op7_secrets, op8_urls, op9_language, op10_neardup, op11_merkle, op12_trie, op13_prefixjoin)
     return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_urls": urls.oracle()}
+    return {"op8_urls": urls.oracle(), "op12_trie": trie.oracle()}
