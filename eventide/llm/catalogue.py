@@ -60,7 +60,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merkle.tampered_documents(table(spark, sf_dir, "documents"))
+    return merkle.tampered_documents(table(spark, sf_dir, "documents")).drop("copied")
 
 
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_urls": urls.oracle(), "op12_trie": trie.oracle()}
+    return {"op8_urls": urls.oracle(), "op11_merkle": merkle.oracle(), "op12_trie": trie.oracle()}

@@ -13,6 +13,13 @@ from eventide.session import shared_path
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: DuckDB: the CRC-32 of the decimal form of ``{}``, bit by bit.
+CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(({})::VARCHAR, ''), lambda z: ascii(z)::BIGINT)),"
+    " lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],"
+    " lambda q, _: CASE WHEN q & 1 = 1 THEN xor(q >> 1, 3988292384) ELSE q >> 1 END)), 4294967295)"
+)
+
 #: Spark drops a statement's shuffle files at its end: what it wrote is read from then on.
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import written
+from eventide.llm.common import CRC32, written
 from eventide.llm.ranks import positions
 from eventide.session import ship_package
 
@@ -242,3 +242,44 @@ def tampered_documents(docs: DataFrame) -> DataFrame:
     """The manifest of ``docs`` with 1 added to ``n_chars`` where 7 divides the id's CRC-32."""
     where = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return manifest(docs, {"n_chars": F.col("n_chars") + 1}, where=where)
+
+
+def oracle() -> str:
+    def leaf(extra: int) -> str:
+        values = [f"{c} + {extra}" if c == "n_chars" else c for c in FIELDS]
+        return "sha256(" + " || ".join(f"coalesce(strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR, '-')" for v in values) + ")"
+
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {leaf(0)} AS leaf, CASE WHEN {CRC32.format("doc_id")} % 7 = 0 THEN {leaf(1)} END AS bad FROM documents)),
+nodes AS (
+  SELECT lang, 0 AS level, pos AS idx, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 2, n),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos AS idx, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, idx // 2, n),
+climbing AS (
+  SELECT doc_id, lang, pos, leaf, 0 AS level, pos AS idx, coalesce(bad, leaf) AS h, n, '' AS proof FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.lang, c.pos, c.leaf, c.level + 1, c.idx // 2,
+         CASE WHEN s.h IS NULL THEN sha256(c.h) WHEN c.idx % 2 = 0 THEN sha256(c.h || s.h) ELSE sha256(s.h || c.h) END,
+         (c.n + 1) // 2, c.proof || coalesce(s.h, '')
+  FROM climbing c LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.idx = xor(c.idx, 1) WHERE c.n > 1),
+half AS (
+  SELECT c.doc_id, c.lang, c.leaf, c.h, c.proof, s.h AS subroot, s.pos, s.n
+  FROM climbing c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1),
+ending AS (
+  SELECT doc_id, subroot, leaf, 0 AS level, pos AS idx, h, n, proof FROM half
+  UNION ALL
+  SELECT c.doc_id, c.subroot, c.leaf, c.level + 1, c.idx // 2,
+         CASE WHEN s.h IS NULL THEN sha256(c.h) WHEN c.idx % 2 = 0 THEN sha256(c.h || s.h) ELSE sha256(s.h || c.h) END,
+         (c.n + 1) // 2, c.proof || coalesce(s.h, '')
+  FROM ending c LEFT JOIN tops s ON s.level = c.level AND s.idx = xor(c.idx, 1) WHERE c.n > 1)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, ending.h AS folded_root, ending.h = root.h AS verified
+FROM ending, (SELECT h FROM tops WHERE n = 1) root WHERE ending.n = 1
+"""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import WORD, written
+from eventide.llm.common import CRC32, WORD, written
 from eventide.session import partitions_for, ship_package
 
 #: A node of more conversations than this, or than a 2^20th of all prefixes, is in the upper trie.
@@ -257,14 +257,6 @@ def rebuilt_trie(conversations: DataFrame, *, family: int = 20, spread: int = 4,
     return prefix_trie(*rebuilt(turns_of(conversations, **columns), first, base))
 
 
-#: CRC-32 of the decimal form of ``{}``, bit by bit.
-CRC32 = (
-    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(({})::VARCHAR, ''), z -> ascii(z)::BIGINT)),"
-    " (a, b) -> list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],"
-    " (q, _) -> CASE WHEN q & 1 = 1 THEN xor(q >> 1, 3988292384) ELSE q >> 1 END)), 4294967295)"
-)
-
-
 def oracle() -> str:
     return rf"""
 WITH t AS (
