@@ -13,10 +13,11 @@ Kernels:
   (vectorised); otherwise a plain loop.  :func:`fold_runs_sorted` does the
   vectorised form for a whole batch of keys at once.
 * :func:`run_pieces` summarises a slice as a function *entering state ->
-  leaving state* without knowing the entering state.  It lets the slices of one
-  key, held by different tasks, be folded in parallel: the summaries are
-  composed in order (cheap) and every task then re-folds its slice from the
-  exact entering state.  Time-ordered slices have a closed form
+  leaving state* and the number of events that it accepts, without knowing the
+  entering state.  It lets the slices of one key, held by different tasks, be folded
+  in parallel: :func:`compose_pieces` makes one summary of two consecutive ones (it is
+  associative, so summaries are combined in a tree) and every task then re-folds
+  its slice from the exact entering state.  Time-ordered slices have a closed form
   (:func:`_sorted_pieces`); any order is handled by :func:`_vector_pieces`.
 
 Entry function: from state ``(t0, d0)`` the first accepted event of a slice is
@@ -27,13 +28,11 @@ the chain of "next accepted" pointers starting at ``i``.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 
 ACCEPTED, REPEAT, LATE = 0, 1, 2
-# piece kinds of a summary
-PIECE_ONE, PIECE_CONST, PIECE_TWO = 0, 1, 2
 
 
 def fold_segment(types: np.ndarray, dates: np.ndarray, state: tuple):
@@ -153,18 +152,26 @@ def run_pieces(types: np.ndarray, dates: np.ndarray):
     """Summary of a slice as a piecewise function of the entering date.
 
     Returns parallel lists sorted by ascending threshold
-    ``(thr, kind, t1, x1_type, x1_date, x2_type, x2_date)``.  A piece with
-    threshold ``thr`` applies to entering dates ``d0 <= thr`` down to the next
-    smaller threshold; above the largest threshold the state passes unchanged.
+    ``(thr, t1, x1_type, x1_date, n1, x2_type, x2_date, n2)``.  A piece with threshold
+    ``thr`` applies to entering dates ``d0 <= thr`` down to the next smaller threshold;
+    above the largest threshold the state passes unchanged.  In a piece, an entering type
+    other than ``t1`` (every one if that is None) leaves as ``x1`` after ``n1`` accepted
+    events; ``t1`` leaves as ``x2`` after ``n2``, or unchanged if ``x2`` is None.
     """
     n = len(types)
     if n == 0:
-        return [], [], [], [], [], [], []
+        return ([],) * 8
     if n == 1 or bool(np.all(dates[1:] >= dates[:-1])):
         return _sorted_pieces(types, dates)
     return _vector_pieces(types, dates)
 
 
+def _lists(pieces: list[tuple]) -> tuple[list, ...]:
+    """``[(thr, (t1, x1, n1, x2, n2)), ...]`` as the parallel lists of a summary."""
+    rows = [(t, t1, *x1, n1, *(x2 or (None, None)), n2) for t, (t1, x1, n1, x2, n2) in pieces]
+    return tuple(map(list, zip(*rows, strict=True))) if rows else ([],) * 8
+
+
 def next_accepted(codes: np.ndarray, dates: np.ndarray) -> np.ndarray:
     """``next[i]``: the first ``j > i`` of another type whose date is not older, else ``n``.
 
@@ -217,19 +224,19 @@ def next_accepted(codes: np.ndarray, dates: np.ndarray) -> np.ndarray:
 
 
 def _vector_pieces(types, dates):
-    """:func:`run_pieces` for any date order: next pointers over a tree, chain ends by
-    pointer doubling, and one sweep over descending dates that keeps the two smallest
-    positions of different types (the entry candidates)."""
+    """:func:`run_pieces` for any date order: next pointers over a tree, chain ends and
+    lengths by pointer doubling, and one sweep over descending dates that keeps the two
+    smallest positions of different types (the entry candidates)."""
     n = len(types)
     _, codes = np.unique(types.astype(str), return_inverse=True)
-    nxt = next_accepted(codes, dates)
-    end = np.where(nxt < n, nxt, np.arange(n))
-    while True:
-        further = end[end]
-        if np.array_equal(further, end):
-            break
-        end = further
-    end, code, date = end.tolist(), codes.tolist(), dates.tolist()
+    hop = np.append(next_accepted(codes, dates), n)
+    length = np.append(np.ones(n, np.int64), 0)
+    end = np.where(hop < n, hop, np.arange(n + 1))
+    while (hop < n).any():
+        length += np.where(hop < n, length[hop], 0)
+        hop = hop[hop]
+        end = end[end]
+    end, length, code, date = end.tolist(), length.tolist(), codes.tolist(), dates.tolist()
     descending: list[tuple] = []
     first = second = -1
     order = np.argsort(-dates, kind="stable").tolist()
@@ -244,75 +251,104 @@ def _vector_pieces(types, dates):
             second = j
         if k + 1 < n and date[order[k + 1]] == date[j]:
             continue
-        x1 = (types[end[first]], date[end[first]])
-        x2 = None if second < 0 else (types[end[second]], date[end[second]])
-        if x2 is None:
-            value = (PIECE_ONE, types[first], x1, (None, None))
-        elif x1 == x2:
-            value = (PIECE_CONST, None, x1, (None, None))
+        x1, n1 = (types[end[first]], date[end[first]]), length[first]
+        if second < 0:
+            value = (types[first], x1, n1, None, 0)
         else:
-            value = (PIECE_TWO, types[first], x1, x2)
+            value = _choice(types[first], x1, n1, (types[end[second]], date[end[second]]), length[second])
         if not descending or descending[-1][1] != value:
             descending.append((date[j], value))
-    pieces = descending[::-1]
-    return (
-        [t for t, _ in pieces],
-        [v[0] for _, v in pieces],
-        [v[1] for _, v in pieces],
-        [v[2][0] for _, v in pieces],
-        [v[2][1] for _, v in pieces],
-        [v[3][0] for _, v in pieces],
-        [v[3][1] for _, v in pieces],
-    )
+    return _lists(descending[::-1])
+
+
+def _choice(t1, x1: tuple, n1: int, x2: tuple | None, n2: int) -> tuple:
+    """A piece's value; without ``t1`` where both branches are the same."""
+    return (None, x1, n1, None, 0) if (x1, n1) == (x2, n2) else (t1, x1, n1, x2, n2)
 
 
 def _sorted_pieces(types, dates):
     """:func:`run_pieces` for non-decreasing dates, vectorised.
 
-    Let ``L`` start the last run of equal types.  Entering before ``L`` always
-    ends at ``L`` (one constant piece); entering at ``s >= L`` accepts ``s`` and
-    nothing after it (one piece per distinct date from ``L`` on)."""
-    n = len(types)
+    Let ``L`` start the last run of equal types.  Entering in a run before ``L``, with this
+    or another type, ends at ``L``; one change more if the run itself is accepted (one
+    piece per run).  Entering at ``s >= L`` accepts ``s`` and nothing after it (one piece
+    per distinct date from ``L`` on)."""
     change = np.flatnonzero(types[1:] != types[:-1]) + 1
     last = int(change[-1]) if len(change) else 0
     type_l = types[last]
+    leaving = (type_l, int(dates[last]))
     uniq, first = np.unique(dates, return_index=True)  # ascending dates, first positions
-    thr, kind, t1s, x1t, x1d, x2t, x2d = [], [], [], [], [], [], []
-    before = first < last
-    if before.any():
-        thr.append(int(uniq[before][-1]))
-        kind.append(PIECE_CONST)
-        t1s.append(None)
-        x1t.append(type_l)
-        x1d.append(int(dates[last]))
-        x2t.append(None)
-        x2d.append(None)
-    tail = uniq[~before]
-    k = len(tail)
-    thr.extend(int(d) for d in tail)
-    kind.extend([PIECE_ONE] * k)
-    t1s.extend([type_l] * k)
-    x1t.extend([type_l] * k)
-    x1d.extend(int(d) for d in tail)
-    x2t.extend([None] * k)
-    x2d.extend([None] * k)
-    return thr, kind, t1s, x1t, x1d, x2t, x2d
-
-
-def apply_pieces(thr, kind, t1s, x1t, x1d, x2t, x2d, state: tuple) -> tuple:
-    """Leaving state of a summarised slice for a given entering state."""
-    t0, d0, _ = state
+    run = np.searchsorted(change, first, side="right")
+    before = int(np.searchsorted(first, last))
+    ends = np.flatnonzero(np.append(run[1:before] != run[: max(before - 1, 0)], True)) if before else []
+    pieces: list[tuple] = []
+    for k in ends:
+        more = len(change) - int(run[k])
+        pieces.append((int(uniq[k]), (types[first[k]], leaving, more + 1, leaving, more)))
+    pieces += [(int(d), (type_l, (type_l, int(d)), 1, None, 0)) for d in uniq[before:]]
+    return _lists(pieces)
+
+
+def apply_pieces(thr, t1, x1t, x1d, n1, x2t, x2d, n2, state: tuple) -> tuple:
+    """Leaving state ``(type, date, initial, changes so far)`` of a summarised slice for a
+    given entering state."""
+    t0, d0, _, changes = state
     k = bisect_left(list(thr), d0)
     if k == len(thr):
         return state
-    kd = kind[k]
-    if kd == PIECE_CONST:
-        return (x1t[k], int(x1d[k]), False)
-    if t0 != t1s[k]:
-        return (x1t[k], int(x1d[k]), False)
-    if kd == PIECE_TWO:
-        return (x2t[k], int(x2d[k]), False)
-    return state
+    if t1[k] is None or t0 != t1[k]:
+        return (x1t[k], int(x1d[k]), False, changes + int(n1[k]))
+    if x2t[k] is None:
+        return state
+    return (x2t[k], int(x2d[k]), False, changes + int(n2[k]))
+
+
+def compose_pieces(a: tuple, b: tuple) -> tuple[list, ...]:
+    """The summary of a slice summarised by ``a`` and the next one, summarised by ``b``.
+
+    A piece of ``a`` that leaves in a known state leaves ``b`` in a known one.  Where ``a``
+    lets the state pass (its type is ``t1``, or the date is above all thresholds), the
+    pieces of ``b`` in that range decide, so they cut the piece further."""
+    thr_a, thr_b = list(a[0]), list(b[0])
+    pieces: list[tuple] = []
+
+    def add(threshold: int, value: tuple) -> None:
+        if pieces and pieces[-1][1] == value:
+            pieces[-1] = (threshold, value)
+        else:
+            pieces.append((threshold, value))
+
+    def after(x: tuple, n: int) -> tuple[tuple, int]:
+        t, d, _, total = apply_pieces(*b, (*x, False, n))
+        return (t, d), total
+
+    low = None  # entering dates above this one
+    for k, top in enumerate(thr_a):
+        t1 = a[1][k]
+        x1, n1 = after((a[2][k], int(a[3][k])), int(a[4][k]))
+        if t1 is None:
+            add(top, (None, x1, n1, None, 0))
+        elif a[5][k] is not None:
+            add(top, _choice(t1, x1, n1, *after((a[5][k], int(a[6][k])), int(a[7][k]))))
+        else:
+            at = 0 if low is None else bisect_right(thr_b, low)
+            while True:
+                inside = at < len(thr_b)
+                threshold = min(top, int(thr_b[at])) if inside else top
+                x2, n2 = None, 0
+                if inside and (b[1][at] is None or b[1][at] != t1):
+                    x2, n2 = (b[2][at], int(b[3][at])), int(b[4][at])
+                elif inside and b[5][at] is not None:
+                    x2, n2 = (b[5][at], int(b[6][at])), int(b[7][at])
+                add(threshold, _choice(t1, x1, n1, x2, n2))
+                if threshold == top:
+                    break
+                at += 1
+        low = top
+    for at in range(0 if low is None else bisect_right(thr_b, low), len(thr_b)):
+        x2 = None if b[5][at] is None else (b[5][at], int(b[6][at]))
+        add(int(thr_b[at]), (b[1][at], (b[2][at], int(b[3][at])), int(b[4][at]), x2, int(b[7][at])))
+    return _lists(pieces)
 
 
 def fold_reference(events, state=None):

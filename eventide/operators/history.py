@@ -61,19 +61,11 @@ def history_rows(changes: DataFrame, key: str = ID, order: str = SEQ) -> DataFra
 def numbered_changes(changes: DataFrame, key: str = ID, order: str = SEQ) -> DataFrame:
     """``changes`` with ``_number``: the position of a change in its key's history, from 0.
 
-    Annotated changes (``_chunk`` and ``change_no`` of ``annotate_transitions``) are
-    numbered inside their chunk already: the chunks' counts per key are summed up in chunk
-    order, a few rows per key, so that no task holds a key.  Others are numbered by a
-    window over the key."""
-    if not {"_chunk", "change_no"} <= set(changes.columns):
-        return changes.withColumn("_number", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
-    counts = changes.groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(key, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    # Only a key that goes on in another chunk has anything before it.
-    before = before.where("_before > 0")
-    numbered = changes.join(before, [key, "_chunk"], "left")
-    return numbered.withColumn("_number", F.coalesce("_before", F.lit(0)) + F.col("change_no")).drop("_before")
+    Annotated changes bring it along (``change_no`` of ``annotate_transitions``): no further
+    pass.  Others are numbered by a window over the key."""
+    if "change_no" in changes.columns:
+        return changes.withColumn("_number", F.col("change_no"))
+    return changes.withColumn("_number", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
 
 
 def history_table(changes: DataFrame, key: str = ID, order: str = SEQ, segment_size: int | None = None) -> DataFrame:

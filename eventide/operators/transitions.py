@@ -11,16 +11,19 @@ skew:
    the split settings or the number of cores by then.  A partition is a *chunk*.
 2. One narrow Arrow pass writes, per chunk, a request for the entering state of its
    first key and the summary of its last key's slice as a piecewise function
-   entering state -> leaving state (``fold.run_pieces``).  An entering date is never
-   newer than the newest date of the key's earlier chunks, so the pieces above that
-   are cut off before anything is gathered by key.
-3. Requests and summaries are composed per key in chunk order (``applyInPandas`` over
-   those rows only), giving the entering state of every chunk.
-4. The states (one row per chunk) are joined to the chunks by ``_pid`` without a hint:
-   Catalyst broadcasts them if the table's size allows it and shuffles otherwise.
-   Every task folds its chunks from those states (``mapInArrow``: payload columns pass
-   through as Arrow, types fold as dictionary codes, vectorised across keys when dates
-   are non-decreasing).
+   entering state -> leaving state and number of changes (``fold.run_pieces``).  An
+   entering date is never newer than the newest date of the key's earlier chunks, so
+   the pieces above that are cut off before anything is gathered by key.
+3. A scan over the chunks of each key, in two levels: the summaries of a block of
+   sqrt(chunks) chunks are composed into one (``fold.compose_pieces``), the blocks'
+   summaries give the state at each block's start, and from there the requests of the
+   block are answered.  No group holds more than sqrt(chunks) summaries of a key.
+4. The states (one row per chunk) are broadcast to the chunks while there are few enough
+   of them (``BROADCAST_CHUNKS``), so that the chunks stay as they are, and joined by
+   ``_pid`` beyond that.  Every task folds its chunks from those states (``mapInArrow``:
+   payload columns pass through as Arrow, types fold as dictionary codes, vectorised
+   across keys when dates are non-decreasing).  A state carries the number of changes
+   before it, so changes are numbered over the whole key in the same pass.
 
 :func:`transitions_lag` is the plain built-in window form.  It equals the fold
 only when each key's dates are non-decreasing in arrival order, and its
@@ -30,6 +33,8 @@ inputs with bounded keys and as a cross-check.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -49,7 +54,7 @@ ANNOTATIONS = [
     T.StructField("prev_date", T.LongType()),
     T.StructField("created", T.BooleanType()),
     # number of the chunk this row was folded in (chunks are in (key, seq) order), and the
-    # accepted changes of this key before this row within that chunk
+    # accepted changes of this key before this row
     T.StructField(CHUNK, T.LongType()),
     T.StructField("change_no", T.LongType()),
 ]
@@ -63,24 +68,35 @@ _SUMMARY = T.StructType(
         T.StructField("_role", T.IntegerType()),
         T.StructField("_newest", T.LongType()),
         T.StructField("thr", T.ArrayType(T.LongType())),
-        T.StructField("kind", T.ArrayType(T.IntegerType())),
         T.StructField("t1", T.ArrayType(T.StringType())),
         T.StructField("x1t", T.ArrayType(T.StringType())),
         T.StructField("x1d", T.ArrayType(T.LongType())),
+        T.StructField("n1", T.ArrayType(T.LongType())),
         T.StructField("x2t", T.ArrayType(T.StringType())),
         T.StructField("x2d", T.ArrayType(T.LongType())),
+        T.StructField("n2", T.ArrayType(T.LongType())),
     ]
 )
-_PIECES = ["thr", "kind", "t1", "x1t", "x1d", "x2t", "x2d"]
+_PIECES = ["thr", "t1", "x1t", "x1d", "n1", "x2t", "x2d", "n2"]
+BLOCK = "_block"
 _ENTER = T.StructType(
     [
         T.StructField(PID, T.IntegerType()),
         T.StructField("_enter_type", T.StringType()),
         T.StructField("_enter_date", T.LongType()),
         T.StructField("_enter_initial", T.BooleanType()),
+        T.StructField("_enter_changes", T.LongType()),
     ]
 )
+_STATE = _ENTER.fields[1:]
+_BLOCK_SUMMARY = T.StructType([T.StructField("_k", T.StringType()), T.StructField(BLOCK, T.IntegerType()), *_SUMMARY.fields[4:]])
+_BLOCK_ENTER = T.StructType([T.StructField("_k", T.StringType()), T.StructField(BLOCK, T.IntegerType()), *_STATE])
 _INIT = (INITIAL_TYPE, INITIAL_DATE, True)
+_START = (*_INIT, 0)
+#: Entering states are broadcast for so many chunks at most: a row is a type, a date and a
+#: number, so that is some 50 MB.
+BROADCAST_CHUNKS = 1 << 20
+
 
 def _chunks(pids):
     """(start, end) of the runs of equal ``_pid`` in a batch."""
@@ -140,8 +156,9 @@ def _summarise(key: str, type_col: str, date_col: str):
             lst = pa.list_
             schema = pa.schema([
                 (PID, pa.int32()), ("_k", str_type), ("_role", pa.int32()), ("_newest", pa.int64()),
-                ("thr", lst(pa.int64())), ("kind", lst(pa.int32())), ("t1", lst(str_type)),
-                ("x1t", lst(str_type)), ("x1d", lst(pa.int64())), ("x2t", lst(str_type)), ("x2d", lst(pa.int64())),
+                ("thr", lst(pa.int64())), ("t1", lst(str_type)),
+                ("x1t", lst(str_type)), ("x1d", lst(pa.int64())), ("n1", lst(pa.int64())),
+                ("x2t", lst(str_type)), ("x2d", lst(pa.int64())), ("n2", lst(pa.int64())),
             ])
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -149,33 +166,74 @@ def _summarise(key: str, type_col: str, date_col: str):
     return run
 
 
-def bounded_summaries(summaries: DataFrame) -> DataFrame:
-    """``summaries`` without the pieces that no entering date can reach.
+def bounded_summaries(summaries: DataFrame, per_block: int = 32) -> DataFrame:
+    """The summaries (not the requests) with ``_block``, the number of their block of
+    ``per_block`` chunks, without the pieces that no entering date can reach.
 
     The state's date is that of an accepted event, so it is at most the newest date of
     the key's earlier chunks (or the initial date).  Pieces are in ascending order of the
     largest date that they hold for: those up to the bound stay, and the one it falls in."""
-    earlier = Window.partitionBy("_k").orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    newest = summaries.where("_role = 1").select(
-        PID, F.greatest(F.lit(INITIAL_DATE), F.max("_newest").over(earlier)).alias("_bound")
-    )
-    reach = F.size(F.filter("thr", lambda t: t < F.col("_bound"))) + 1
-    cut = summaries.join(newest, PID, "left").withColumn("_reach", reach)
-    return cut.select(PID, "_k", "_role", *[F.slice(c, F.lit(1), F.col("_reach")).alias(c) for c in _PIECES])
-
-
-def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one key in chunk order: answer requests, apply summaries."""
-    pdf = pdf.sort_values([PID, "_role"], kind="stable")
-    state = _INIT
+    parts = summaries.where("_role = 1").withColumn(BLOCK, (F.col(PID) / per_block).cast("int"))
+    earlier = Window.unboundedPreceding, -1
+    blocks = parts.groupBy("_k", BLOCK).agg(F.max("_newest").alias("_newest"))
+    before = F.max("_newest").over(Window.partitionBy("_k").orderBy(BLOCK).rowsBetween(*earlier))
+    parts = parts.join(blocks.select("_k", BLOCK, before.alias("_before")), ["_k", BLOCK])
+    within = F.max("_newest").over(Window.partitionBy("_k", BLOCK).orderBy(PID).rowsBetween(*earlier))
+    parts = parts.withColumn("_bound", F.greatest(F.lit(INITIAL_DATE), "_before", within))
+    parts = parts.withColumn("_reach", F.size(F.filter("thr", lambda t: t < F.col("_bound"))) + 1)
+    return parts.select(PID, "_k", BLOCK, "_role", *[F.slice(c, F.lit(1), F.col("_reach")).alias(c) for c in _PIECES])
+
+
+def _pieces_of(pdf: pd.DataFrame) -> list[tuple]:
+    return list(zip(*[pdf[c].to_numpy(dtype=object) for c in _PIECES]))
+
+
+def _compose_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One summary of a key's summaries in a block, combined in a tree."""
+    pdf = pdf.sort_values(PID, kind="stable")
+    level = _pieces_of(pdf)
+    while len(level) > 1:
+        pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+        level = [fold.compose_pieces(*p) if len(p) == 2 else p[0] for p in pairs]
+    row = (pdf["_k"].iloc[0], pdf[BLOCK].iloc[0], *map(list, level[0]))
+    return pd.DataFrame([row], columns=_BLOCK_SUMMARY.names)
+
+
+def _scan(pdf: pd.DataFrame, state: tuple, at: str, emit: list[str]) -> list[tuple]:
+    """Rows in the order of ``at``, requests (``_role`` 0) first: the state at each request."""
+    pdf = pdf.sort_values([at, "_role"], kind="stable")
     out = []
-    pieces = [pdf[c].to_numpy(dtype=object) for c in _PIECES]
-    for i, (pid, role) in enumerate(zip(pdf[PID].tolist(), pdf["_role"].tolist())):
+    for named, role, pieces in zip(pdf[emit].itertuples(index=False), pdf["_role"].tolist(), _pieces_of(pdf)):
         if role == 0:
-            out.append((pid, state[0], state[1], state[2]))
+            out.append((*named, *state))
         else:
-            state = fold.apply_pieces(*(p[i] for p in pieces), state)
-    return pd.DataFrame(out, columns=[f.name for f in _ENTER.fields])
+            state = fold.apply_pieces(*pieces, state)
+    return out
+
+
+def _enter_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A key's blocks in order: the state in which each block with a request is entered."""
+    return pd.DataFrame(_scan(pdf, _START, BLOCK, ["_k", BLOCK]), columns=_BLOCK_ENTER.names)
+
+
+def _enter_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A key's chunks in a block: the state in which each chunk with a request is entered."""
+    state = tuple(pdf[f.name].iloc[0] for f in _STATE)
+    return pd.DataFrame(_scan(pdf, state, PID, [PID]), columns=_ENTER.names)
+
+
+def entering_states(summaries: DataFrame, chunks: int) -> DataFrame:
+    """The entering state of each of ``chunks`` chunks, from the rows of ``_SUMMARY`` (best
+    a checkpoint or table: they are read several times)."""
+    per_block = max(1, math.isqrt(chunks - 1) + 1) if chunks > 0 else 1
+    parts = bounded_summaries(summaries, per_block)
+    requests = summaries.where("_role = 0").select(
+        PID, "_k", (F.col(PID) / per_block).cast("int").alias(BLOCK), "_role", *[F.lit(None).cast(_SUMMARY[c].dataType).alias(c) for c in _PIECES]
+    )
+    composed = parts.groupBy("_k", BLOCK).applyInPandas(_compose_block, _BLOCK_SUMMARY).withColumn("_role", F.lit(1))
+    asked = requests.drop(PID).dropDuplicates(["_k", BLOCK])
+    blocks = composed.unionByName(asked).groupBy("_k").applyInPandas(_enter_blocks, _BLOCK_ENTER)
+    return parts.unionByName(requests).join(blocks, ["_k", BLOCK]).groupBy("_k", BLOCK).applyInPandas(_enter_chunks, _ENTER)
 
 
 def _fold_chunks(key: str, order: str, type_col: str, date_col: str, keep: str, out_names: list[str]):
@@ -226,10 +284,10 @@ def _fold_chunks(key: str, order: str, type_col: str, date_col: str, keep: str,
             for s, e in _chunks(pids):
                 k_first = keys_a[s].as_py()
                 if pids[s] != cur_pid:
-                    state = tuple(b.column(f.name)[s].as_py() for f in _ENTER.fields[1:])
-                    if state[2] is None:
+                    *state, counter = (b.column(f.name)[s].as_py() for f in _STATE)
+                    if counter is None:
                         raise RuntimeError(f"no entering state for chunk {pids[s]}")
-                    cur_pid, cur_key, chunk, last_pos, counter = pids[s], k_first, int(pids[s]), None, 0
+                    cur_pid, cur_key, chunk, last_pos = pids[s], k_first, int(pids[s]), None
                 # order: keys strictly increasing, or equal with increasing seq
                 ok = bool(np.all(later[s : e - 1] | (same_all[s : e - 1] & (seqs[s + 1 : e] > seqs[s : e - 1]))))
                 if last_pos is not None:
@@ -295,7 +353,7 @@ def annotate_transitions(
     Adds ``accepted``, ``late`` (type differs but older than the state),
     ``prev_type`` / ``prev_date`` (the state it was compared with), ``created``
     (the key had no accepted change before), ``_pid``, ``_chunk`` and
-    ``change_no``.  Events with a NULL key, type, date or order are left out.  ``order``
+    ``change_no`` (the key's accepted changes before the row).  Events with a NULL key, type, date or order are left out.  ``order``
     must be unique within a key (an arrival position such as a topic offset).
     ``keep="accepted"`` / ``"late"`` returns only those rows (filtered in the
     task, before the rows go back to the JVM).
@@ -320,14 +378,18 @@ def annotate_transitions(
     chunks = ranged.checkpoint()
 
     summaries = chunks.select(PID, key, type_col, date_col).mapInArrow(_summarise(key, type_col, date_col), _SUMMARY)
-    enter = bounded_summaries(summaries.checkpoint()).groupBy("_k").applyInPandas(_compose, _ENTER)
-    # Written, so that its size is known to the optimizer before the join.
+    n = chunks.rdd.getNumPartitions()
+    enter = entering_states(summaries.checkpoint(), n)
     path = shared_path(spark, "fold", unique=True)
     enter.write.mode("overwrite").parquet(path)
     enter = spark.read.schema(_ENTER).parquet(path)
 
     schema = T.StructType(list(chunks.schema.fields) + ANNOTATIONS)
-    entered = chunks.join(enter, PID, "left").sortWithinPartitions(PID, key, order)
+    if n <= BROADCAST_CHUNKS:
+        # One row per chunk: the chunks keep their partitions and their order.
+        entered = chunks.join(enter.hint("broadcast"), PID, "left")
+    else:
+        entered = chunks.join(enter, PID, "left").sortWithinPartitions(PID, key, order)
     return entered.mapInArrow(_fold_chunks(key, order, type_col, date_col, keep, schema.names), schema)
 
 

@@ -49,13 +49,15 @@ def _general_pieces(types, dates):
     n = len(types)
     nxt = _next_pointers(types, dates)
     end = np.arange(n)
+    length = np.ones(n, np.int64)
     for i in range(n - 1, -1, -1):
         if nxt[i] >= 0:
             end[i] = end[nxt[i]]
+            length[i] += length[nxt[i]]
 
     def exit_of(i):
         e = end[i]
-        return (types[e], int(dates[e]))
+        return (types[e], int(dates[e])), int(length[i])
 
     order = np.argsort(dates, kind="stable")[::-1]
     desc: list = []  # (threshold, value), thresholds descending
@@ -75,23 +77,17 @@ def _general_pieces(types, dates):
             elif tj != t1 and (i2 < 0 or j < i2):
                 i2 = j
             k += 1
-        x1 = exit_of(i1)
+        x1, n1 = exit_of(i1)
         if i2 < 0:
-            value = (fold.PIECE_ONE, t1, x1, None)
+            value = (t1, x1, n1, None, 0)
         else:
-            x2 = exit_of(i2)
-            value = (fold.PIECE_CONST, None, x1, None) if x1 == x2 else (fold.PIECE_TWO, t1, x1, x2)
+            x2, n2 = exit_of(i2)
+            value = (None, x1, n1, None, 0) if (x1, n1) == (x2, n2) else (t1, x1, n1, x2, n2)
         if not desc or desc[-1][1] != value:
             desc.append((int(d), value))
     desc.reverse()
-    thr = [p[0] for p in desc]
-    kind = [p[1][0] for p in desc]
-    t1s = [p[1][1] for p in desc]
-    x1t = [p[1][2][0] for p in desc]
-    x1d = [p[1][2][1] for p in desc]
-    x2t = [p[1][3][0] if p[1][3] else None for p in desc]
-    x2d = [p[1][3][1] if p[1][3] else None for p in desc]
-    return thr, kind, t1s, x1t, x1d, x2t, x2d
+    rows = [(t, v[0], *v[1], v[2], *(v[3] or (None, None)), v[4]) for t, v in desc]
+    return tuple(map(list, zip(*rows)))
 
 
 event = st.tuples(st.sampled_from(["A", "B", "C", "-"]), st.integers(-3, 12))
@@ -142,16 +138,17 @@ def test_pieces_compose_like_sequential_fold(evs, cuts):
     """Summaries of consecutive slices, applied in order, give the entering state
     of every slice, and re-folding each slice from it gives the whole-key result."""
     bounds = sorted({0, len(evs), *[c for c in cuts if c <= len(evs)]})
-    state = INIT
+    state = (*INIT, 0)
     decisions = []
     for lo, hi in zip(bounds, bounds[1:]):
         part = evs[lo:hi]
         types, dates = _arrays(part)
         pieces = fold.run_pieces(types, dates)
-        dec, _, _, _, after = fold.fold_segment(types, dates, state)
+        dec, _, _, _, after = fold.fold_segment(types, dates, state[:3])
         decisions.extend(dec)
         summarised = fold.apply_pieces(*pieces, state)
-        assert summarised[:2] == after[:2] == _state_after(part, state)[:2]
+        assert summarised[:2] == after[:2] == _state_after(part, state[:3])[:2]
+        assert summarised[3] == state[3] + list(dec).count(fold.ACCEPTED)
         state = summarised
     assert decisions == fold.fold_reference(evs)
 
@@ -161,8 +158,29 @@ def test_pieces_compose_like_sequential_fold(evs, cuts):
 def test_pieces_any_entering_state(evs, t0, d0):
     types, dates = _arrays(evs)
     pieces = fold.run_pieces(types, dates)
-    got = fold.apply_pieces(*pieces, (t0, d0, False))
+    got = fold.apply_pieces(*pieces, (t0, d0, False, 3))
     assert got[:2] == _state_after(evs, (t0, d0, False))[:2]
+    dec, *_ = fold.fold_segment(types, dates, (t0, d0, False))
+    assert got[3] == 3 + list(dec).count(fold.ACCEPTED)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(events, min_size=2, max_size=6), st.randoms())
+def test_composed_pieces_equal_one_after_the_other(parts, rnd):
+    """Any tree of compositions gives what applying the summaries in order gives."""
+    level = [fold.run_pieces(*_arrays(p)) for p in parts]
+    single = list(level)
+    while len(level) > 1:
+        i = rnd.randrange(len(level) - 1)
+        level[i : i + 2] = [fold.compose_pieces(level[i], level[i + 1])]
+    assert list(level[0][0]) == sorted(set(level[0][0]))
+    for t0 in ("A", "B", "C", "-"):
+        for d0 in range(-5, 15):
+            state = (t0, d0, False, 0)
+            for pieces in single:
+                state = fold.apply_pieces(*pieces, state)
+            assert fold.apply_pieces(*level[0], (t0, d0, False, 0)) == state
+    assert fold.apply_pieces(*level[0], (*INIT, 0))[2] == (fold.apply_pieces(*level[0], (*INIT, 0))[3] == 0)
 
 
 HAND_CASES = [

@@ -198,3 +198,49 @@ def test_large_arrow_string_types(spark):
         spark.conf.set(key, old)
     want_acc, want_late = _expected(rows)
     assert acc == want_acc and late == want_late
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_one_key_over_ten_thousand_chunks(spark, ordered):
+    """The scan over a key's chunks: every entering state, and no group of more than
+    sqrt(chunks) summaries."""
+    import numpy as np
+    import pandas as pd
+
+    chunks, each = 10_000, 4
+    rnd = random.Random(int(ordered))
+    dates = [rnd.randint(0, 100_000) for _ in range(chunks * each)]
+    dates = sorted(dates) if ordered else dates
+    types = [rnd.choice("ABC") for _ in dates]
+    rows, want, state = [], {}, (*tr._INIT, 0)
+    for pid in range(chunks):
+        part = slice(pid * each, (pid + 1) * each)
+        t, d = np.array(types[part], dtype=object), np.array(dates[part])
+        want[pid] = state
+        dec, *_, after = fold.fold_segment(t, d, state[:3])
+        state = (*after, state[3] + list(dec).count(fold.ACCEPTED))
+        pieces = fold.run_pieces(t, d)
+        rows.append((pid, "hot", 0, None, *[None] * len(pieces)))
+        rows.append((pid, "hot", 1, int(d.max()), *map(list, pieces)))
+    summaries = spark.createDataFrame(pd.DataFrame(rows, columns=tr._SUMMARY.names), tr._SUMMARY).checkpoint()
+    got = {r[0]: (r[1], r[2], r[3], r[4]) for r in tr.entering_states(summaries, chunks).collect()}
+    assert got == want
+    blocks = tr.bounded_summaries(summaries, 100).groupBy("_k", tr.BLOCK).count()
+    assert blocks.agg({"count": "max"}).first()[0] <= 100 and blocks.count() <= 100
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_changes_are_numbered_over_the_whole_key(spark, monkeypatch, limit):
+    """``change_no`` needs no further pass, whether the states are broadcast or joined."""
+    monkeypatch.setattr(tr, "BROADCAST_CHUNKS", limit)
+    rnd = random.Random(4)
+    rows = [("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 9)}", rnd.choice("ABC"), rnd.randint(0, 90), s) for s in range(800)]
+    out = tr.transitions(make_events(spark, rows), num_partitions=9)
+    hinted = "strategy=broadcast" in out._jdf.queryExecution().toString()
+    assert hinted == (limit > 0)
+    by = {}
+    for r in sorted(out.select("id", "seq", "change_no").collect(), key=lambda r: r.seq):
+        assert r.change_no == len(by.setdefault(r.id, []))
+        by[r.id].append(r.seq)
+    acc, _ = _expected(rows)
+    assert {(k, s) for k, v in by.items() for s in v} == acc
