@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ CRC32 = (
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _ROOTS: dict[str, str] = {}
+#: The written tables of each open ``scratch_scope``, the innermost last.
+_SCOPES: list[list[str]] = []
 
 
 def scratch(spark: SparkSession) -> str:
@@ -49,18 +53,36 @@ def scratch(spark: SparkSession) -> str:
     return _ROOTS[app]
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are removed at its end, so that they take no disk any longer.
+
+    A frame that goes on being used must read none of them but those written with
+    ``outlives=True``; they belong to the scope around this one."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _SCOPES.pop():
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch(spark)}/{label}-{uuid.uuid4().hex[:10]}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, *, outlives: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Cuts the lineage (a lost executor loses nothing of it) and leaves the next join
-    free to choose, and to split, its own partitions.
+    free to choose, and to split, its own partitions.  ``outlives``: see ``scratch_scope``.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if len(_SCOPES) > outlives:
+        _SCOPES[-2 if outlives else -1].append(path)
     schema = df.schema
     before = spark.conf.get(_DROP_SHUFFLES, None)
     spark.conf.set(_DROP_SHUFFLES, "true")

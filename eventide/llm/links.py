@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import written
+from eventide.llm.common import scratch_scope, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,29 +33,36 @@ def components(links: DataFrame) -> DataFrame:
     written tables, so that Spark can split a hub's partition.  Empty input: no rows.
     """
     spark = links.sparkSession
-    edges = written(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    state = _state(edges)
-    while state[0]:
-        both = written(edges.union(edges.select("v", "u")), "edges")
-        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(large.where("u <> v").distinct(), "edges")
-        # All edges now go from a larger node u to a smaller v.
-        least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = edges.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", "m"))
-        edges = written(small.distinct(), "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            break
-    if not state[0]:
-        return spark.createDataFrame([], "node long, component long")
-    # Stars by now: every node points at its component's smallest.
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    with scratch_scope(spark):
+        edges = written(
+            links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
+        )
+        state = _state(edges)
+        while state[0]:
+            with scratch_scope(spark):
+                edges = _contracted(edges)
+            before, state = state, _state(edges)
+            if state == before:
+                break
+        if not state[0]:
+            return spark.createDataFrame([], "node long, component long")
+        # Stars by now: every node points at its component's smallest.
+        stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+            edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        )
+        return written(stars, "components", outlives=True)
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """One round of both steps; all edges go from a larger node u to a smaller v."""
+    both = written(edges.union(edges.select("v", "u")), "edges")
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    edges = written(large.where("u <> v").distinct(), "edges")
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+    small = edges.join(least, "u")
+    small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", "m"))
+    return written(small.distinct(), "edges", outlives=True)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -80,6 +87,12 @@ def linked_groups(
     list has to be the pair's first by ``rank``, then key, as others may be left out.
     Nodes that nothing is linked with are not in the result.
     """
+    spark = entries.sparkSession
+    with scratch_scope(spark):
+        return written(_linked(entries, verify, nodes, condition), "groups", outlives=True)
+
+
+def _linked(entries: DataFrame, verify, nodes: DataFrame | None, condition) -> DataFrame:
     h = F.xxhash64("node")
     rank = F.col("rank") if "rank" in entries.columns else F.lit(0).cast("long")
     # Sums of longs only: Spark keeps them in a hash table.  Nearly all keys end here.
@@ -95,7 +108,7 @@ def linked_groups(
     spokes = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     pairs = spokes.distinct()
     links = written(verify(written(pairs, "hub-pairs")), "links")
-    found = written(components(links), "components")
+    found = components(links)
 
     labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = written(labelled, "labelled")
@@ -118,4 +131,4 @@ def linked_groups(
         return found
     # The first round's stars stand for its links.
     stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return written(components(stars.union(more.select("a", "b"))), "components")
+    return components(stars.union(more.select("a", "b")))

@@ -22,7 +22,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import written
+from eventide.llm.common import scratch_scope, written
 from eventide.llm.links import linked_groups
-from eventide.llm.neardup import _BASE, _mix, _set_batch, _sets_of
+from eventide.llm.neardup import _BASE, _mix, _sets_of
 from eventide.session import partitions_for, ship_package
 
 #: ``k`` of the heads, in hundredths of a set's size.
 HEAD = 10
 #: Partners, and shingles of partners, in one trie.
 TRIE_SETS, TRIE_SHINGLES = 256, 1 << 21
+#: Hashes in a batch that goes back to the JVM, besides its last set.
+OUT_HASHES = 1 << 18
 
 
 def need_of(n, percent: int):
@@ -46,43 +48,38 @@ def need_of(n, percent: int):
     return (n * percent + 99) // 100
 
 
-def sets(docs: DataFrame, id_col: str, text_col: str, ngram: int, percent: int) -> DataFrame:
-    """``id, n, f1, f2, head`` of each row."""
-    ship_package(docs.sparkSession)
-    out = T.StructType.fromDDL("id long, n long, f1 long, f2 long, head array<long>")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, f1, f2, heads = [], [], [], []
-            for s in _sets_of(batch.column(1), ngram):
-                u = s.view(np.uint64)
-                n.append(len(s))
-                f1.append(int(np.bitwise_xor.reduce(_mix(u)) >> np.uint64(1)) if len(u) else 0)
-                f2.append(int(_mix(u * np.uint64(_BASE)).sum() >> np.uint64(1)) if len(u) else 0)
-                heads.append(s[: len(s) - need_of(len(s), percent) + -(-len(s) * HEAD // 100)])
-            offsets = pa.array(np.cumsum([0] + [len(h) for h in heads]).astype(np.int32))
-            flat = pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64), pa.int64())
-            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, f1, f2)), pa.ListArray.from_arrays(offsets, flat)]
-            yield pa.RecordBatch.from_arrays(columns, names=out.names)
+def _fingerprint(s: np.ndarray) -> tuple[int, int, int]:
+    """Size and two 63-bit sums over the elements' hashes: equal for equal sets."""
+    u = s.view(np.uint64)
+    if not len(u):
+        return 0, 0, 0
+    return len(u), int(np.bitwise_xor.reduce(_mix(u)) >> np.uint64(1)), int(_mix(u * np.uint64(_BASE)).sum() >> np.uint64(1))
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, out)
 
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, ngram: int, part: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``id, n, f1, f2, part`` of each row: the set's size, fingerprint, and the ``part`` of its
+    sorted hashes."""
+    ship_package(docs.sparkSession)
+    out = T.StructType.fromDDL("id long, n long, f1 long, f2 long, part array<long>")
+    names = out.names
 
-def whole_sets(docs: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
-    """``node, shingles`` of each row."""
-    out = T.StructType.fromDDL("node long, shingles array<long>")
+    def made(ids: pa.Array, rows: list[tuple], parts: list[np.ndarray]) -> pa.RecordBatch:
+        offsets = pa.array(np.cumsum([0] + [len(p) for p in parts]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts), pa.int64()))
+        return pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), lists], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, held, size, done = batch.column(0), [], 0, 0
+            ids, rows, parts, held, done = batch.column(0), [], [], 0, 0
             for s in _sets_of(batch.column(1), ngram):
-                held.append(pa.array(s, pa.int64()))
-                size += len(s)
-                if size > 1 << 18:
-                    yield _set_batch(ids.slice(done, len(held)), held, out.names)
-                    done, held, size = done + len(held), [], 0
-            if held:
-                yield _set_batch(ids.slice(done, len(held)), held, out.names)
+                rows.append(_fingerprint(s))
+                parts.append(part(s))
+                held += len(parts[-1])
+                if held > OUT_HASHES:
+                    yield made(ids.slice(done, len(rows)), rows, parts)
+                    done, rows, parts, held = done + len(rows), [], [], 0
+            if rows:
+                yield made(ids.slice(done, len(rows)), rows, parts)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, out)
 
@@ -211,7 +208,7 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     # A partner may be as small as percent of the node: of the common shingles, so many are in both heads.
     smallest = F.ceil(F.col("n") * percent / 100)
     enough = F.greatest(F.lit(1), F.ceil(smallest * HEAD / 100))
-    return nodes.join(shared, "node").where(F.col("c") >= enough).select("node", "n")
+    return nodes.join(shared, "node").where(F.col("c") >= enough).select("node")
 
 
 def prefix_join(
@@ -228,40 +225,49 @@ def prefix_join(
     id and different texts are judged by their own texts).  A NULL id: the component of the
     equal texts, or NULL.  Other columns are not read.  Empty input: empty output.
     """
-    signed = written(sets(docs, id_col, text_col, ngram, percent), "sets")
+    def head(s: np.ndarray) -> np.ndarray:
+        return s[: len(s) - need_of(len(s), percent) + -(-len(s) * HEAD // 100)]
+
+    signed = written(shingle_sets(docs, id_col, text_col, ngram, head), "sets")
     identity = ["f1", "f2", "n"]
-    nodes = signed.where("n > 0").groupBy(*identity).agg(F.min("id").alias("node"), F.first("head").alias("head"))
-    nodes = written(nodes.where("node IS NOT NULL"), "nodes")
-    able = written(_candidates(nodes, percent), "able")
-
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("t"))
-    whole = whole_sets(texts.join(able.hint("merge"), "node", "left_semi"), "node", "t", ngram)
-    whole = written(whole.join(able, "node").where(F.size("shingles") == F.col("n")), "whole-sets").dropDuplicates(["node"])
-    values = written(whole.select("node", "n", F.explode("shingles").alias("value")), "values")
-    counts = written(values.groupBy("value").agg(F.count("*").alias("held")).where("held > 1"), "counts")
-    placed = F.sort_array(F.collect_list(F.struct((-F.col("held")).alias("rank"), "value")))
-    seqs = values.join(counts, "value").groupBy("node").agg(F.first("n").alias("n"), placed.alias("s"), F.sum(F.log2("held")).alias("central"))
-    need = F.ceil(F.col("n") * percent / 100)
-    seqs = seqs.where(F.size("s") >= need)  # else too few can be common
-    first = (F.size("s") - need + 1).cast("int")  # the first gap + 1 from the rare end, less those of this node only
-    rare = F.slice(F.reverse("s"), F.lit(1), first)
-    seqs = written(seqs.select("node", "n", "central", F.col("s.value").alias("seq"), rare.alias("rare")), "sequences")
-
-    entries = seqs.select("node", "central", F.explode("rare").alias("of"))
-    entries = entries.select(F.col("of.value").alias("key"), "node", "central", (-F.col("of.rank")).alias("rank"))
-
-    def allowed(a, b) -> Column:
-        """Formed in the first common list of two nodes whose sizes allow it."""
-        small, large = F.least(a("n"), b("n")), F.greatest(a("n"), b("n"))
-        return (small * 100 >= large * percent) & (F.get(F.array_intersect(a("keys"), b("keys")), F.lit(0)) == a("key"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        na, nb = (seqs.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
-        sized = pairs.join(na, "a").join(nb, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        return trie_links(written(sized.select("a", "b"), "sized"), seqs.select("node", "n", "seq"), percent)
-
-    groups = linked_groups(entries, verify, nodes=seqs.select("node", "n", F.col("rare.value").alias("keys")), condition=allowed)
-    groups = written(nodes.join(groups, "node").select(*identity, "component"), "components")
-    return signed.join(groups, identity, "left").join(
-        nodes.select(*identity, "node"), identity, "left"
-    ).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "node", "id").alias("component_id"))
+    node = F.xxhash64(*identity).alias("node")
+    with scratch_scope(docs.sparkSession):
+        nodes = signed.where("n > 0").groupBy(*identity).agg(F.min("id").alias("id"), F.first("part").alias("head"))
+        nodes = written(nodes.where("id IS NOT NULL").select(node, "id", *identity, "head"), "nodes")
+        able = written(_candidates(nodes, percent), "able")
+
+        wanted = nodes.join(able, "node", "left_semi").select(F.col("id").alias("_wanted"))
+        texts = docs.join(written(wanted.distinct(), "wanted").hint("merge"), F.col(id_col).cast("long") == F.col("_wanted"), "left_semi")
+        whole = shingle_sets(texts, id_col, text_col, ngram, lambda s: s).select(node, "n", F.col("part").alias("shingles"))
+        whole = written(whole.dropDuplicates(["node"]).join(able, "node", "left_semi"), "whole-sets")
+        values = written(whole.select("node", "n", F.explode("shingles").alias("value")), "values")
+        counts = written(values.groupBy("value").agg(F.count("*").alias("held")).where("held > 1"), "counts")
+        placed = F.sort_array(F.collect_list(F.struct((-F.col("held")).alias("rank"), "value")))
+        seqs = values.join(counts, "value").groupBy("node").agg(F.first("n").alias("n"), placed.alias("s"), F.sum(F.log2("held")).alias("central"))
+        need = F.ceil(F.col("n") * percent / 100)
+        seqs = seqs.where(F.size("s") >= need)  # else too few can be common
+        first = (F.size("s") - need + 1).cast("int")  # the first gap + 1 from the rare end, less those of this node only
+        rare = F.slice(F.reverse("s"), F.lit(1), first)
+        seqs = written(seqs.select("node", "n", "central", F.col("s.value").alias("seq"), rare.alias("rare")), "sequences")
+
+        entries = seqs.select("node", "central", F.explode("rare").alias("of"))
+        entries = entries.select(F.col("of.value").alias("key"), "node", "central", (-F.col("of.rank")).alias("rank"))
+
+        def allowed(a, b) -> Column:
+            """Formed in the first common list of two nodes whose sizes allow it."""
+            small, large = F.least(a("n"), b("n")), F.greatest(a("n"), b("n"))
+            return (small * 100 >= large * percent) & (F.get(F.array_intersect(a("keys"), b("keys")), F.lit(0)) == a("key"))
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            na, nb = (seqs.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
+            sized = pairs.join(na, "a").join(nb, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+            return trie_links(written(sized.select("a", "b"), "sized"), seqs.select("node", "n", "seq"), percent)
+
+        groups = linked_groups(entries, verify, nodes=seqs.select("node", "n", F.col("rare.value").alias("keys")), condition=allowed)
+        groups = written(groups, "groups")
+        least = groups.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("least"))
+        labelled = nodes.join(groups, "node", "left").join(least, "component", "left")
+        labelled = written(labelled.select(*identity, F.coalesce("least", "id").alias("component")), "labelled", outlives=True)
+    return signed.join(labelled, identity, "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+    )
