@@ -13,7 +13,7 @@
 4. Lists.  Read from the rare end, a set's first ``gap + 1`` shingles (the ones of this node
    only included) have one in common with every partner's.  ``links.linked_groups`` forms the
    pairs: with each list's most central node, then of nodes that are not connected yet, in
-   their first common list only.
+   their first common list only and if a bound on the overlap of their rare ends allows it.
 5. Prefix trees.  The partners of a node, in salted chunks, are stored in a trie in the global
    order, and the node's set goes down it.  A segment that several sets share is compared once;
    a subtree whose overlap so far, with all that remains, cannot reach what its smallest set
@@ -37,6 +37,8 @@ from eventide.session import partitions_for, ship_package
 
 #: ``k`` of the heads, in hundredths of a set's size.
 HEAD = 10
+#: Shingles behind the lists' part of a set that bound the overlap, in hundredths of its size.
+EXTRA = 10
 #: Partners, and shingles of partners, in one trie.
 TRIE_SETS, TRIE_SHINGLES = 256, 1 << 21
 #: Hashes in a batch that goes back to the JVM, besides its last set.
@@ -246,24 +248,35 @@ def prefix_join(
         seqs = values.join(counts, "value").groupBy("node").agg(F.first("n").alias("n"), placed.alias("s"), F.sum(F.log2("held")).alias("central"))
         need = F.ceil(F.col("n") * percent / 100)
         seqs = seqs.where(F.size("s") >= need)  # else too few can be common
-        first = (F.size("s") - need + 1).cast("int")  # the first gap + 1 from the rare end, less those of this node only
-        rare = F.slice(F.reverse("s"), F.lit(1), first)
-        seqs = written(seqs.select("node", "n", "central", F.col("s.value").alias("seq"), rare.alias("rare")), "sequences")
-
-        entries = seqs.select("node", "central", F.explode("rare").alias("of"))
+        # From the rare end: the first gap + 1 make lists (less those of this node only), and
+        # ``EXTRA`` more bound the overlap.
+        first = (F.size("s") - need + 1).cast("int")
+        more = F.least(F.size("s"), first + F.ceil(F.col("n") * EXTRA / 100)).cast("int")
+        rare = F.slice(F.reverse("s"), F.lit(1), more)
+        seqs = seqs.select("node", "n", "central", F.col("s.value").alias("seq"), rare.alias("rare"), first.alias("first"))
+        seqs = written(seqs, "sequences")
+
+        entries = seqs.select("node", "central", F.explode(F.slice("rare", F.lit(1), F.col("first"))).alias("of"))
         entries = entries.select(F.col("of.value").alias("key"), "node", "central", (-F.col("of.rank")).alias("rank"))
 
         def allowed(a, b) -> Column:
-            """Formed in the first common list of two nodes whose sizes allow it."""
+            """Formed in the first common list of two nodes whose sizes, and whose rare ends, allow it.
+
+            Up to the end that comes first in the global order, the common shingles are all
+            counted; beyond it there are no more than that node has left."""
             small, large = F.least(a("n"), b("n")), F.greatest(a("n"), b("n"))
-            return (small * 100 >= large * percent) & (F.get(F.array_intersect(a("keys"), b("keys")), F.lit(0)) == a("key"))
+            common = F.array_intersect(a("keys"), b("keys"))
+            most = F.size(common) + F.greatest(a("left"), b("left"))
+            enough = most * (100 + percent) >= (a("n") + b("n")) * percent
+            return (small * 100 >= large * percent) & enough & (F.get(common, F.lit(0)) == a("key"))
 
         def verify(pairs: DataFrame) -> DataFrame:
             na, nb = (seqs.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
             sized = pairs.join(na, "a").join(nb, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
             return trie_links(written(sized.select("a", "b"), "sized"), seqs.select("node", "n", "seq"), percent)
 
-        groups = linked_groups(entries, verify, nodes=seqs.select("node", "n", F.col("rare.value").alias("keys")), condition=allowed)
+        bounds = seqs.select("node", "n", F.col("rare.value").alias("keys"), (F.size("seq") - F.size("rare")).alias("left"))
+        groups = linked_groups(entries, verify, nodes=bounds, condition=allowed)
         groups = written(groups, "groups")
         least = groups.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("least"))
         labelled = nodes.join(groups, "node", "left").join(least, "component", "left")
