@@ -48,9 +48,16 @@ def first_hop(spark: SparkSession, a) -> None:
         mapping=mapping,
         coercion=a.coercion,
         list_state=a.list_state,
+        write_late=jobs.kafka_writer(a.brokers, a.late) if a.late else None,
     )
     if a.rejects:
-        jobs.write_rejects(messages, jobs.kafka_writer(a.brokers, a.rejects), f"{a.checkpoint.rstrip('/')}-rejects", mapping=mapping)
+        jobs.write_rejects(
+            messages,
+            jobs.kafka_writer(a.brokers, a.rejects),
+            f"{a.checkpoint.rstrip('/')}-rejects",
+            mapping=mapping,
+            coercion=a.coercion,
+        )
     spark.streams.awaitAnyTermination()
 
 
@@ -93,7 +100,8 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--fields", default=None)
     f.add_argument("--max-offsets", type=int, default=jobs.MAX_OFFSETS_PER_TRIGGER)
     f.add_argument("--rejects", default=None, help="topic for the messages that are no events")
-    f.add_argument("--coercion", default="null", choices=["null", "zero"])
+    f.add_argument("--late", default=None, help="topic for the rejected late events")
+    f.add_argument("--coercion", default="null", choices=["null", "zero", "typed"])
     f.add_argument("--list-state", action="store_true", help="history as ListState; fixed for a checkpoint's life")
     s = sub.add_parser("second-hop")
     s.add_argument("--brokers", required=True)

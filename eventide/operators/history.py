@@ -19,6 +19,10 @@ from ..schema import DATE_EVENT, EVENT_TYPE, HISTORY_ROW, ID, LAT, LNG, LOCATION
 MEMORY_COLUMNS = ["date_event_memory", "event_type_memory", "coordinates_memory", "location_memory"]
 # Stored row of the latest-state table: the history row and its arrival position.
 TABLE_ROW = T.StructType(list(HISTORY_ROW.fields) + [T.StructField("last_seq", T.LongType())])
+# A row of the segmented history table: a run of a key's changes, from ``first_date`` to ``date_event``.
+SEGMENT_ROW = T.StructType(
+    [*TABLE_ROW.fields, T.StructField("segment", T.LongType()), T.StructField("first_date", T.LongType())]
+)
 
 
 def coordinates(lat: str = LAT, lng: str = LNG) -> Column:
@@ -73,7 +77,8 @@ def history_table(changes: DataFrame, key: str = ID, order: str = SEQ, segment_s
 
     With ``segment_size``: one row per key and segment; segment ``i`` holds the changes
     ``i * segment_size`` to ``(i + 1) * segment_size - 1`` of the key, whatever the
-    layout of the input."""
+    layout of the input.  Its dates are between ``first_date`` and ``date_event``, so time travel
+    skips segments (and, stored, files) by them."""
     keys = [F.col(key).alias(ID)]
     if segment_size:
         changes = numbered_changes(changes, key, order)
@@ -88,7 +93,7 @@ def history_table(changes: DataFrame, key: str = ID, order: str = SEQ, segment_s
         last["location"].alias(LOCATION),
         *_memory("_h"),
         last["seq"].alias("last_seq"),
-        *(["segment"] if segment_size else []),
+        *(["segment", F.get("_h", F.lit(0))["date"].alias("first_date")] if segment_size else []),
     )
 
 

@@ -67,11 +67,14 @@ def asof_snapshot(table: DataFrame, at: int | Column) -> DataFrame:
     t = _t(at)
     known = F.filter(history_changes(), lambda c: c["date"] <= t)
     segmented = "segment" in table.columns
-    rows = table.select(ID, *(["segment"] if segmented else []), F.try_element_at(known, F.lit(-1)).alias("_last"))
+    if segmented:
+        # Segments that begin later are not read.
+        table = table.where(F.col("first_date") <= t)
+    rows = table.select(ID, *(["last_seq"] if segmented else []), F.try_element_at(known, F.lit(-1)).alias("_last"))
     rows = rows.where(F.col("_last").isNotNull())
     if segmented:
         # Of a key's segments the last one that has such a change answers (partial aggregation).
-        rows = rows.groupBy(ID).agg(F.max_by("_last", "segment").alias("_last"))
+        rows = rows.groupBy(ID).agg(F.max_by("_last", "last_seq").alias("_last"))
     return rows.select(ID, *_snapshot_of(F.col("_last"))).select(*SNAPSHOT_COLUMNS)
 
 
@@ -79,6 +82,8 @@ def replay_after(table: DataFrame, at: int | Column, ids: Iterable[str] | DataFr
     """Array form: every change dated ``> at``, one row each, ascending by date."""
     t = _t(at)
     later = F.filter(history_changes(), lambda c: c["date"] > t)
+    # A row's last date: histories, or segments, that end earlier are not read.
+    table = table.where(F.col(DATE_EVENT) > t)
     rows = select_ids(table, ids).select(ID, F.explode(later).alias("_c")).select(ID, *_snapshot_of(F.col("_c")))
     rows = rows.select(*SNAPSHOT_COLUMNS)
     return rows.orderBy(DATE_EVENT, ID) if sort else rows

@@ -18,7 +18,7 @@ from ..operators import latest, timetravel, transitions
 from ..schema import DATE_EVENT, EVENT_TYPE, FLAT_COLUMNS, ID, SEQ
 from ..session import shared_path
 from ..sources import events as src
-from ..sources import table as tbl
+from ..sources import parts
 
 # Fixed query parameters: the time-travel instant (2024-01-15 00:00:00 UTC), the
 # id list of the filtered replay and the reader's sample date/time texts.
@@ -103,6 +103,26 @@ def q_parse_rejects(spark, sf_dir):
     return good.select(SEQ, F.lit(True).alias("accepted")).union(bad.select(SEQ, F.lit(False)))
 
 
+#: The date of message ``n`` as each JSON type, by ``n % 7``.
+TYPED_DATES = ("{n}", '"{n}"', "{n}.9", '"x{n}"', "true", "null", '{{"a": {n}}}')
+
+
+def q_parse_types(spark, sf_dir):
+    """Dates and types of messages of every JSON type, coerced by that type; one message in
+    eleven has no date and is not valid."""
+    events = _events(spark, sf_dir)
+    n = F.col(SEQ).cast("string")
+    kind = F.col(SEQ) % len(TYPED_DATES)
+    date = F.lit(None).cast("string")
+    for i, form in enumerate(TYPED_DATES):
+        head, _, tail = form.replace("{{", "{").replace("}}", "}").partition("{n}")
+        date = F.when(kind == i, F.concat(F.lit(head), n, F.lit(tail)) if "{n}" in form else F.lit(head)).otherwise(date)
+    value = F.concat(F.lit('{"ID":"'), ID, F.lit('","EVENT_TYPE":'), date, F.lit(',"LAT":'), date, F.lit(',"LNG":1,"LOCATION":[1]'))
+    value = F.concat(value, F.when(F.col(SEQ) % 11 == 0, F.lit("")).otherwise(F.concat(F.lit(',"DATE_EVENT":'), date)), F.lit("}"))
+    parsed = src.parse_events(events.select(SEQ, value.alias("value")), coercion="typed", keep=[SEQ])
+    return parsed.select(SEQ, EVENT_TYPE, F.coalesce(DATE_EVENT, F.lit(-1)).alias(DATE_EVENT), "lat", "location", "valid")
+
+
 # --- second hop: latest per key, table, upsert -------------------------------------------
 
 
@@ -118,37 +138,60 @@ def q_latest_per_key(spark, sf_dir):
 
 
 def _two_batch_table(spark, sf_dir) -> str:
-    """History table upserted in two micro-batches (changes dated <= T, then the
-    rest).  A batch's latest history row per key is that key's history up to the
-    batch's end, built by one aggregation (linear in the changes), for the keys
-    the batch touched."""
+    """The history table as two batches wrote it (changes dated <= T, then the rest): each adds
+    a part with the segments of its own changes."""
     path = shared_path(spark, "tables", "history", unique=True)
-    tbl.ensure_table(spark, path, hist.TABLE_ROW)
+    parts.ensure(spark, path, hist.SEGMENT_ROW)
     changes = _changes(spark, sf_dir)
-    for version, (window, upto) in enumerate(
-        ((F.col(DATE_EVENT) <= T, F.col(DATE_EVENT) <= T), (F.col(DATE_EVENT) > T, F.lit(True))), start=1
-    ):
-        touched = changes.where(window).select(ID).distinct()
-        rows = hist.history_table(changes.where(upto)).join(touched, ID, "left_semi")
-        tbl.upsert(spark, path, rows, ID, version=version, guard=DATE_EVENT)
+    for version, window in enumerate((F.col(DATE_EVENT) <= T, F.col(DATE_EVENT) > T), start=1):
+        rows = hist.history_table(changes.where(window), segment_size=SEGMENT_SIZE)
+        parts.write_part(rows.select(*hist.SEGMENT_ROW.names), path, version)
     return path
 
 
 def q_upsert_merge(spark, sf_dir):
     path = _two_batch_table(spark, sf_dir)
-    return timetravel.current_state(tbl.read_table(spark, path))
+    return timetravel.current_state(parts.read_parts(spark, path, hist.SEGMENT_ROW))
 
 
 def q_table_at_version(spark, sf_dir):
     path = _two_batch_table(spark, sf_dir)
-    return timetravel.current_state(tbl.read_table(spark, path, version=1))
+    return timetravel.current_state(parts.read_parts(spark, path, hist.SEGMENT_ROW, upto=1))
 
 
 def q_ensure_table(spark, sf_dir):
     """Create-if-absent is idempotent: a second ensure keeps the data."""
     path = _two_batch_table(spark, sf_dir)
-    tbl.ensure_table(spark, path, hist.TABLE_ROW)
-    return timetravel.current_state(tbl.read_table(spark, path)).select(ID, DATE_EVENT)
+    parts.ensure(spark, path, hist.SEGMENT_ROW)
+    return timetravel.current_state(parts.read_parts(spark, path, hist.SEGMENT_ROW)).select(ID, DATE_EVENT)
+
+
+def q_asof_stored(spark, sf_dir):
+    """The snapshot from the stored segments: those that begin after T are not read."""
+    path = _two_batch_table(spark, sf_dir)
+    return timetravel.asof_snapshot(parts.read_parts(spark, path, hist.SEGMENT_ROW), T)
+
+
+def q_replay_stored(spark, sf_dir):
+    """The replay from the stored segments: those that end by T are not read."""
+    path = _two_batch_table(spark, sf_dir)
+    return timetravel.replay_after(parts.read_parts(spark, path, hist.SEGMENT_ROW), T)
+
+
+def q_merge_latest(spark, sf_dir):
+    """A keyed table merged in three batches (arrival thirds of the orders), the middle one given
+    twice, compacted after the second: the latest order per customer by date, then number."""
+    path = shared_path(spark, "tables", "orders", unique=True)
+    orders = src.read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    orders = orders.withColumn("rank", F.struct("o_orderdate", "o_orderkey"))
+    parts.ensure(spark, path, orders.schema)
+    for version, third in ((1, 0), (2, 1), (2, 1), (3, 2)):
+        batch = latest.latest_per_key(orders.where(F.col("o_orderkey") % 3 == third), "o_custkey", ["o_orderdate", "o_orderkey"])
+        parts.write_part(batch.select(*orders.columns), path, version)
+        if version == 2:
+            parts.compact(spark, path, orders.schema, "o_custkey", 2, guard="rank")
+    merged = parts.latest(spark, path, orders.schema, "o_custkey", guard="rank")
+    return merged.select("o_custkey", "o_orderkey", "o_totalprice")
 
 
 # --- batch reader: time travel -----------------------------------------------------------
@@ -233,11 +276,11 @@ def q_decode_history_json(spark, sf_dir):
 
 
 def q_replay_json_single_file(spark, sf_dir):
-    """The one-file layout of the replay."""
+    """The replay as one sequence: date-ranged part files, in order by name."""
     from ..sources.files import read_replay_json, write_replay_json
 
     path = shared_path(spark, "replay", str(T), unique=True)
-    write_replay_json(timetravel.replay_after(_history_table(spark, sf_dir), T, sort=False), path, single_file=True)
+    write_replay_json(timetravel.replay_after(_history_table(spark, sf_dir), T, sort=False), path)
     return read_replay_json(spark, path)
 
 
@@ -262,11 +305,15 @@ def catalogue() -> dict[str, Query]:
         "history_rows": q_history_rows,
         "history_rows_nulls": q_history_rows_nulls,
         "parse_rejects": q_parse_rejects,
+        "parse_types": q_parse_types,
         "latest_ties": q_latest_ties,
         "latest_per_key": q_latest_per_key,
         "ensure_table": q_ensure_table,
         "upsert_merge": q_upsert_merge,
         "table_at_version": q_table_at_version,
+        "asof_stored": q_asof_stored,
+        "replay_stored": q_replay_stored,
+        "merge_latest": q_merge_latest,
         "current_state": q_current_state,
         "asof_snapshot": q_asof_snapshot,
         "asof_snapshot_rows": q_asof_snapshot_rows,
@@ -281,6 +328,10 @@ def catalogue() -> dict[str, Query]:
         "replay_json_roundtrip": q_replay_json_roundtrip,
         "replay_json_single_file": q_replay_json_single_file,
         "stream_out_of_order": jobs.q_stream_out_of_order,
+        "stream_late_rejected": jobs.q_stream_late_rejected,
+        "stream_state": jobs.q_stream_state,
+        "stream_hot_key": jobs.q_stream_hot_key,
+        "stream_parts_current": jobs.q_stream_parts_current,
         "stream_rejects": jobs.q_stream_rejects,
         "stream_parse_events": jobs.q_stream_parse_events,
         "stream_transitions": jobs.q_stream_transitions,

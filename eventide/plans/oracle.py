@@ -67,8 +67,27 @@ select {FLAT} from t where p is null or p<>event_type"""
 def oracles() -> dict[str, str]:
     ordered = f"""{FOLD}select r.id, r.event_type, r.date_event, r.lat, r.lng, r.location
 from r join f on r.id=f.id and r.rn=f.rn where f.ok"""
+    late = f"""{FOLD}select r.id, r.event_type, r.date_event, r.lat, r.lng, r.location
+from r join f on r.id=f.id and r.rn=f.rn where f.late"""
     return {
         "stream_out_of_order": ordered,
+        "stream_late_rejected": late,
+        "stream_state": f"""{FOLD}select id, arg_max(st, rn) event_type, arg_max(sd, rn) date_event
+from f group by id having bool_or(ok)""",
+        "stream_hot_key": HOT,
+        "stream_parts_current": LAST_PER_ID,
+        "asof_stored": ASOF,
+        "replay_stored": REPLAY,
+        "merge_latest": """select o_custkey, o_orderkey, o_totalprice from
+  (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) rn
+   from orders) where rn=1""",
+        "parse_types": f"""with {SRC}, k as (select *, seq % 7 k, cast(seq as varchar) n from src)
+select seq,
+  case k when 0 then n when 1 then n when 2 then n||'.9' when 3 then 'x'||n when 4 then 'true' when 5 then 'null' else '' end event_type,
+  case when seq % 11 = 0 then -1 when k < 3 then seq when k = 4 then 1 else 0 end date_event,
+  case k when 0 then seq when 1 then seq when 2 then seq + 0.9 when 4 then 1 else 0 end::double lat,
+  '' as location, seq % 11 <> 0 as valid
+from k""",
         "parse_events": PARSE,
         "transitions": TRANSITIONS,
         "transitions_hot_key": HOT,

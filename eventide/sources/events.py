@@ -86,6 +86,34 @@ def _number(text: Column, typ: str) -> Column:
     return F.coalesce(text.try_cast(typ), text.try_cast("double").try_cast(typ))
 
 
+def _json_type(field: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(field), "^[A-Z]+", 0)
+
+
+def typed_text(field: Column) -> Column:
+    """A VARIANT field as text, by its JSON type: a string as it is, a number or a boolean as it is
+    written, null as ``null``, an object or array as the empty text; a missing field is NULL."""
+    kind = _json_type(field)
+    return (
+        F.when(field.isNull(), F.lit(None).cast("string"))
+        .when(kind == "VOID", "null")
+        .when(kind.isin("OBJECT", "ARRAY"), "")
+        .otherwise(F.try_variant_get(field, "$", "string"))
+    )
+
+
+def typed_number(field: Column, typ: str) -> Column:
+    """A VARIANT field as a number, by its JSON type: a number (cut off for ``bigint``), a text that
+    is one, true as 1 and anything else as 0; a missing field is NULL."""
+    text = F.try_variant_get(field, "$", "string")
+    zero = F.lit(0).cast(typ)
+    return (
+        F.when(field.isNull(), F.lit(None).cast(typ))
+        .when(_json_type(field) == "BOOLEAN", F.when(text == "true", F.lit(1).cast(typ)).otherwise(zero))
+        .otherwise(F.coalesce(_number(F.trim(text), typ), zero))
+    )
+
+
 def parse_events(
     messages: DataFrame,
     mapping: ColumnMapping = ColumnMapping(),
@@ -99,12 +127,22 @@ def parse_events(
     id, event_type or date_event are marked ``valid = false``.
     ``coercion="zero"``: the reader's defaults, missing numbers -> 0, missing text
     -> ``""``; every row is valid.
+    ``coercion="typed"``: by each field's JSON type (:func:`typed_text`, :func:`typed_number`);
+    only missing fields are NULL, so rows without one of the three are not valid.
     """
-    if coercion not in ("null", "zero"):
-        raise ValueError("coercion must be 'null' or 'zero'")
+    if coercion not in ("null", "zero", "typed"):
+        raise ValueError("coercion must be 'null', 'zero' or 'typed'")
     names = mapping.as_dict()
     value = F.col(value_col).cast("string")
     extra = [F.col(c) for c in (keep or [])]
+    if coercion == "typed":
+        # One parse per message, into a VARIANT that keeps the JSON types.
+        whole = messages.select(*extra, F.try_parse_json(value).alias("_json"))
+        fields = whole.select(*extra, *[F.try_variant_get("_json", f"$['{names[c]}']", "variant").alias(f"_raw_{c}") for c in FLAT_COLUMNS])
+        raw_of = {c: F.col(f"_raw_{c}") for c in FLAT_COLUMNS}
+        typed = [typed_text(raw_of[c]).alias(c) for c in (ID, EVENT_TYPE)]
+        typed += [typed_number(raw_of[c], t).alias(c) for c, t in ((DATE_EVENT, "bigint"), (LAT, "double"), (LNG, "double"))]
+        return _with_valid(fields.select(*typed, typed_text(raw_of[LOCATION]).alias(LOCATION), *extra))
     # One JSON parse per message: json_tuple returns every field as text (numbers
     # as their literal, objects as JSON text, JSON null as NULL).
     raw_names = [f"_raw_{c}" for c in FLAT_COLUMNS]
@@ -128,7 +166,10 @@ def parse_events(
         lng_c.alias(LNG),
         loc_c.alias(LOCATION),
     ]
-    parsed = raw.select(*out, *[F.col(c) for c in (keep or [])])
+    return _with_valid(raw.select(*out, *[F.col(c) for c in (keep or [])]))
+
+
+def _with_valid(parsed: DataFrame) -> DataFrame:
     valid = F.col(ID).isNotNull() & F.col(EVENT_TYPE).isNotNull() & F.col(DATE_EVENT).isNotNull()
     return parsed.withColumn("valid", valid)
 

@@ -27,7 +27,8 @@ from ..schema import DATE_EVENT, FLAT_COLUMNS, ID, SEQ, ColumnMapping
 from ..session import ensure_checkpoint_dir, shared_path, ship_package
 from ..sources import events as src
 from ..sources import table as tbl
-from .processor import keyed_transitions, keyed_transitions_tws
+from . import batchfold
+from .processor import keyed_transitions, keyed_transitions_tws, last_changes
 
 # Fixed split of the test stream into two arrival windows (2024-01-15 UTC).
 WINDOW_SPLIT = 1705276800000
@@ -42,41 +43,50 @@ def first_hop(
     mapping: ColumnMapping = ColumnMapping(),
     coercion: str = "null",
     list_state: bool = False,
+    late: bool = False,
 ) -> DataFrame:
     """Messages (``value``, ``seq``) -> parsed events -> keyed transition filter.
 
     ``list_state`` keeps a key's history as ``ListState`` (appends per change; needs the
     RocksDB state store) and not as one ``GroupState`` row.  It is part of the stream's
     identity: a checkpoint can only be continued with the form that it was begun with.
-    What is no event (no key, type or date) goes to :func:`rejects`."""
+    ``late`` keeps the rejected late events in the output, marked.  What is no event (no key,
+    type or date) goes to :func:`rejects`."""
     parsed = src.parse_events(messages, mapping, coercion=coercion, keep=[SEQ])
     good, _ = src.split_valid(parsed)
     form = keyed_transitions_tws if list_state else keyed_transitions
-    return form(good, history=history)
+    return form(good, history=history, late=late)
 
 
-def rejects(messages: DataFrame, mapping: ColumnMapping = ColumnMapping()) -> DataFrame:
-    """The messages that are no events: ``seq`` and the message's text, as it came."""
-    parsed = src.parse_events(messages.withColumn("value", F.col("value").cast("string")), mapping, keep=[SEQ, "value"])
+def rejects(messages: DataFrame, mapping: ColumnMapping = ColumnMapping(), coercion: str = "null") -> DataFrame:
+    """The messages that are no events under ``coercion``, the first hop's own: ``seq`` and the
+    message's text, as it came."""
+    messages = messages.withColumn("value", F.col("value").cast("string"))
+    parsed = src.parse_events(messages, mapping, coercion=coercion, keep=[SEQ, "value"])
     _, bad = src.split_valid(parsed)
     return bad.select(SEQ, "value")
 
 
 def write_rejects(
-    messages: DataFrame, write, checkpoint: str, available_now: bool = False, mapping: ColumnMapping = ColumnMapping()
+    messages: DataFrame,
+    write,
+    checkpoint: str,
+    available_now: bool = False,
+    mapping: ColumnMapping = ColumnMapping(),
+    coercion: str = "null",
 ):
     """A stateless stream of :func:`rejects` to ``write(df, batch_id)``."""
-    writer = rejects(messages, mapping).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = rejects(messages, mapping, coercion).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def flat_from_history(rows: DataFrame) -> DataFrame:
-    """The flat change of each history row (both outputs come from one operator)."""
+def flat_from_history(rows: DataFrame, *more: str) -> DataFrame:
+    """The flat change of each history row (all outputs come from one operator)."""
     return rows.select(
         ID, "event_type", DATE_EVENT, F.get("coordinates", 0).alias("lat"), F.get("coordinates", 1).alias("lng"),
-        "location",
+        "location", *more,
     )
 
 
@@ -89,27 +99,46 @@ def first_hop_both(
     mapping: ColumnMapping = ColumnMapping(),
     coercion: str = "null",
     list_state: bool = False,
+    write_late=None,
 ):
-    """First hop with ONE keyed state for both outputs: every micro-batch's
-    history rows (with ``last_seq``) go to ``write_history(df, batch_id)`` and
-    their flat projection to ``write_flat(df, batch_id)`` (one shuffle, one
-    state, instead of two keyed operators over the same stream)."""
+    """First hop with ONE keyed state for all outputs: every micro-batch's
+    history rows (with ``last_seq``) go to ``write_history(df, batch_id)``,
+    their flat projection to ``write_flat(df, batch_id)`` and, if asked for, the late events to
+    ``write_late(df, batch_id)`` (one shuffle, one state, instead of keyed operators of
+    their own over the same stream).
+
+    A batch that fails between two writes is given again, with the same number and rows:
+    :func:`folder_writer` replaces what it had written, :func:`kafka_writer` repeats it."""
 
     def both(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            write_history(batch.withColumnRenamed(SEQ, "last_seq"), batch_id)
-            write_flat(flat_from_history(batch), batch_id)
+            rows = batch
+            if write_late is not None:
+                write_late(flat_from_history(batch.where("late"), SEQ), batch_id)
+                rows = batch.where("NOT late").drop("late")
+            write_history(rows.withColumnRenamed(SEQ, "last_seq"), batch_id)
+            write_flat(flat_from_history(rows), batch_id)
         finally:
             batch.unpersist()
 
-    rows = first_hop(messages, history=True, mapping=mapping, coercion=coercion, list_state=list_state)
+    rows = first_hop(messages, True, mapping, coercion, list_state, late=write_late is not None)
     writer = rows.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
+def folder_writer(path: str, fmt: str = "parquet"):
+    """``(df, batch_id)`` callback writing each batch to a folder of its own, ``batch=<number>``: a
+    batch that is given again replaces its rows.  The parent reads as one table."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return write
+
+
 def kafka_writer(bootstrap_servers: str, topic: str):
     """``(df, batch_id)`` callback writing JSON rows to a Kafka topic.  The record key is
     the row's id: all rows of an id go to one topic partition, in order."""
@@ -242,6 +271,67 @@ def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(SEQ, (F.length("value") > 0).alias("has_text"))
 
 
+def _message_windows(spark: SparkSession, base: str, events: DataFrame, windows):
+    """The stream of the message files under ``base``, once for each arrival window added to them."""
+    for i, window in enumerate(windows):
+        src.to_input_json(events.where(window)).write.mode("overwrite").json(f"{base}/in/w{i}")
+        yield spark.readStream.schema("value string, seq long").json(f"{base}/in/*")
+
+
+def _halves(events: DataFrame):
+    half = int(events.agg(F.expr(f"percentile({SEQ}, 0.5)")).first()[0] or 0)
+    return F.col(SEQ) <= half, F.col(SEQ) > half
+
+
+def q_stream_late_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shuffled arrival in two windows: the late events of the running stream, from the operator
+    that also gives the changes."""
+    base = _prepare(spark)
+    events = src.events_from_table(spark, sf_dir, "shuffled")
+    for stream in _message_windows(spark, base, events, _halves(events)):
+        decided = first_hop(stream, late=True)
+
+        def write(df: DataFrame, batch_id: int) -> None:
+            folder_writer(f"{base}/out")(df, batch_id)
+
+        with _state_partitions(spark):
+            query = decided.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
+            query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out").where("late").select(*FLAT_COLUMNS)
+
+
+def q_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed state that a stream has after two windows, read from its checkpoint."""
+    base = _prepare(spark)
+    events = src.events_from_table(spark, sf_dir, "shuffled")
+    for stream in _message_windows(spark, base, events, _halves(events)):
+        with _state_partitions(spark):
+            run_available(first_hop(stream), f"{base}/out", f"{base}/checkpoint")
+    return last_changes(spark, f"{base}/checkpoint")
+
+
+def _fold_stream(spark: SparkSession, events: DataFrame, windows) -> str:
+    base = _prepare(spark)
+    for stream in _message_windows(spark, base, events, windows):
+        good, _ = src.split_valid(src.parse_events(stream, keep=[SEQ]))
+        batchfold.fold_stream(good, f"{base}/tables", f"{base}/checkpoint", available_now=True).awaitTermination()
+    return f"{base}/tables"
+
+
+def q_stream_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all events on one key, folded batch by batch over as many tasks as they need."""
+    events = src.events_from_table(spark, sf_dir)
+    events = events.withColumn(ID, F.when(F.col(SEQ) % 3 == 0, F.lit("hot")).otherwise(F.col(ID)))
+    path = _fold_stream(spark, events, _windows())
+    return batchfold.changes(spark, path).select(*FLAT_COLUMNS)
+
+
+def q_stream_parts_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest change per key from the history segments that the batches added."""
+    path = _fold_stream(spark, src.events_from_table(spark, sf_dir), _windows())
+    return timetravel.current_state(batchfold.segments(spark, path))
+
+
 def q_stream_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hist.history_text(_run_two_windows(spark, sf_dir, history=True))
 

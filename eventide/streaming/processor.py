@@ -1,10 +1,11 @@
 """Keyed stateful transition filter for Structured Streaming.
 
-One operator does both jobs of the first hop (flat changes and history rows):
-per key it keeps the state ``(type, date)`` of the last accepted event and,
+One operator does all jobs of the first hop (flat changes, history rows and rejected late
+events): per key it keeps the state ``(type, date)`` of the last accepted event and,
 when history output is asked for, the key's accepted changes.  Inside a
 micro-batch a key's rows are folded in ``seq`` order; across micro-batches the
-state carries over (checkpointed with the query).
+state carries over (checkpointed with the query).  With ``late`` the output has the late
+events too, told apart by a ``late`` column, so that one state serves both outputs.
 
 Two equivalent forms:
 
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -43,6 +44,15 @@ from ..session import ship_package
 
 FLAT_OUT = T.StructType(list(FLAT_CHANGE.fields) + [T.StructField(SEQ, T.LongType())])
 HISTORY_OUT = T.StructType(list(HISTORY_ROW.fields) + [T.StructField(SEQ, T.LongType())])
+LATE = "late"
+
+
+def output_schema(history: bool, late: bool) -> T.StructType:
+    """The operator's output; ``late`` adds the column that tells late events from changes."""
+    base = HISTORY_OUT if history else FLAT_OUT
+    return T.StructType([*base.fields, T.StructField(LATE, T.BooleanType())]) if late else base
+
+
 _RULE_STATE = "event_type string, date_event long"
 _HISTORY_STATE = (
     "event_type string, date_event long, dates array<bigint>, types array<string>, "
@@ -58,14 +68,30 @@ def _concat(frames) -> pd.DataFrame:
     return full[0] if len(full) == 1 else pd.concat(full, ignore_index=True)
 
 
-def _accept(key, pdf: pd.DataFrame, state: tuple):
-    """Fold one key's rows of a micro-batch (sorted by seq) from ``state``."""
+def _decide(pdf: pd.DataFrame, state: tuple):
+    """One key's rows of a micro-batch, folded in the order of ``seq`` from ``state``: the
+    accepted rows, the late ones and the new state."""
     pdf = pdf.sort_values(SEQ, kind="stable")
     types = pdf[EVENT_TYPE].to_numpy(dtype=object)
     dates = pdf[DATE_EVENT].to_numpy(dtype=np.int64)
     dec, _, _, _, new_state = fold.fold_segment(types, dates, state)
-    acc = pdf[dec == fold.ACCEPTED]
-    return acc, new_state
+    return pdf[dec == fold.ACCEPTED], pdf[dec == fold.LATE], new_state
+
+
+def _flat_rows(acc: pd.DataFrame, old: pd.DataFrame, late: bool) -> pd.DataFrame:
+    names = FLAT_OUT.names
+    if not late:
+        return acc[names]
+    return pd.concat([acc[names].assign(**{LATE: False}), old[names].assign(**{LATE: True})], ignore_index=True)
+
+
+def _late_rows(key, old: pd.DataFrame) -> pd.DataFrame:
+    """Late events in the columns of history rows; they have no history arrays."""
+    rows = [
+        (key, getattr(r, EVENT_TYPE), int(getattr(r, DATE_EVENT)), _pair(r), getattr(r, LOCATION), None, None, None, None, int(getattr(r, SEQ)), True)
+        for r in old.itertuples(index=False)
+    ]
+    return pd.DataFrame(rows, columns=[*HISTORY_OUT.names, LATE])
 
 
 def _pair(row) -> list:
@@ -88,59 +114,66 @@ def _history_rows(key, acc: pd.DataFrame, dates: list, types: list, coords: list
     return pd.DataFrame(out, columns=[f.name for f in HISTORY_OUT.fields])
 
 
-def _flat_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    (k,) = key
-    pdf = _concat(pdfs)
-    if state.exists:
-        t, d = state.get
-        st = (t, int(d), False)
-    else:
-        st = (INITIAL_TYPE, INITIAL_DATE, True)
-    acc, new_state = _accept(k, pdf, st)
-    if not new_state[2]:
-        state.update((new_state[0], int(new_state[1])))
-    yield acc[[f.name for f in FLAT_OUT.fields]]
-
-
-def _history_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    (k,) = key
-    pdf = _concat(pdfs)
-    if state.exists:
-        t, d, dates, types, coords, locs = state.get
-        st = (t, int(d), False)
-        dates, types, locs = list(dates), list(types), list(locs)
-        coords = [list(c) for c in coords]
-    else:
-        st = (INITIAL_TYPE, INITIAL_DATE, True)
-        dates, types, coords, locs = [], [], [], []
-    acc, new_state = _accept(k, pdf, st)
-    out = _history_rows(k, acc, dates, types, coords, locs)
-    if not new_state[2]:
-        state.update((new_state[0], int(new_state[1]), dates, types, coords, locs))
-    yield out
+def _flat_state_fn(late: bool):
+    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            t, d = state.get
+            st = (t, int(d), False)
+        else:
+            st = (INITIAL_TYPE, INITIAL_DATE, True)
+        acc, old, new_state = _decide(_concat(pdfs), st)
+        if not new_state[2]:
+            state.update((new_state[0], int(new_state[1])))
+        yield _flat_rows(acc, old, late)
 
+    return run
 
-def keyed_transitions(events: DataFrame, history: bool = False) -> DataFrame:
+
+def _history_state_fn(late: bool):
+    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        (k,) = key
+        pdf = _concat(pdfs)
+        if state.exists:
+            t, d, dates, types, coords, locs = state.get
+            st = (t, int(d), False)
+            dates, types, locs = list(dates), list(types), list(locs)
+            coords = [list(c) for c in coords]
+        else:
+            st = (INITIAL_TYPE, INITIAL_DATE, True)
+            dates, types, coords, locs = [], [], [], []
+        acc, old, new_state = _decide(pdf, st)
+        out = _history_rows(k, acc, dates, types, coords, locs)
+        if not new_state[2]:
+            state.update((new_state[0], int(new_state[1]), dates, types, coords, locs))
+        yield out.assign(**{LATE: False}) if late else out
+        if late and len(old):
+            yield _late_rows(k, old)
+
+    return run
+
+
+def keyed_transitions(events: DataFrame, history: bool = False, late: bool = False) -> DataFrame:
     """Streaming (or batch) transition filter with state across micro-batches.
 
     ``events`` needs ``id, event_type, date_event, lat, lng, location, seq``.
-    Output: accepted changes (``history=False``) or history rows, plus ``seq``.  A task
+    Output: accepted changes (``history=False``) or history rows, plus ``seq``; with ``late``
+    also the rejected late events, marked in the column ``late``.  A task
     holds one key's rows of a micro-batch (bound them with the source's rate limit) and,
     for history rows, that key's history."""
     ship_package(events.sparkSession)
     cols = [ID, EVENT_TYPE, DATE_EVENT, LAT, LNG, LOCATION, SEQ]
     grouped = events.select(*cols).groupBy(ID)
-    if history:
-        return grouped.applyInPandasWithState(_history_state_fn, HISTORY_OUT, _HISTORY_STATE, "append", "NoTimeout")
-    return grouped.applyInPandasWithState(_flat_state_fn, FLAT_OUT, _RULE_STATE, "append", "NoTimeout")
+    run, state = (_history_state_fn(late), _HISTORY_STATE) if history else (_flat_state_fn(late), _RULE_STATE)
+    return grouped.applyInPandasWithState(run, output_schema(history, late), state, "append", "NoTimeout")
 
 
 class TransitionProcessor(StatefulProcessor):
     """``transformWithStateInPandas`` form: ValueState for the rule, ListState for
     the history (only when ``history=True``)."""
 
-    def __init__(self, history: bool = False) -> None:
+    def __init__(self, history: bool = False, late: bool = False) -> None:
         self.history = history
+        self.late = late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rule = handle.getValueState("rule", _RULE_STATE)
@@ -157,11 +190,11 @@ class TransitionProcessor(StatefulProcessor):
             st = (t, int(d), False)
         else:
             st = (INITIAL_TYPE, INITIAL_DATE, True)
-        acc, new_state = _accept(k, pdf, st)
+        acc, old, new_state = _decide(pdf, st)
         if not new_state[2]:
             self.rule.update((new_state[0], int(new_state[1])))
         if not self.history:
-            yield acc[[f.name for f in FLAT_OUT.fields]]
+            yield _flat_rows(acc, old, self.late)
             return
         dates, types, coords, locs = [], [], [], []
         if self.changes.exists():
@@ -176,16 +209,31 @@ class TransitionProcessor(StatefulProcessor):
                 [(int(getattr(r, DATE_EVENT)), getattr(r, EVENT_TYPE), *_pair(r), getattr(r, LOCATION))
                  for r in acc.itertuples(index=False)]
             )
-        yield out
+        yield out.assign(**{LATE: False}) if self.late else out
+        if self.late and len(old):
+            yield _late_rows(k, old)
 
     def close(self) -> None:
         pass
 
 
-def keyed_transitions_tws(events: DataFrame, history: bool = False) -> DataFrame:
+def keyed_transitions_tws(events: DataFrame, history: bool = False, late: bool = False) -> DataFrame:
     """:func:`keyed_transitions` on :class:`TransitionProcessor`."""
     ship_package(events.sparkSession)
     cols = [ID, EVENT_TYPE, DATE_EVENT, LAT, LNG, LOCATION, SEQ]
     return events.select(*cols).groupBy(ID).transformWithStateInPandas(
-        TransitionProcessor(history), HISTORY_OUT if history else FLAT_OUT, "Append", "None"
+        TransitionProcessor(history, late), output_schema(history, late), "Append", "None"
     )
+
+
+def last_changes(spark: SparkSession, checkpoint: str, list_state: bool = False) -> DataFrame:
+    """The state of a stream, read from its checkpoint: ``id, event_type, date_event`` of the
+    last accepted change of each key, as of the last finished micro-batch.
+
+    ``list_state``: the stream runs on :class:`TransitionProcessor`."""
+    reader = spark.read.format("statestore")
+    if list_state:
+        rows = reader.option("stateVarName", "rule").load(checkpoint)
+        return rows.select(f"key.{ID}", f"value.{EVENT_TYPE}", f"value.{DATE_EVENT}")
+    rows = reader.load(checkpoint)
+    return rows.select(f"key.{ID}", f"value.groupState.{EVENT_TYPE}", f"value.groupState.{DATE_EVENT}")
