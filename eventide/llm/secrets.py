@@ -5,12 +5,13 @@ between the matches and the matches; the running sum of their lengths gives posi
 code points.  Texts without a match never get that far.
 
 Entropy.  A candidate is a run of letters, digits and ``+/_=-`` that has a digit and a
-letter.  Its class (hexadecimal or base64) sets the threshold.  A window of ``WINDOW``
-characters slides over it: the counts of its characters and ``sum(c * log2 c)`` are
-updated by the character that enters and the one that leaves, so a step costs the same
-whatever the window.  The span runs from the first to the last window over the threshold.
-An allow-list of well-known harmless forms suppresses candidates; the fixed patterns'
-spans are never suppressed.
+letter.  A window of ``WINDOW`` characters slides over it: the counts of its characters and
+``sum(c * log2 c)`` are updated by the character that enters and the one that leaves, so a
+step costs the same whatever the window.  A window's class is that of its own characters
+(hexadecimal if all of them are, else base64) and sets its threshold, so a key is found behind
+a name, ``=`` or a path.  Hot windows that overlap are one stretch, and each stretch a span.
+An allow-list of well-known harmless forms suppresses whole candidates, or stretches by what
+is in them; the fixed patterns' spans are never suppressed.
 """
 
 from __future__ import annotations
@@ -35,20 +36,24 @@ KINDS = {
 _SEARCH = {"assign": KINDS["assign"][0], "access": "AKIA[A-Z0-9]{12,}", "hex": "[0-9a-f]{32,}"}
 
 WINDOW = 20
-#: Least entropy in bits of a window, by class of the candidate.
+#: Least entropy in bits of a window, by its class.
 THRESHOLDS = {"hex": 2.9, "base64": 3.9}
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: For each letter of the alphabet whether it is hexadecimal.
+_IS_HEX = "".join("1" if c in "ABCDEFabcdef0123456789" else "0" for c in _ALPHABET)
 
-#: Candidates that match are no secrets: UUIDs, placeholders, alphabets and digit rows in
-#: order, paths and identifiers made of words.
+#: Candidates that match as a whole are no secrets: UUIDs, paths and identifiers made of words.
 ALLOW = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
-    r"(?i)example|sample|placeholder|changeme|dummy|xxxx|your[_-]",
-    r"(?i)abcdefgh|01234567|12345678|qwertz|qwerty",
     r"^[A-Za-z]{2,}([/_=+-]+([A-Za-z]{2,}|[0-9]{1,6}))+[/_=+-]*$",
     r"(?i)^(data|image|text|application)/",
 )
+#: Stretches that hold one of these are none: placeholders, alphabets and digit rows in order.
+ALLOW_INSIDE = (
+    r"(?i)placeholder|changeme|xxxx|your[_-]",
+    r"(?i)abcdefgh|01234567|12345678|qwertz|qwerty",
+)
 
 _SPANS = "array<struct<s:bigint,e:bigint>>"
 
@@ -87,33 +92,40 @@ def _gain(c: Column) -> Column:
     return term(c + 1) - term(c)
 
 
-def hot_window_span(candidate: Column, window: int = WINDOW) -> Column:
-    """``{s, e}`` inside ``candidate`` from the first to the last window over its class's
-    threshold; ``s`` is NULL where there is none."""
-    is_hex = candidate.rlike("^[0-9a-fA-F]+$")
-    least = F.when(is_hex, F.lit(THRESHOLDS["hex"])).otherwise(F.lit(THRESHOLDS["base64"]))
+def hot_stretches(candidate: Column, window: int = WINDOW) -> Column:
+    """Spans ``{s, e}`` inside ``candidate``: its runs of overlapping windows whose entropy is
+    over the threshold of the window's class."""
     letters = F.array(*map(F.lit, _ALPHABET))
     codes = F.transform(F.split(candidate, ""), lambda ch: F.array_position(letters, ch).cast("int"))
-    codes = F.filter(codes, lambda c: c > 0)
-    # The codes and the threshold are bound as a lambda's variable, so they are made once.
-    bound = F.array(F.struct(codes.alias("codes"), least.alias("least")))
+    # The codes are bound as a lambda's variable, so they are made once.
+    bound = F.array(F.filter(codes, lambda c: c > 0))
+    none = F.lit(None).cast("bigint")
+
+    def other(code: Column) -> Column:
+        """1 for the code of a character that is not hexadecimal."""
+        return F.when(code.isNull() | F.substring(F.lit(_IS_HEX), code, 1).eqNullSafe("1"), 0).otherwise(1)
 
     def scan(b: Column) -> Column:
         start = F.struct(
             F.array_repeat(F.lit(0), len(_ALPHABET)).alias("counts"),
             F.lit(0.0).alias("sum"),
-            F.lit(None).cast("int").alias("s"),
-            F.lit(None).cast("int").alias("e"),
+            F.lit(0).alias("others"),
+            none.alias("s"),
+            none.alias("e"),
+            F.array().cast(_SPANS).alias("out"),
         )
 
         def step(acc: Column, i: Column) -> Column:
-            into = F.get(b["codes"], i)
-            out = F.when(i >= window, F.get(b["codes"], i - window))
+            into = F.get(b, i)
+            out = F.when(i >= window, F.get(b, i - window))
             had = F.get(acc["counts"], into - 1)
             leaves = F.get(acc["counts"], out - 1) + F.when(into == out, 1).otherwise(0)
             total = acc["sum"] + _gain(had) - F.coalesce(_gain(leaves - 1), F.lit(0.0))
-            entropy = F.lit(math.log2(window)) - total / window
-            hot = (i >= window - 1) & (entropy >= b["least"])
+            others = acc["others"] + other(into) - other(out)
+            least = F.when(others == 0, F.lit(THRESHOLDS["hex"])).otherwise(F.lit(THRESHOLDS["base64"]))
+            hot = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least)
+            first = (i - window + 1).cast("bigint")
+            apart = hot & (acc["s"].isNull() | (first > acc["e"]))
             counts = F.transform(
                 acc["counts"],
                 lambda c, k: c
@@ -123,40 +135,46 @@ def hot_window_span(candidate: Column, window: int = WINDOW) -> Column:
             return F.struct(
                 counts.alias("counts"),
                 total.alias("sum"),
-                F.when(hot & acc["s"].isNull(), i - window + 1).otherwise(acc["s"]).alias("s"),
-                F.when(hot, i + 1).otherwise(acc["e"]).alias("e"),
+                others.alias("others"),
+                F.when(apart, first).otherwise(acc["s"]).alias("s"),
+                F.when(hot, (i + 1).cast("bigint")).otherwise(acc["e"]).alias("e"),
+                F.when(apart, ended(acc)).otherwise(acc["out"]).alias("out"),
             )
 
-        steps = F.sequence(F.lit(0), F.size(b["codes"]) - 1)
-        return F.aggregate(steps, start, step, lambda acc: F.struct(acc["s"].alias("s"), acc["e"].alias("e")))
+        def ended(acc: Column) -> Column:
+            return F.when(acc["s"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), acc["e"].alias("e")))))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(b) - 1), start, step, ended)
 
     return F.get(F.transform(bound, scan), F.lit(0))
 
 
-def entropy_spans(text: Column, allow: tuple[str, ...] = ALLOW) -> Column:
+def entropy_spans(text: Column, allow: tuple[str, ...] = ALLOW, inside: tuple[str, ...] = ALLOW_INSIDE) -> Column:
     """Spans ``{s, e}`` found by entropy, in order; NULL for a text without a candidate."""
     between = F.transform(F.split(text, CANDIDATE, -1), lambda x: F.length(x).cast("long"))
     runs = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     found = F.arrays_zip(F.slice(between, F.lit(1), F.size(runs)).alias("b"), runs.alias("r"))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("out"))
 
-    def harmless(run: Column) -> Column:
-        out = ~(run.rlike("[0-9]") & run.rlike("[A-Za-z]"))
-        for pattern in allow:
-            out = out | run.rlike(pattern)
+    def any_of(x: Column, patterns: tuple[str, ...]) -> Column:
+        out = F.lit(False)
+        for pattern in patterns:
+            out = out | x.rlike(pattern)
         return out
 
+    def mixed(x: Column) -> Column:
+        return x.rlike("[0-9]") & x.rlike("[A-Za-z]")
+
     def step(acc: Column, m: Column) -> Column:
         s = acc["at"] + m["b"]
 
-        def add(hot: Column) -> Column:
-            span = F.array(F.struct((s + hot["s"]).alias("s"), (s + hot["e"]).alias("e")))
-            return F.when(hot["s"].isNotNull(), F.concat(acc["out"], span)).otherwise(acc["out"])
+        def secret(span: Column) -> Column:
+            part = F.substring(m["r"], (span["s"] + 1).cast("int"), (span["e"] - span["s"]).cast("int"))
+            return mixed(part) & ~any_of(part, inside)
 
-        more = F.get(F.transform(F.array(hot_window_span(m["r"])), add), F.lit(0))
-        return F.struct(
-            (s + F.length(m["r"])).alias("at"), F.when(harmless(m["r"]), acc["out"]).otherwise(more).alias("out")
-        )
+        hot = F.transform(F.filter(hot_stretches(m["r"]), secret), lambda x: F.struct((s + x["s"]).alias("s"), (s + x["e"]).alias("e")))
+        more = F.when(mixed(m["r"]) & ~any_of(m["r"], allow), hot).otherwise(F.array().cast(_SPANS))
+        return F.struct((s + F.length(m["r"])).alias("at"), F.concat(acc["out"], more).alias("out"))
 
     return F.when(text.rlike(CANDIDATE), F.aggregate(found, start, step, lambda acc: acc["out"]))
 
