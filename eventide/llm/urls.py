@@ -35,6 +35,8 @@ SOFT_TERMS = {
     "discount": 0.5, "offer": 0.5, "bets": 1.5, "spam": 1.5, "farm": 1.0, "ads": 1.0, "track": 1.0,
 }
 SOFT_DISTINCT = 2
+#: Terms that a vocabulary table may have at most: they go to every task.
+MOST_TERMS = 500_000
 SOFT_WEIGHT = 2.0
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,6 +70,22 @@ def build_automaton(strict: Sequence[str], soft: dict[str, float]):
     return automaton
 
 
+def vocabulary(table: DataFrame, most: int = MOST_TERMS) -> tuple[list[str], dict[str, float]]:
+    """(strict, soft) terms for ``judge_urls`` from a table of ``term, weight``; a NULL weight is
+    strict, and so is a term that stands there as both.
+
+    Terms are lower-cased (A-Z) and trimmed; empty and NULL ones say nothing; of repeated soft
+    terms the largest weight counts.  A table of over ``most`` terms is an error, as all tasks get
+    a copy."""
+    term = F.trim(F.translate(F.col("term"), _UPPER, _LOWER))
+    rows = table.select(term.alias("term"), F.col("weight").cast("double").alias("weight")).where("term <> ''")
+    rows = rows.groupBy("term").agg(F.max(F.col("weight").isNull()).alias("strict"), F.max("weight").alias("weight"))
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"a vocabulary of over {most} terms")
+    return sorted(r.term for r in found if r.strict), {r.term: r.weight for r in sorted(found) if not r.strict}
+
+
 def judge_urls(
     pages: DataFrame,
     *,

@@ -140,3 +140,43 @@ def test_urls_against_sql(spark):
     assert by["http://x.org/casino"][4] == "block" and by["http://x.org/casinos"][4] == "allow"
     assert by["http://x.org/free-bets"][4] == "block" and by["http://x.org/free/free"][4] == "allow"
     assert urls.judge_urls(df.limit(0)).count() == 0
+
+
+def test_vocabulary_table(spark, tmp_path):
+    """A vocabulary of some size from a file, against plain boundary checks."""
+    rng = random.Random(6)
+    stems = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 5))) for _ in range(4000)]
+    rows = [(t if i % 9 else f" {t.upper()} ", None if i % 13 == 0 else rng.choice([0.5, 1.0, 1.5])) for i, t in enumerate(stems)]
+    rows += [(None, 1.0), ("", None), ("free win", 1.0)]
+    spark.createDataFrame(rows, "term string, weight double").write.parquet(str(tmp_path / "terms"))
+    strict, soft = urls.vocabulary(spark.read.parquet(str(tmp_path / "terms")))
+    low = [(t.strip().lower(), w) for t, w in rows if t]
+    assert set(strict) == {t for t, w in low if w is None} and not set(strict) & set(soft)
+    assert soft == {t: max(w for x, w in low if x == t) for t in {t for t, _ in low} - set(strict)}
+    words = [*stems, "zzz", "page", "index"]
+    texts = [f"http://{rng.choice(words)}.org/{rng.choice(words)}{rng.choice(['/', '-', 'x', '_', '%20'])}{rng.choice(words)}" for _ in range(500)]
+    got = urls.judge_urls(spark.createDataFrame(list(enumerate(texts)), "page_id long, url string"), strict=strict, soft=soft, rules=[])
+    seen = set()
+    for r in got.collect():
+        found = {t for t in {*strict, *soft} if re.search(rf"(?<![a-z0-9]){re.escape(t)}(?![a-z0-9])", texts[r.page_id])}
+        hard, light = found & set(strict), found & set(soft)
+        weight = sum(soft[t] for t in light)
+        assert (r.n_strict, r.n_soft, round(r.soft_weight, 6)) == (len(hard), len(light), round(weight, 6))
+        assert r.verdict == ("block" if hard or (len(light) >= 2 and weight >= 2.0) else "allow")
+        seen.add(r.verdict)
+    assert seen == {"block", "allow"}
+    with pytest.raises(ValueError):
+        urls.vocabulary(spark.read.parquet(str(tmp_path / "terms")), most=100)
+
+
+def test_other_tokenizers_are_refused_or_right(spark):
+    """A tokenizer that breaks an assumption is an error, never a wrong count."""
+    df = spark.createDataFrame([(1, "Hello world. Hello, WORLD"), (2, " a  b\n")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        tokens.count_tokens(df, tokenizer_path("byte_bpe_50k.json"))
+    from tokenizers import Tokenizer
+
+    word = Tokenizer.from_file(tokenizer_path())
+    assert tokens.parts_at_blanks(word) and tokens.folds_case_and_marks(word)
+    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(df, tokenizer_path()).collect()}
+    assert got == {r.doc_id: len(word.encode(r.text, add_special_tokens=False).ids) for r in df.collect()}
