@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import decontam, language, lines, merkle, mixing, neardup, prefixjoin, quality, secrets, tokens, trie, urls, warc
 from eventide.llm.common import table
+from eventide.llm.links import similar_sets_sql
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -77,4 +78,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_urls": urls.oracle(), "op11_merkle": merkle.oracle(), "op12_trie": trie.oracle()}
+    return {
+        "op2_warc": warc.oracle(),
+        "op8_urls": urls.oracle(),
+        "op10_neardup": similar_sets_sql(4, 80, ", min(other) = doc_id AS kept"),
+        "op11_merkle": merkle.oracle(),
+        "op12_trie": trie.oracle(),
+        "op13_prefixjoin": similar_sets_sql(5, 80),
+    }

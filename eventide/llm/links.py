@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import scratch_scope, written
+from eventide.llm.common import WORD, scratch_scope, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -132,3 +132,23 @@ def _linked(entries: DataFrame, verify, nodes: DataFrame | None, condition) -> D
     # The first round's stars stand for its links.
     stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
     return components(stars.union(more.select("a", "b")))
+
+
+def similar_sets_sql(ngram: int, percent: int, last: str = "") -> str:
+    """DuckDB SQL of the components of ``documents`` by the similarity of their shingle sets;
+    ``last``: further output columns.  Counts all pairs that share a shingle."""
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}')"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, hash(s) AS s FROM (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - {ngram}, 0) + 2), lambda i: array_to_string(w[i:i + {ngram - 1}], ' '))) AS s
+    FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= {percent} * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT edges.y, other FROM reached JOIN edges ON edges.x = reached.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id{last}
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
