@@ -18,11 +18,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .functions import timefmt
+from .operators import history as hist
 from .operators import timetravel
 from .schema import ColumnMapping
 from .session import ensure_checkpoint_dir, ship_package
 from .sources import events as src
-from .sources import files, table
+from .sources import files, parts, table
 from .streaming import jobs
 
 
@@ -76,9 +77,12 @@ def reader(spark: SparkSession, a) -> None:
     at = timefmt.event_time_literal(spark, a.date, a.time)
     if at is None:
         raise SystemExit(f"not a valid date/time: {a.date} {a.time}")
-    hist_table = table.read_table(spark, a.table, version=a.version, fmt=a.format)
+    if a.format == "parquet" and parts.exists(spark, a.table):
+        hist_table = parts.read_parts(spark, a.table, hist.SEGMENT_ROW, upto=a.version)
+    else:
+        hist_table = table.read_table(spark, a.table, version=a.version, fmt=a.format)
     print("current state")
-    hist_table.select("id", "event_type", "date_event", "location").show()
+    timetravel.current_state(hist_table).select("id", "event_type", "date_event", "location").show()
     print(f"state as of {at}")
     timetravel.asof_snapshot(hist_table, at).show()
     ids = timefmt.parse_ids(a.ids)

@@ -33,11 +33,15 @@ def _read(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> Da
     return spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])).parquet(_folder(path, kind))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table of parts at ``path``."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(path, _PARTS))
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+
+
 def ensure(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create the table, empty (version 0), if there is none."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(_folder(path, _PARTS))
-    if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+    if not exists(spark, path):
         empty = spark.createDataFrame([], schema)
         _write(empty, path, _BASE, 0)
         _write(empty, path, _PARTS, 0)
