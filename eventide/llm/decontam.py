@@ -9,10 +9,10 @@ The benchmark's items are the queries, all passages of all documents are searche
    of each item.
 2. Passages are overlapping windows: ``stride`` words apart, as long as the longest item
    and a stride, so that some window holds any copy of an item whole.
-3. A distributed randomised SVD of the TF-IDF passages gives the latent space: tasks add
-   up ``A'(A Q)`` over the items and a bounded sample of the corpus's passages (both
-   sides weigh the same), Spark sums the tasks' parts, the driver only orthogonalises
-   the (features x rank) sums.
+3. A distributed randomised SVD of the TF-IDF passages gives the latent space: one pass
+   over all passages of the corpus adds up ``A'A`` in blocks, tasks multiply those with
+   ``Q`` (the items and the passages weigh the same), Spark sums the tasks' parts, the
+   driver only orthogonalises the (features x rank) sums.
 4. Cosine search: each task projects its windows and multiplies them with the items'
    latent vectors.  Nothing is shuffled.
 5. Candidates are checked by words: the longest common subsequence of item and window,
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import written
+from eventide.llm.common import scratch_scope, written
 from eventide.llm.neardup import word_hashes
 from eventide.session import ship_package
 
@@ -45,8 +45,6 @@ RANK = 192
 OVERSAMPLE = 16
 COMMON_PERCENT = 5
 LEAST_FEATURES = 6
-#: The latent space is fitted on the items and about so many documents at most.
-FIT_DOCS = 5_000
 COSINE = 0.45
 #: Shares of an item's words, in order: enough by itself, or with the answer's.
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.55, 0.6
@@ -54,6 +52,10 @@ VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.55, 0.6
 ANSWER_PART = 0.25
 SLICE_BYTES = 2 << 20
 FEATURE_BLOCK = 512
+#: Cells in a block of the passages' ``A'A`` (a row of it at least).
+GRAM_BLOCK = 1 << 16
+#: Pairs that are formed at once, and summed cells that a task holds.
+GRAM_PAIRS, GRAM_HELD = 1 << 20, 1 << 22
 
 #: Bytes of ASCII characters that are no letters or digits become blanks.
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -165,9 +167,10 @@ def window_vectors(index: Index, first: np.ndarray, total: np.ndarray, f: np.nda
     if not len(used):
         return out
     lengths = total[used + 1] - total[used]
-    starts = np.cumsum(np.concatenate([[0], lengths[:-1]]))
-    rows = np.repeat(total[used] - starts, lengths) + np.arange(int(lengths.sum()))
-    sums = np.add.reduceat(table[f[rows]], starts, axis=0)
+    sums = table[f[total[used]]]
+    for k in range(1, int(lengths.max())):  # blocks hold few features, at most their words
+        more = np.flatnonzero(lengths > k)
+        sums[more] += table[f[total[used[more]] + k]]
     for k in range(index.window):
         at = np.searchsorted(used, first + k)
         here = (at < len(used)) & (used[np.minimum(at, len(used) - 1)] == first + k)
@@ -251,82 +254,170 @@ def item_rows(index: Index) -> np.ndarray:
     return _unit(rows)
 
 
-def fit_latent(index: Index, docs: DataFrame, rank: int, stride: int, fit_docs: int, seed: int = 0) -> None:
+def fit_latent(index: Index, docs: DataFrame, rank: int, stride: int, seed: int = 0) -> None:
     """Randomised SVD of the TF-IDF passages: sets ``index.basis`` and ``index.latent``.
 
     Two rounds of ``Q <- orth(A'(A Q))`` from a random start, then the singular vectors
-    inside ``Q``'s space.  The products over the sample's passages are summed by Spark.
+    inside ``Q``'s space.  The products are made with ``gram``'s ``A'A`` of all passages.
     """
-    n = docs.count()
-    sample = docs
-    if n > fit_docs:
-        sample = docs.where(F.pmod(F.xxhash64(F.lit("latent"), "text"), F.lit(1 << 31)) < int(fit_docs / n * (1 << 31)))
-    sample = written(sample.select("text"), "latent-sample")
     n_f = len(index.features)
     q = np.random.default_rng(seed).normal(size=(n_f, min(n_f, rank + OVERSAMPLE)))
     items = item_rows(index)
+    with scratch_scope(docs.sparkSession):
+        blocks = written(gram(index, docs, stride), "latent-gram")
+        mass = blocks.agg(F.sum("mass")).first()[0] or 0.0
+
+        def product(q: np.ndarray) -> np.ndarray:
+            return items.T @ (items @ q) / len(items) + gram_product(blocks, q) / max(mass, 1.0)
 
-    def product(q: np.ndarray) -> np.ndarray:
-        shared = sample.sparkSession.sparkContext.broadcast((index, q.astype(np.float32)))
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index, q = shared.value
-            table = (q * index.weight[:, None]).astype(np.float32)
-            out, mass = np.zeros(q.shape), 0.0
-            for batch in batches:
-                for _, hashes, begins in slices(_texts(batch.column(0))):
-                    first, _, _, total, f = windows(index, hashes, begins, stride)
-                    if not len(first):
-                        continue
-                    # Rows of unit length: a row's norm from its features' counts.
-                    for part in np.array_split(np.arange(len(first)), -(-len(first) // 2000)):
-                        sparse_rows(index, first[part], total, f, table, out)
-                        mass += len(part)
-            blocks = range(0, len(out), FEATURE_BLOCK)
-            data = [out[b : b + FEATURE_BLOCK].tobytes() for b in blocks]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(blocks), pa.int64()), pa.array(data, pa.binary()), pa.array([mass] * len(data))],
-                names=["block", "data", "mass"],
-            )
-
-        def total_of(pdf: pd.DataFrame) -> pd.DataFrame:
-            data = sum(np.frombuffer(d) for d in pdf["data"])
-            return pd.DataFrame({"block": pdf["block"][:1], "data": [data.tobytes()], "mass": [pdf["mass"].sum()]})
-
-        schema = "block long, data binary, mass double"
-        parts = sample.mapInArrow(add, schema).groupBy("block").applyInPandas(total_of, schema).collect()
-        out, mass = np.zeros(q.shape), 0.0
-        for r in parts:
-            data = np.frombuffer(bytes(r.data)).reshape(-1, q.shape[1])
-            out[r.block : r.block + len(data)] = data
-            mass = r.mass
-        shared.unpersist()
-        return items.T @ (items @ q) / len(items) + out / max(mass, 1.0)
-
-    q, _ = np.linalg.qr(product(q))
-    g = product(q)
-    q, _ = np.linalg.qr(g)
-    values, u = np.linalg.eigh((m := q.T @ product(q)) + m.T)
+        q, _ = np.linalg.qr(product(q))
+        q, _ = np.linalg.qr(product(q))
+        values, u = np.linalg.eigh((m := q.T @ product(q)) + m.T)
     basis = q @ u[:, np.argsort(-values)[:rank]]
     index.basis = (basis * index.weight[:, None]).astype(np.float32)
     index.latent = _unit(items @ basis).astype(np.float32)
 
 
-def sparse_rows(index: Index, first, total, f, table, out) -> None:
-    """Adds ``a (a' Q)`` of the unit TF-IDF rows ``a`` of some windows to ``out``."""
+def unit_rows(index: Index, first, total, f) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows, features, values) of the unit TF-IDF rows of some windows, in order."""
     lengths = total[first + index.window] - total[first]
     starts = np.cumsum(np.concatenate([[0], lengths[:-1]]))
     rows = np.repeat(total[first] - starts, lengths) + np.arange(int(lengths.sum()))
-    feature, window = f[rows], np.repeat(np.arange(len(first)), lengths)
-    cell, count = np.unique(window * len(index.features) + feature, return_counts=True)
+    window = np.repeat(np.arange(len(first)), lengths)
+    cell, count = np.unique(window * len(index.features) + f[rows], return_counts=True)
     window, feature = cell // len(index.features), cell % len(index.features)
     value = count * index.weight[feature]
     norm = np.sqrt(np.bincount(window, value**2, minlength=len(first)))
-    projected = np.add.reduceat(table[f[rows]], starts, axis=0) / norm[:, None]
-    order = np.argsort(feature, kind="stable")
-    feature, window, value = feature[order], window[order], value[order]
-    at = np.flatnonzero(np.diff(feature, prepend=-1))
-    out[feature[at]] += np.add.reduceat(projected[window] * (value / norm[window])[:, None], at, axis=0)
+    return window, feature, value / norm[window]
+
+
+def row_products(n_f: int, window, feature, value) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(cells, sums) of the lower triangles of ``a a'`` of the rows ``a``, in bounded parts."""
+    # Each value of a row with those up to it.
+    pairs = np.arange(len(window)) - np.searchsorted(window, window) + 1
+    ends = np.cumsum(pairs)
+    at = 0
+    while at < len(window):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + GRAM_PAIRS)))
+        n = pairs[at:stop]
+        x = np.repeat(np.arange(at, stop), n)
+        y = x + np.arange(1, len(x) + 1) - np.repeat(np.cumsum(n), n)
+        yield summed_cells(feature[x] * n_f + feature[y], value[x] * value[y])
+        at = stop
+
+
+def summed_cells(cell: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(cell)
+    cell = cell[order]
+    at = np.flatnonzero(np.diff(cell, prepend=-1))
+    return cell[at], np.add.reduceat(value[order], at)
+
+
+def gram(index: Index, docs: DataFrame, stride: int) -> DataFrame:
+    """``block, cells, sums, mass``: ``A'A`` over the unit TF-IDF rows of all passages, its
+    lower triangle in blocks of rows.
+
+    Windows hold few features, so a task's products fall into few cells.  Each block is the
+    sum of all tasks' parts of it; the size is bounded by the features, not by the corpus.
+    ``mass`` adds up to the number of passages.
+    """
+    n_f = len(index.features)
+    size = max(1, GRAM_BLOCK // n_f) * n_f
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    schema = "block long, cells binary, sums binary, mass double"
+
+    def block_rows(blocks, cells, sums, mass) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.float64()]
+        data = [blocks, [c.astype(np.int32).tobytes() for c in cells], [s.astype(np.float32).tobytes() for s in sums], mass]
+        return pa.RecordBatch.from_arrays([pa.array(d, k) for d, k in zip(data, kinds, strict=True)], names=["block", "cells", "sums", "mass"])
+
+    def in_blocks(cell: np.ndarray, value: np.ndarray, mass: float) -> Iterator[pa.RecordBatch]:
+        block = cell // size
+        cuts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(cell)], strict=True):
+            yield block_rows([block[a]], [cell[a:b] - block[a] * size], [value[a:b]], [0.0 if a else mass])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        held, n, mass = [], 0, 0.0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return summed_cells(*map(np.concatenate, zip(*held, strict=True)))
+
+        for batch in batches:
+            for _, hashes, begins in slices(_texts(batch.column(0))):
+                first, _, _, total, f = windows(index, hashes, begins, stride)
+                for part in np.array_split(np.arange(len(first)), -(-len(first) // 2000)) if len(first) else ():
+                    mass += len(part)
+                    for found in row_products(n_f, *unit_rows(index, first[part], total, f)):
+                        held.append(found)
+                        n += len(found[0])
+                        if n > GRAM_HELD:
+                            held = [merged()]
+                            n = len(held[0][0])
+                        if n > GRAM_HELD // 2 and len(held) == 1:
+                            yield from in_blocks(*held[0], mass)
+                            held, n, mass = [], 0, 0.0
+        if held:
+            yield from in_blocks(*merged(), mass)
+
+    def total_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sums, mass = None, np.zeros(size), 0.0
+
+        def out() -> pa.RecordBatch:
+            cells = np.flatnonzero(sums)
+            return block_rows([at], [cells], [sums[cells]], [mass])
+
+        for batch in batches:
+            for block, cells, values, m in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if block != at:
+                    if at is not None:
+                        yield out()
+                    at, mass = block, 0.0
+                    sums[:] = 0.0
+                sums[np.frombuffer(cells, np.int32)] += np.frombuffer(values, np.float32)
+                mass += m
+        if at is not None:
+            yield out()
+
+    found = docs.where("text IS NOT NULL").select("text").mapInArrow(parts, schema)
+    return found.repartition("block").sortWithinPartitions("block").mapInArrow(total_of, schema)
+
+
+def gram_product(blocks: DataFrame, q: np.ndarray) -> np.ndarray:
+    """``A'A Q`` from the blocks of ``gram``."""
+    rows = max(1, GRAM_BLOCK // len(q))
+    shared = blocks.sparkSession.sparkContext.broadcast(q.astype(np.float32))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
+        out = np.zeros(q.shape)
+        for batch in batches:
+            for block, cells, sums in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                a = block * rows
+                b = min(a + rows, len(q))
+                part = np.zeros(rows * len(q), np.float32)
+                part[np.frombuffer(cells, np.int32)] = np.frombuffer(sums, np.float32)
+                part = part.reshape(rows, len(q))[: b - a, :b]
+                out[a:b] += part @ q[:b]
+                part[np.arange(b - a), np.arange(a, b)] = 0
+                out[:b] += part.T @ q[a:b]
+        at = [b for b in range(0, len(out), FEATURE_BLOCK) if out[b : b + FEATURE_BLOCK].any()]
+        data = [out[b : b + FEATURE_BLOCK].tobytes() for b in at]
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(data, pa.binary())], names=["block", "data"])
+
+    def total_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        data = sum(np.frombuffer(d) for d in pdf["data"])
+        return pd.DataFrame({"block": pdf["block"][:1], "data": [data.tobytes()]})
+
+    schema = "block long, data binary"
+    parts = blocks.select("block", "cells", "sums").mapInArrow(add, schema).groupBy("block").applyInPandas(total_of, schema).collect()
+    out = np.zeros(q.shape)
+    for r in parts:
+        data = np.frombuffer(bytes(r.data)).reshape(-1, q.shape[1])
+        out[r.block : r.block + len(data)] = data
+    shared.unpersist()
+    return out
 
 
 def passes(lcs: float, said: float) -> bool:
@@ -391,7 +482,6 @@ def contaminated(
     rank: int = RANK,
     stride: int = STRIDE,
     cosine: float = COSINE,
-    fit_docs: int = FIT_DOCS,
     items_at_once: int = ITEMS,
 ) -> DataFrame:
     """A row per document and item that it holds: ``id_col, item_col, cosine, lcs, answer, at``.
@@ -426,7 +516,7 @@ def contaminated(
         index = make_index(block, d, stride)
         if index is None:
             continue
-        fit_latent(index, d, rank, stride, fit_docs)
+        fit_latent(index, d, rank, stride)
         part = _search(d, index, out, stride, cosine)
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], out) if found is None else found

@@ -116,6 +116,27 @@ def test_latent_space_is_that_of_a_plain_svd(spark):
     assert np.trace(basis.T @ gram @ basis) >= 0.95 * best
 
 
+def test_latent_space_is_fitted_on_all_passages(spark, monkeypatch):
+    """More than 5,000 documents: every passage is in the products, as one by one."""
+    monkeypatch.setattr(decontam, "GRAM_BLOCK", 1 << 12)
+    items, docs, _ = fixture()
+    rng = random.Random(2)
+    docs = [*docs, None, "", *(" ".join(rng.choices(items[i % 60].split(), k=rng.randint(1, 40))) for i in range(5_500))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "id long, text string").repartition(5)
+    index = decontam.make_index([(i, t, None) for i, t in enumerate(items)], df, 32)
+    rows = []
+    for t in docs:
+        for _, hashes, begins in decontam.slices([decontam.normal_bytes(t)]):
+            first, _, _, total, f = decontam.windows(index, hashes, begins, 32)
+            rows += [np.bincount(f[total[w] : total[w + index.window]], minlength=len(index.features)) for w in first]
+    rows = decontam._unit(np.array(rows) * index.weight)
+    blocks = decontam.gram(index, df, 32).cache()
+    assert sum(r.mass for r in blocks.collect()) == len(rows) > 5_500
+    q = np.random.default_rng(1).normal(size=(len(index.features), 7))
+    want = rows.T @ (rows @ q)
+    assert np.abs(decontam.gram_product(blocks, q) - want).max() < 1e-4 * np.abs(want).max()
+
+
 def test_a_passing_stretch_is_not_hidden():
     """Beside a stretch with more of the item's words, one that passes by its answer counts."""
     item = list(range(20))
