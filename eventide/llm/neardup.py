@@ -2,7 +2,8 @@
 
 1. Signatures.  A narrow pass over Arrow batches hashes the words and the word shingles
    of each whole text with numpy.  It keeps the number of distinct shingles, a 126-bit
-   fingerprint of the whole set and the ``k`` smallest shingle hashes (the sketch).
+   fingerprint of the whole set, the ``k`` smallest shingle hashes (the sketch) and
+   ``PARITY`` bits: how many shingles fall to each, modulo two.
 2. Classes.  Documents with equal sets are one class from here on.
 3. Inverted lists of retained values.  Sketches of sets with a Jaccard similarity of 0.8
    share 0.8 to 0.89 of their values (by the sets' sizes), and six standard deviations
@@ -13,7 +14,10 @@
    document.
 4. Overlaps.  ``links.linked_groups`` forms the pairs: with each list's hub, and then of
    nodes that are not connected yet.  The latter are formed in the list of their first
-   shared value only, and only if the shared values are enough.
+   shared value only, and only if the shared values are enough.  Before that, bits that differ
+   are as many shingles at least that one set only has: exact, and it leaves hardly a pair
+   below the similarity in sets of up to some twice ``PARITY`` shingles, so a group of copies
+   that are almost alike forms no pairs for nothing.
 5. The union sketch (the ``k`` smallest of both) estimates the similarity and filters;
    whole sets then decide.
 """
@@ -33,6 +37,8 @@ from eventide.llm.links import linked_groups
 from eventide.session import ship_package
 
 SKETCH = 128
+#: Bits of the parities, in longs of 64.
+PARITY = 1024
 #: Standard deviations that an estimate may stay below its expectation.
 SIGMAS = 6
 #: Texts are hashed in slices of about so many bytes, and of so many rows.
@@ -140,6 +146,11 @@ def batch_sets(texts: list[bytes], n: int, slice_bytes: int = SLICE_BYTES) -> It
         i = j
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """The parity of the elements that fall to each of ``PARITY`` bits, as longs."""
+    return np.packbits((np.bincount(s & (PARITY - 1), minlength=PARITY) & 1).astype(bool)).view(np.int64)
+
+
 def _sets_of(column: pa.Array, ngram: int) -> Iterator[np.ndarray]:
     for at in range(0, len(column), SLICE_ROWS):
         texts = column.slice(at, SLICE_ROWS).cast(pa.large_binary()).to_pylist()
@@ -147,23 +158,26 @@ def _sets_of(column: pa.Array, ngram: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, ngram: int, k: int) -> DataFrame:
-    """``id, n_shingles, f1, f2, sketch`` of each row: a narrow pass."""
+    """``id, n_shingles, f1, f2, sketch, parity`` of each row: a narrow pass."""
     ship_package(docs.sparkSession)
-    out = T.StructType.fromDDL("id long, n_shingles long, f1 long, f2 long, sketch array<long>")
+    out = T.StructType.fromDDL("id long, n_shingles long, f1 long, f2 long, sketch array<long>, parity array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, f1, f2, sketches = [], [], [], []
+            sizes, f1, f2, sketches, parity = [], [], [], [], []
             for s in _sets_of(batch.column(1), ngram):
                 u = s.view(np.uint64)
                 sizes.append(len(s))
                 f1.append(int(np.bitwise_xor.reduce(_mix(u)) >> np.uint64(1)) if len(u) else 0)
                 f2.append(int(_mix(u * np.uint64(_BASE)).sum() >> np.uint64(1)) if len(u) else 0)
                 sketches.append(s[:k])
+                parity.append(parities(s))
             offsets = np.cumsum([0] + [len(s) for s in sketches]).astype(np.int32)
             flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
-            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, f1, f2)), lists]
+            flat = np.concatenate(parity) if parity else np.zeros(0, np.int64)
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(parity) + 1, dtype=np.int32) * (PARITY // 64)), pa.array(flat, pa.int64()))
+            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, f1, f2)), lists, bits]
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, out)
@@ -201,7 +215,7 @@ def least_shared(k: int, share: float) -> int:
 
 def _enough_shared(percent: int, k: int):
     """Necessary for a similarity of ``percent``, over the shared values of two sketches
-    (``values``, rarest first, as 31-bit numbers) and the sets' sizes ``n``.
+    (``values``, rarest first, as 31-bit numbers), the sets' sizes ``n`` and parities ``p0, ...``.
 
     It holds in the list of the first shared value only, so that a pair is formed once."""
     s = percent / 100
@@ -214,8 +228,11 @@ def _enough_shared(percent: int, k: int):
         sketched = k * share - SIGMAS * F.sqrt(k * share * (1 - F.least(share, F.lit(1.0))))
         whole = (small + large) * (s / (1 + s)) - 1e-9
         need = F.when(large <= k, whole).otherwise(sketched)
+        # Shingles of one set only: as many as bits differ, at least.
+        unequal = sum((F.bit_count(a(f"p{i}").bitwiseXOR(b(f"p{i}"))) for i in range(PARITY // 64)), F.lit(0))
         return (
             (small * 100 >= large * percent)
+            & (unequal * (100 + percent) <= (small + large) * (100 - percent))
             & (F.get(common, F.lit(0)) == _short(a("key")))
             & (F.size(common) >= need)
         )
@@ -268,7 +285,7 @@ def near_duplicates(
         classes = (
             signed.where("n_shingles > 0")
             .groupBy(*identity)
-            .agg(F.min("id").alias("node"), F.first("sketch").alias("sketch"))
+            .agg(F.min("id").alias("node"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity"))
             .where("node IS NOT NULL")
         )
         classes = written(classes, "classes")
@@ -282,9 +299,9 @@ def near_duplicates(
         # The rarest values come first; those that no other class holds make no list.
         least = F.floor(size * (least_shared(k, percent / 100) / k)).cast("int")
         first = size - least + 1 - (size - F.size("shared"))
-        shared = classes.select("node", "sketch", F.col("n_shingles").alias("n")).join(shared, "node")
+        shared = classes.select("node", "sketch", "parity", F.col("n_shingles").alias("n")).join(shared, "node")
         shared = shared.select(
-            "node", "n", "central", "shared", F.greatest(first, F.lit(0)).alias("first")
+            "node", "n", "central", "shared", "parity", F.greatest(first, F.lit(0)).alias("first")
         )
         shared = written(shared, "shared")
         entries = shared.select(F.explode(F.slice("shared", F.lit(1), F.col("first"))).alias("of"), "node", "central")
@@ -305,7 +322,8 @@ def near_duplicates(
             both = near.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
             return both.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * percent).select("a", "b").distinct()
 
-        nodes = shared.select("node", "n", F.transform("shared.value", _short).alias("values"))
+        bits = [F.get("parity", F.lit(i)).alias(f"p{i}") for i in range(PARITY // 64)]
+        nodes = shared.select("node", "n", F.transform("shared.value", _short).alias("values"), *bits)
         groups = linked_groups(entries, verify, nodes=nodes, condition=_enough_shared(percent, k))
         classes = classes.select(*identity, "node").join(groups, "node", "left")
         classes = written(classes.select(*identity, F.coalesce("component", "node").alias("component")), "labelled-classes", outlives=True)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 from test_neardup import brute
 
@@ -38,3 +39,37 @@ def test_small_groups_of_edited_copies_equal_all_pairs(spark):
         rows += own
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, ngram=4).collect()} == want
+
+
+def test_parities_bound_the_unequal_shingles():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 150, 5000):
+        whole = np.unique(rng.integers(0, 1 << 63, n + 40, np.int64))
+        x, y = whole[: len(whole) - 20], whole[20:]
+        bits = sum(int(v).bit_count() for v in (neardup.parities(x) ^ neardup.parities(y)).view(np.uint64))
+        assert bits <= len(np.setxor1d(x, y)) == 40 and bits % 2 == 0
+        assert bits >= 30
+
+
+def test_copies_just_below_the_similarity_form_no_pairs(spark, monkeypatch):
+    """A group of copies with similarities of 0.6 to 0.8 to nearly all others: its pairs are not formed for nothing."""
+    rng, formed = random.Random(6), []
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice((1, 4, 5, 6))):
+            words[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(words)))
+
+    def counted(entries, verify, **kinds):
+        def check(pairs):
+            formed.append(pairs.count())
+            return verify(pairs)
+
+        return linked_groups(entries, check, **kinds)
+
+    monkeypatch.setattr(neardup, "linked_groups", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, ngram=4).collect()}
+    assert got == {i: c for (i, _), (_, c) in zip(rows, brute(rows, 4), strict=True)}
+    assert 100 < len(set(got.values())) < 400 and sum(formed) < 10 * len(rows)
