@@ -1,5 +1,6 @@
 """Links of near copies: every pair is looked at, whichever of equal lists is kept."""
 
+import os
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from test_neardup import brute
 
 from eventide.llm import neardup
+from eventide.llm.common import scratch, scratch_scope, written
 from eventide.llm.links import linked_groups
 
 
@@ -24,6 +26,29 @@ def test_equal_lists_keep_the_first_by_rank(spark):
     assert {(r.node, r.component) for r in got.collect()} == {(1, 1), (2, 1)}
 
 
+def test_tables_go_when_nothing_reads_them(spark):
+    """Those of a check with its end, those of lists before the second check."""
+    rows = [(key, node, 1.0 + (node == 3)) for key in (1, 2) for node in range(1, 4 + key)]
+    entries = spark.createDataFrame(rows, "key long, node long, central double")
+    seen = []
+
+    def tables():
+        return set(os.listdir(scratch(spark).removeprefix("file:")))
+
+    def verify(pairs):
+        mine = written(pairs, "mine")
+        seen.append({name.rsplit("-", 1)[0] for name in tables() - before})
+        return mine.where("a = 1 AND b = 2")
+
+    written(entries, "other")  # makes the folder
+    before = tables()
+    with scratch_scope(spark):
+        got = linked_groups(entries, verify)
+        assert {(r.node, r.component) for r in got.collect()} == {(1, 1), (2, 1)}
+        assert {name.rsplit("-", 1)[0] for name in tables() - before} == {"groups"}
+    assert seen == [{"members", "hub-pairs", "mine"}, {"rest-pairs", "mine"}]
+
+
 def test_small_groups_of_edited_copies_equal_all_pairs(spark):
     rng = random.Random(3)
     rows, want = [], {}
