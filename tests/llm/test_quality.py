@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventide.llm import quality
 
@@ -97,3 +98,16 @@ def test_clean_texts_stay_and_junk_goes(spark):
     good = [r.kept for r in rows if r[-2] == 1]
     bad = [r.kept for r in rows if r[-2] == 0]
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_estimates_share_generated_code(spark, capsys):
+    """Or each round of the estimation makes classes of its own, on the driver and the executors."""
+    names = list(quality.votes())
+    df = spark.range(4).select(*[(F.col("id") % 3 - 1).alias(f"v_{n}") for n in names])
+    made = []
+    for p_good in (0.4, 0.7):
+        model = {"p_good": p_good} | {y: {n: tuple(x * p_good for x in quality.PRIOR[y]) for n in names} for y in ("good", "bad")}
+        model["good"] = {n: (a, b, c + p_good) for n, (a, b, c) in model["good"].items()}
+        df.select(quality.posterior(model, names).alias("p")).explain("codegen")
+        made.append([x for x in capsys.readouterr().out.splitlines() if re.match(r"/\* \d+ \*/", x)])
+    assert made[0] and made[0] == made[1]
